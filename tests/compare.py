@@ -1,0 +1,50 @@
+"""Running a registered query next to its SQL and comparing the two as bags of rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _cell(v):
+    if v is None or (isinstance(v, float) and math.isnan(v)):
+        return None
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, float):
+        return round(v, 6) + 0.0
+    if isinstance(v, (dt.date, dt.datetime)):
+        return v.isoformat()
+    return v
+
+
+def bag(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_cell(r[i]) for i in order) for r in rows)
+
+
+def spark_side(df):
+    rows = [tuple(r) for r in df.collect()]
+    return sorted(df.columns), bag(df.columns, rows), len(rows)
+
+
+def sql_side(con, sql):
+    cur = con.execute(sql)
+    columns = [d[0] for d in cur.description]
+    rows = cur.fetchall()
+    return sorted(columns), bag(columns, rows), len(rows)
