@@ -66,7 +66,7 @@ def student_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
 
 def gaussian_two_sided(z: np.ndarray) -> np.ndarray:
     """P(|Z| >= z) for the standard normal, at most 1 (a negative ``z`` counts as no evidence)."""
-    return np.array([min(1.0, math.erfc(v / math.sqrt(2.0))) for v in z], dtype=float)
+    return np.minimum(1.0, np.array([math.erfc(v / math.sqrt(2.0)) for v in z], dtype=float))
 
 
 def _nullable(values: np.ndarray) -> pd.Series:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 RESULT_SCHEMA = T.StructType([
     T.StructField("event_date", T.DateType()),
     T.StructField("dimension", T.StringType()),
@@ -36,10 +38,13 @@ def load_result(df: DataFrame, table: str) -> None:
 
     A rerun of a day leaves one copy of that day, so retries cannot duplicate rows.
     """
-    target = df.sparkSession.table(table)
-    ordered = df.select(*[df[f.name].cast(f.dataType) for f in target.schema])
-    (
-        ordered.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    spark = df.sparkSession
+    ordered = df.select(*[df[f.name].cast(f.dataType) for f in spark.table(table).schema])
+    # insertInto ignores the writer option of this name: without the session setting an overwrite
+    # would drop all other days.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        ordered.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
