@@ -19,18 +19,11 @@ def as_date(day: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(day) if isinstance(day, str) else day
 
 
-def _date_lit(day: dt.date) -> Column:
-    return F.lit(day.isoformat()).cast("date")
-
-
 def in_days(df: DataFrame, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Rows of the days ``start`` to ``end``, both included."""
     first, after = as_date(start), as_date(end) + dt.timedelta(days=1)
-    kept = df.where((F.col("time") >= _date_lit(first)) & (F.col("time") < _date_lit(after)))
-    if DAY_PARTITION in df.columns:
-        part = F.col(DAY_PARTITION)
-        kept = kept.where((part >= _date_lit(first)) & (part < _date_lit(after)))
-    return kept
+    columns = ["time"] + [c for c in df.columns if c == DAY_PARTITION]
+    return df.where(" and ".join(f"{c} >= date'{first}' and {c} < date'{after}'" for c in columns))
 
 
 def last_days(df: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:

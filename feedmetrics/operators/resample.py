@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import FINE_DIGITS, ratio, uniform
+from ..functions import FINE_DIGITS, HASH_DIGITS, ratio, uniform
 from .stats import moments, with_t_test
 
 POISSON_CUT = 12
@@ -31,11 +31,18 @@ def poisson_cdf(cut: int = POISSON_CUT) -> list[float]:
     return [math.fsum(steps[: k + 1]) for k in range(cut)]
 
 
-def _poisson_weight(u: Column) -> Column:
-    cdf = poisson_cdf()
-    weight = F.when(u < cdf[0], 0)
-    for k, bound in enumerate(cdf[1:], start=1):
-        weight = weight.when(u < bound, k)
+def poisson_weight(digest: Column) -> Column:
+    """A Poisson(1) draw fixed by the md5 ``digest`` of a key: the quantile at ``uniform(key)``.
+
+    With u = h / 2**32 for the first 8 hex digits h, u < c means h < ceil(c * 2**32), and hex digits
+    of equal length sort like their numbers. So the digest is compared with the bounds as text,
+    which saves a number conversion for every user and replicate. Pass a column, not an expression:
+    it is compared several times.
+    """
+    weight = None
+    for k, bound in enumerate(poisson_cdf()):
+        below = digest < F.lit(f"{math.ceil(bound * 16**HASH_DIGITS):0{HASH_DIGITS}x}")
+        weight = F.when(below, k) if weight is None else weight.when(below, k)
     return weight.otherwise(POISSON_CUT)
 
 
@@ -79,9 +86,10 @@ def poisson_bootstrap(
 def _bootstrap_users(users: DataFrame, n_boot: int, groups: tuple[int, int], seed: int) -> DataFrame:
     drawn = (
         _spread(users.where(F.col("exp_group").isin(*groups)), "user_id", "exp_group")
-        .withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))))
-        .withColumn("u", uniform(F.col("user_id"), F.col("exp_group"), F.col("replicate"), F.lit(seed)))
-        .withColumn("w", _poisson_weight(F.col("u")))
+        .withColumn("user_key", F.concat_ws(":", F.col("user_id"), F.col("exp_group")))
+        .select("exp_group", "likes", "views", "user_key", _replicates(n_boot))
+        .withColumn("digest", F.md5(F.concat_ws(":", "user_key", F.col("replicate"), F.lit(seed))))
+        .withColumn("w", poisson_weight(F.col("digest")))
     )
 
     def weighted(measure: str, group: int) -> Column:
@@ -240,40 +248,28 @@ def _sample_by_number(
 ) -> DataFrame:
     spark = pool.sparkSession
     size_of = F.create_map(*[F.lit(v) for pair in sizes.items() for v in pair])
-    draws = (
+    def number_of(draw: Column) -> Column:
+        u = uniform(
+            F.lit("draw"), F.col("exp_group"), F.col("replicate"), draw, F.lit(seed), digits=FINE_DIGITS
+        )
+        return F.floor(u * F.col("size"))
+
+    draws = F.transform(F.sequence(F.lit(0), F.lit(draws_per_sample(sample_size) - 1)), number_of)
+    # The draws of a sample are one short array, so finding its distinct numbers needs no shuffle.
+    picked = (
         spark.range(n_exp)
         .select(
             F.col("id").cast("int").alias("replicate"),
             F.explode(F.array(*[F.lit(g) for g in sizes])).alias("exp_group"),
         )
-        .select(
-            "*",
-            size_of[F.col("exp_group")].alias("size"),
-            F.explode(F.sequence(F.lit(0), F.lit(draws_per_sample(sample_size) - 1))).alias("draw"),
-        )
-        .withColumn(
-            "u",
-            uniform(
-                F.lit("draw"), F.col("exp_group"), F.col("replicate"), F.col("draw"), F.lit(seed),
-                digits=FINE_DIGITS,
-            ),
-        )
-        .withColumn("number", F.floor(F.col("u") * F.col("size")))
-    )
-    # First occurrence of each number, then the first sample_size of them: at most
-    # draws_per_sample rows meet in one window.
-    distinct = draws.groupBy("replicate", "exp_group", "number").agg(F.min("draw").alias("draw"))
-    cell = Window.partitionBy("replicate", "exp_group")
-    picked = (
-        distinct.withColumn("place", F.row_number().over(cell.orderBy("draw")))
-        .withColumn("found", F.count("*").over(cell))
-        .where(F.col("place") <= sample_size)
+        .withColumn("size", size_of[F.col("exp_group")])
+        .withColumn("numbers", F.array_distinct(draws))
         .withColumn(
-            "number",
-            F.when(F.col("found") >= sample_size, F.col("number"))
+            "numbers",
+            F.when(F.size("numbers") >= sample_size, F.slice("numbers", 1, sample_size))
             .otherwise(F.raise_error(F.lit("too few distinct draws for a sample; use another seed"))),
         )
-        .select("replicate", "exp_group", "number")
+        .select("replicate", "exp_group", F.explode("numbers").alias("number"))
     )
     return picked.join(numbered(pool, sizes), ["exp_group", "number"]).select(
         "replicate", "exp_group", "user_id", "metric"

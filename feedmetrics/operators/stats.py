@@ -8,39 +8,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import normal_two_sided, t_two_sided
 
 
 def moments(metric: str, groups: tuple[int, int]) -> list[Column]:
     """Count, mean and sample variance of both groups as columns n1, mean1, var1, n2, …"""
-    out = []
-    for i, group in enumerate(groups, start=1):
-        x = F.when(F.col("exp_group") == group, F.col(metric))
-        out += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.var_samp(x).alias(f"var{i}")]
-    return out
+    return [
+        F.expr(f"{aggregate}({metric}) filter (where exp_group = {group})").alias(f"{name}{i}")
+        for i, group in enumerate(groups, start=1)
+        for aggregate, name in (("count", "n"), ("avg", "mean"), ("var_samp", "var"))
+    ]
+
+
+# Squared standard errors of both means, and the degrees of freedom.
+_POOLED = [
+    "cast(n1 + n2 - 2 as double) as df",
+    "((n1 - 1) * var1 + (n2 - 1) * var2) / nullif(df, 0) as pooled",
+    "pooled / nullif(n1, 0) as error1",
+    "pooled / nullif(n2, 0) as error2",
+]
+_WELCH = [
+    "var1 / nullif(n1, 0) as error1",
+    "var2 / nullif(n2, 0) as error2",
+    "(error1 + error2) * (error1 + error2) / nullif("
+    "error1 * error1 / nullif(n1 - 1, 0) + error2 * error2 / nullif(n2 - 1, 0), 0) as df",
+]
 
 
 def with_t_test(df: DataFrame, equal_var: bool) -> DataFrame:
     """Adds t, df and p_value to rows of ``moments`` (NULL where a variance is missing or zero)."""
-    n1, n2 = F.col("n1"), F.col("n2")
-    if equal_var:
-        free = (n1 + n2 - 2).cast("double")
-        spread = ((n1 - 1) * F.col("var1") + (n2 - 1) * F.col("var2")) / F.nullif(free, F.lit(0.0))
-        share1, share2 = spread / F.nullif(n1, F.lit(0)), spread / F.nullif(n2, F.lit(0))
-    else:
-        share1 = F.col("var1") / F.nullif(n1, F.lit(0))
-        share2 = F.col("var2") / F.nullif(n2, F.lit(0))
-        free = (share1 + share2) * (share1 + share2) / F.nullif(
-            share1 * share1 / F.nullif(n1 - 1, F.lit(0)) + share2 * share2 / F.nullif(n2 - 1, F.lit(0)),
-            F.lit(0.0),
-        )
-    error = F.sqrt(share1 + share2)
     return (
-        df.withColumn("t", (F.col("mean1") - F.col("mean2")) / F.nullif(error, F.lit(0.0)))
-        .withColumn("df", free)
-        .withColumn("p_value", t_two_sided("t", "df"))
+        df.selectExpr(
+            "*",
+            *(_POOLED if equal_var else _WELCH),
+            "(mean1 - mean2) / nullif(sqrt(error1 + error2), 0) as t",
+        )
+        .select(*df.columns, "t", "df", t_two_sided("t", "df").alias("p_value"))
     )
 
 
@@ -71,50 +75,48 @@ def mann_whitney(
     is done, not the result.
     """
     first, second = groups
-    values = df.where(F.col("exp_group").isin(first, second) & F.col(metric).isNotNull())
-    fractions = [(i + 1) / ranges for i in range(ranges - 1)]
-    cuts = values.agg(F.percentile_approx(metric, fractions).alias("cuts")).scalar()
+    values = df.where(f"exp_group in ({first}, {second}) and {metric} is not null").selectExpr(
+        f"{metric} as x", f"exp_group = {first} as in_first"
+    )
+    fractions = ", ".join(str((i + 1) / ranges) for i in range(ranges - 1))
+    cuts = values.agg(F.expr(f"percentile_approx(x, array({fractions}))").alias("cuts")).scalar()
     counted = (
-        values.groupBy(F.col(metric).alias("x"))
-        .agg(F.count_if(F.col("exp_group") == first).alias("n1"), F.count("*").alias("n"))
+        values.groupBy("x")
+        .agg(F.expr("count_if(in_first)").alias("n1"), F.count("*").alias("n"))
         .withColumn("cuts", cuts)
-        .withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("x"))))
+        .selectExpr("x", "n1", "n", "size(filter(cuts, c -> c < x)) as range")
     )
-    lower = Window.partitionBy("range").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    n = F.col("n").cast("double")  # cubes of tie counts and products of sizes overflow bigint
+    # Rank sums and tie counts are doubles: cubes of ties and products of sizes overflow bigint.
     per_range = (
-        counted.withColumn("before", F.coalesce(F.sum("n").over(lower), F.lit(0)))
-        .groupBy("range")
-        .agg(
-            F.sum("n1").cast("double").alias("n1"),
-            F.sum("n").cast("double").alias("n"),
-            F.sum(F.col("n1") * (F.col("before") + (n + 1) / 2)).alias("ranks1"),
-            F.sum(n * n * n - n).alias("ties"),
+        counted.selectExpr(
+            "range", "n1", "cast(n as double) as n",
+            "coalesce(sum(n) over (partition by range order by x "
+            "rows between unbounded preceding and 1 preceding), 0) as before",
         )
-    )
-    shift = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    total = (
-        per_range.withColumn("offset", F.coalesce(F.sum("n").over(shift), F.lit(0.0)))
+        .groupBy("range")
         .agg(
-            F.coalesce(F.sum("n1"), F.lit(0.0)).alias("n1"),
-            F.coalesce(F.sum(F.col("n") - F.col("n1")), F.lit(0.0)).alias("n2"),
-            F.sum(F.col("ranks1") + F.col("n1") * F.col("offset")).alias("ranks1"),
-            F.sum("ties").alias("ties"),
+            F.expr("cast(sum(n1) as double)").alias("n1"),
+            F.expr("sum(n)").alias("n"),
+            F.expr("sum(n1 * (before + (n + 1) / 2))").alias("ranks1"),
+            F.expr("sum(n * n * n - n)").alias("ties"),
         )
     )
-    n1, n2 = F.col("n1"), F.col("n2")
-    both = n1 + n2
-    centre = n1 * n2 / 2
-    spread = F.sqrt(
-        n1 * n2 / 12 * (both + 1 - F.col("ties") / F.nullif(both * (both - 1), F.lit(0.0)))
-    )
-    return (
-        total.withColumn("u1", F.col("ranks1") - n1 * (n1 + 1) / 2)
-        .withColumn("u2", n1 * n2 - F.col("u1"))
-        .withColumn("z", (F.greatest("u1", "u2") - centre - 0.5) / F.nullif(spread, F.lit(0.0)))
-        .withColumn("p_value", normal_two_sided("z"))
-        .select(
-            n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"),
-            "u1", "u2", "ties", "z", "p_value",
-        )
+    total = per_range.selectExpr(
+        "*",
+        "coalesce(sum(n) over (partition by 0 order by range "
+        "rows between unbounded preceding and 1 preceding), 0) as lower",
+    ).agg(
+        F.expr("coalesce(sum(n1), 0D)").alias("n1"),
+        F.expr("coalesce(sum(n - n1), 0D)").alias("n2"),
+        F.expr("sum(ranks1 + n1 * lower)").alias("ranks1"),
+        F.expr("sum(ties)").alias("ties"),
     )
+    return total.selectExpr(
+        "cast(n1 as bigint) as n1",
+        "cast(n2 as bigint) as n2",
+        "ranks1 - n1 * (n1 + 1) / 2 as u1",
+        "n1 * n2 - u1 as u2",
+        "ties",
+        "(greatest(u1, u2) - n1 * n2 / 2 - 0.5D) / nullif(sqrt(n1 * n2 / 12 "
+        "* (n1 + n2 + 1 - ties / nullif((n1 + n2) * (n1 + n2 - 1), 0))), 0) as z",
+    ).withColumn("p_value", normal_two_sided("z"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EVENTS_SCHEMA = T.StructType([
@@ -52,46 +51,42 @@ def read_events(
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 
 
-def _profiled(events: DataFrame, sparse_users: bool) -> DataFrame:
-    """Raw events plus the user attributes and the partner key derived from them.
+# User attributes of the raw events: fixed functions of the user id.
+_PROFILE = [
+    "cast(user_id % 2 as int) as gender",
+    "cast(18 + user_id % 3 as int) as age",
+    "case when user_id % 4 < 2 then 'iOS' else 'Android' end as os",
+]
+_K = "cast(get_json_object(props, '$.k') as bigint)"
 
-    ``sparse_users`` spreads each user over 100 ids. Users of the plain view are active nearly
-    every week; the sparse ones come and go, which the new/gone user metrics need.
+
+def _id(number: str, sparse_users: bool) -> str:
+    """``sparse_users`` spreads each user over 100 ids.
+
+    Users of the plain view are active nearly every week; the sparse ones come and go, which the
+    new/gone user metrics need.
     """
-    user = F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    friend = F.expr("user_id div 10") * 10 + k % 10
-    return events.select(
-        "event_id",
-        F.col("ts").alias("time"),
-        "event_type",
-        (user * 100 + k if sparse_users else user).alias("user_id"),
-        (friend * 100 + k if sparse_users else friend).alias("reciever_id"),
-        (user % 5).cast("int").alias("exp_group"),
-        (user % 2).cast("int").alias("gender"),
-        (18 + user % 3).cast("int").alias("age"),
-        F.when(user % 4 < 2, "iOS").otherwise("Android").alias("os"),
-    )
+    return f"({number}) * 100 + {_K}" if sparse_users else number
 
 
 def feed_actions(events: DataFrame, sparse_users: bool = False) -> DataFrame:
     """Likes and views of posts, one row per action (columns of ``FEED_SCHEMA``)."""
-    return (
-        _profiled(events, sparse_users)
-        .where(F.col("event_type").isin("click", "view"))
-        .select(
-            "user_id",
-            F.expr("event_id div 3").alias("post_id"),
-            F.when(F.col("event_type") == "click", "like").otherwise("view").alias("action"),
-            "time", "exp_group", "gender", "age", "os",
-        )
+    return events.where("event_type in ('click', 'view')").selectExpr(
+        f"{_id('user_id', sparse_users)} as user_id",
+        "event_id div 3 as post_id",
+        "case when event_type = 'click' then 'like' else 'view' end as action",
+        "ts as time",
+        "cast(user_id % 5 as int) as exp_group",
+        *_PROFILE,
     )
 
 
 def message_actions(events: DataFrame, sparse_users: bool = False) -> DataFrame:
     """Sent messages, one row per message; the profile columns describe the sender."""
-    return (
-        _profiled(events, sparse_users)
-        .where(F.col("event_type") == "purchase")
-        .select("user_id", "reciever_id", "time", "gender", "age", "os")
+    receiver = f"(user_id div 10) * 10 + {_K} % 10"
+    return events.where("event_type = 'purchase'").selectExpr(
+        f"{_id('user_id', sparse_users)} as user_id",
+        f"{_id(receiver, sparse_users)} as reciever_id",
+        "ts as time",
+        *_PROFILE,
     )

@@ -58,8 +58,13 @@ def test_both_methods_agree_in_distribution(spark):
 
 
 def test_poisson_weights(spark):
-    u = spark.range(200_000).select(resample.uniform(F.col("id")).alias("u"))
-    got = {r.w: r["count"] for r in u.select(resample._poisson_weight(F.col("u")).alias("w")).groupBy("w").count().collect()}
+    key = F.col("id").cast("string")
+    drawn = spark.range(200_000).select(resample.poisson_weight(F.md5(key)).alias("w"), resample.uniform(key).alias("u"))
+    got = {r.w: r["count"] for r in drawn.groupBy("w").count().collect()}
+    cdf = [-1.0, *resample.poisson_cdf(), 2.0]
+    off = drawn.select("u", F.array(*[F.lit(c) for c in cdf]).alias("cdf"), "w").where(
+        ~((F.col("u") >= F.get("cdf", F.col("w"))) & (F.col("u") < F.get("cdf", F.col("w") + 1))))
+    assert off.count() == 0
     for k, p in enumerate([0.367879, 0.367879, 0.183940, 0.061313, 0.015328]):
         assert got[k] / 200_000 == pytest.approx(p, abs=5 * (p / 200_000) ** 0.5)
 
