@@ -1,13 +1,14 @@
 from .hashing import FINE_DIGITS, HASH_DIGITS, bucket_of, md5_number, uniform
 from .math import ratio
 from .pvalues import normal_two_sided, t_two_sided
-from .timeframe import as_date, day_of, in_days, last_days, on_day
+from .timeframe import as_date, by_day, day_of, in_days, last_days, on_day
 
 __all__ = [
     "FINE_DIGITS",
     "HASH_DIGITS",
     "as_date",
     "bucket_of",
+    "by_day",
     "day_of",
     "in_days",
     "last_days",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import as_date, day_of, last_days, ratio
+from ..functions import as_date, by_day, day_of, last_days, ratio
 
 FEED, MESSENGER, BOTH = "feed", "messenger", "feed+messenger"
 SERVICES = (FEED, BOTH, MESSENGER)
@@ -59,11 +59,10 @@ def service_usage_daily(
     users: Column = F.count("user_id")
     if strict:
         users = F.when(F.col("using_service") == name[MESSENGER], F.least(users, F.lit(1))).otherwise(users)
-    return (
-        per_user.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), service.alias("using_service"))
-        .agg(users.alias("cnt_users"))
-        .orderBy("day", "using_service")
-    )
+    usage = per_user.groupBy(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), service.alias("using_service")
+    ).agg(users.alias("cnt_users"))
+    return by_day(usage, "day", "using_service")
 
 
 def service_usage_share(usage: DataFrame) -> DataFrame:
@@ -75,17 +74,13 @@ def service_usage_share(usage: DataFrame) -> DataFrame:
 
 def service_usage_pivot(share: DataFrame, services: tuple[str, ...] = SERVICES) -> DataFrame:
     """Shares as one row per day and one column per service."""
-    return share.groupBy("day").pivot("using_service", list(services)).agg(F.first("per")).orderBy("day")
+    return by_day(share.groupBy("day").pivot("using_service", list(services)).agg(F.first("per")), "day")
 
 
 def messages_sent_daily(msg: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
     """Messages sent per day of the report window."""
-    return (
-        last_days(msg, as_of, days)
-        .groupBy(day_of().alias("day"))
-        .agg(F.count("user_id").alias("mess_sent"))
-        .orderBy("day")
-    )
+    per_day = last_days(msg, as_of, days).groupBy(day_of().alias("day"))
+    return by_day(per_day.agg(F.count("user_id").alias("mess_sent")), "day")
 
 
 def messages_sent_latest(per_day: DataFrame) -> DataFrame:

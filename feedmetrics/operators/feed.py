@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_date, day_of, in_days, last_days, ratio
+from ..functions import as_date, by_day, day_of, in_days, last_days, ratio
 
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -41,11 +41,8 @@ def feed_metrics_yesterday(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 def feed_metrics_daily(feed: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
     """The same per day of the report window; ``day`` is text, as charts label it."""
-    return (
-        _metrics_per_day(last_days(feed, as_of, days))
-        .withColumn("day", F.date_format("day", DAY_FORMAT))
-        .orderBy("day")
-    )
+    per_day = _metrics_per_day(last_days(feed, as_of, days))
+    return by_day(per_day.withColumn("day", F.date_format("day", DAY_FORMAT)), "day")
 
 
 def period_bounds(feed: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
