@@ -49,10 +49,11 @@ def poisson_weight(digest: Column) -> Column:
 def _spread(df: DataFrame, *keys: str, at_most: int | None = None) -> DataFrame:
     """One slice per core of a table that is small in bytes but about to be multiplied.
 
-    Adaptive execution sizes partitions by bytes and would leave such a table in one task.
+    Adaptive execution sizes partitions by bytes and would leave such a table in one task. It may
+    also drop a repartition by the keys the table was just grouped by, hence the hash of them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, at_most) if at_most else cores, *keys)
+    return df.repartition(min(cores, at_most) if at_most else cores, F.xxhash64(*keys))
 
 
 def poisson_bootstrap(
@@ -254,8 +255,12 @@ def _sample_by_number(
         )
         return F.floor(u * F.col("size"))
 
-    draws = F.transform(F.sequence(F.lit(0), F.lit(draws_per_sample(sample_size) - 1)), number_of)
+    def distinct_numbers(draws: int) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), number_of))
+
     # The draws of a sample are one short array, so finding its distinct numbers needs no shuffle.
+    # Never empty, they could be exploded either way; the outer form spares a filter on emptiness
+    # into which the optimizer would copy the draws.
     picked = (
         spark.range(n_exp)
         .select(
@@ -263,13 +268,18 @@ def _sample_by_number(
             F.explode(F.array(*[F.lit(g) for g in sizes])).alias("exp_group"),
         )
         .withColumn("size", size_of[F.col("exp_group")])
-        .withColumn("numbers", F.array_distinct(draws))
+        .withColumn("numbers", distinct_numbers(sample_size + sample_size // 4 + 8))
+        .withColumn(
+            "numbers",  # usually found among a few draws; the first ones are the same either way
+            F.when(F.size("numbers") >= sample_size, F.col("numbers"))
+            .otherwise(distinct_numbers(draws_per_sample(sample_size))),
+        )
         .withColumn(
             "numbers",
             F.when(F.size("numbers") >= sample_size, F.slice("numbers", 1, sample_size))
             .otherwise(F.raise_error(F.lit("too few distinct draws for a sample; use another seed"))),
         )
-        .select("replicate", "exp_group", F.explode("numbers").alias("number"))
+        .select("replicate", "exp_group", F.explode_outer("numbers").alias("number"))
     )
     return picked.join(numbered(pool, sizes), ["exp_group", "number"]).select(
         "replicate", "exp_group", "user_id", "metric"

@@ -68,6 +68,14 @@ def test_rank_test_ranks_within_ranges(inputs):
     assert "ReusedExchange" in plan
 
 
+@pytest.mark.parametrize("method", ["users", "cells"])
+def test_bootstrap_draws_in_many_tasks(spark, inputs, method):
+    users = op.user_ctr(inputs[0], *WINDOW)
+    plan = final(op.poisson_bootstrap(users, 100, method=method))
+    slices = spark.sparkContext.defaultParallelism
+    assert re.search(rf"Exchange hashpartitioning\(xxhash64\(.*?\), {slices}\), REPARTITION_BY_NUM", plan)
+
+
 SMALL_INPUT_ONLY = {"read_events", "feed_actions", "message_actions"}
 
 
