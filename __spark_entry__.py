@@ -23,7 +23,7 @@ from feedmetrics import plans, sources
 AS_OF = "2024-01-31"                        # "today" of the fixture: its last full day is the 30th
 WINDOW = ("2024-01-08", "2024-01-14")       # experiment days
 AB, AA = (1, 2), (2, 3)                     # groups compared
-N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE = 10_000, 10_000, 10, 5
+N_BOOT, CELL_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE = 200, 10_000, 10_000, 10, 5
 BINS = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,8 +155,8 @@ _QUERIES: dict[str, Query] = {
     "mann_whitney": lambda s, d: op.mann_whitney(_users(s, d), "ctr", AB),
     "poisson_bootstrap": _bootstrap,
     "bootstrap_diff": lambda s, d: op.bootstrap_diff(_bootstrap(s, d)),
-    "poisson_bootstrap_cells": lambda s, d: op.poisson_bootstrap(_users(s, d), N_BOOT, AB),
-    "bootstrap_diff_cells": lambda s, d: op.bootstrap_diff(op.poisson_bootstrap(_users(s, d), N_BOOT, AB)),
+    "poisson_bootstrap_cells": lambda s, d: op.poisson_bootstrap(_users(s, d), CELL_BOOT, AB),
+    "bootstrap_diff_cells": lambda s, d: op.bootstrap_diff(op.poisson_bootstrap(_users(s, d), CELL_BOOT, AB)),
     "bucket_ctr": lambda s, d: op.bucket_ctr(_users(s, d)),
     "bucket_welch": lambda s, d: op.welch_ttest(op.bucket_ctr(_users(s, d)), "bucket_ctr", AB),
     "bucket_mann_whitney": lambda s, d: op.mann_whitney(op.bucket_ctr(_users(s, d)), "bucket_ctr", AB),

@@ -13,7 +13,7 @@ AS_OF = "date '2024-01-31'"
 YESTERDAY = "date '2024-01-30'"
 IN_WINDOW = "cast(time AS date) BETWEEN date '2024-01-08' AND date '2024-01-14'"
 LAST_WEEK = f"date_diff('day', cast(time AS date), {AS_OF}) BETWEEN 1 AND 7"
-N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, SEED, BINS = 10_000, 10_000, 10, 5, 42, 20
+N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, SEED, BINS = 200, 10_000, 10, 5, 42, 20
 
 SOURCES = """
 b AS (
