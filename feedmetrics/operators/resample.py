@@ -249,6 +249,7 @@ def _sample_by_number(
 ) -> DataFrame:
     spark = pool.sparkSession
     size_of = F.create_map(*[F.lit(v) for pair in sizes.items() for v in pair])
+
     def number_of(draw: Column) -> Column:
         u = uniform(
             F.lit("draw"), F.col("exp_group"), F.col("replicate"), draw, F.lit(seed), digits=FINE_DIGITS

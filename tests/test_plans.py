@@ -123,3 +123,27 @@ def test_histogram_keeps_every_value(spark):
     one = op.histogram(spark.createDataFrame([(2.5,)] * 3, "x double"), "x", None, 5).collect()
     assert len(one) == 1 and one[0].n == 3
     assert op.histogram(df.where("false"), "x", "g", 5).count() == 0
+
+
+class _Session:
+    """The parts of a session ``shared_dir`` asks for."""
+
+    def __init__(self, master, named=None):
+        self.sparkContext, self.conf = self, {"spark.checkpoint.dir": named} if named else {}
+        self.master, self.dir = master, None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from feedmetrics.plans.checkpoint import shared_dir
+
+    assert shared_dir(_Session("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("spark://host:7077"))
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
