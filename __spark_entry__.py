@@ -20,6 +20,14 @@ import oracle
 from feedmetrics import operators as op
 from feedmetrics import plans, sources
 
+try:        # the training-data operators are an optional part
+    import corpus_pipeline
+    from feedmetrics.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "feedmetrics.llm"):
+        raise
+    corpus_pipeline = corpus_queries = None
+
 AS_OF = "2024-01-31"                        # "today" of the fixture: its last full day is the 30th
 WINDOW = ("2024-01-08", "2024-01-14")       # experiment days
 AB, AA = (1, 2), (2, 3)                     # groups compared
@@ -183,8 +191,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _registered(query) for name, query in _QUERIES.items()}
+    out = {name: _registered(query) for name, query in _QUERIES.items()}
+    if corpus_queries:
+        out |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.SQL)
+    out = dict(oracle.SQL)
+    if corpus_queries:
+        out |= corpus_queries.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return out

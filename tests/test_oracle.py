@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+import oracle
 from compare import database, spark_side, sql_side
 
 SF = "/root/testdata/sf0.01"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.queries(), oracle.SQL
 ROWS_ONLY = {"poisson_bootstrap_cells", "bootstrap_diff_cells"}
 
 
@@ -30,4 +31,4 @@ def test_rows_only(spark, name):
 
 
 def test_contract_is_complete():
-    assert set(QUERIES) == set(SQL) | ROWS_ONLY
+    assert set(contract._QUERIES) == set(SQL) | ROWS_ONLY
