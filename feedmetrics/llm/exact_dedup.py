@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import drop_rows, fresh_path, land, small_enough
+from .store import fresh_path, land, numbered, small_enough, without
 
 WHITE_SPACE = (" ", "\t", "\n", "\x0b", "\f", "\r")     # fixed by the contract: [\x20\x09-\x0D]
 DIGEST_BYTES = 32
@@ -26,6 +26,7 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",      # many small stores
 }
 INHERITED_CONF = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
 
@@ -158,6 +159,6 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Nulls, ties and repeated rows are treated as in ``exact_dedup``.
     """
-    numbered = land(docs.withColumn(ROW, F.monotonically_increasing_id()), "dedup-docs")
-    gone = land(exact_dedup(numbered, id_col, text_col, ROW).filter("NOT kept").select(ROW), "copies")
-    return drop_rows(numbered, gone, ROW).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, row = numbered(docs, "dedup-docs")
+    gone = land(exact_dedup(rows, id_col, text_col, row).filter("NOT kept").select(ROW), "copies")
+    return without(rows, row, gone)
