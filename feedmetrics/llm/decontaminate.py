@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import drop_rows, land, small_enough
+from .store import land, numbered, small_enough, without
 
 WINDOW = 10
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # fixed by the contract, after lower-casing A-Z
@@ -142,9 +142,7 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
 ) -> DataFrame:
     """``docs`` without the documents that hold a window of an item, all columns as they were."""
-    numbered = land(docs.withColumn(ROW, F.monotonically_increasing_id()), "decontamination-docs")
-    found = find_items(numbered, benchmark, id_col, text_col, window=window, row_col=ROW)
+    rows, row = numbered(docs, "decontamination-docs")
+    found = find_items(rows, benchmark, id_col, text_col, window=window, row_col=row)
     gone = land(found.filter(F.size("spans") > 0).select(ROW), "contaminated")
-    return drop_rows(numbered, gone, ROW).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
+    return without(rows, row, gone)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup
+from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, lm_score, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,11 +18,33 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(
         decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame(
@@ -36,10 +58,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 SQL: dict[str, str] = {
@@ -93,4 +126,21 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id)
        count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS kept, sha256(t) AS text_sha256
 FROM n""",
+    "op10_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach (doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT b, other FROM reach JOIN links ON a = doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
 }

@@ -17,6 +17,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` landed with a unique row number, and the name of that column."""
+    row = unused_name(docs, "__row")
+    return land(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -41,3 +55,9 @@ def drop_rows(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """
     keys = F.broadcast(keys) if small_enough(keys) else keys
     return df.join(keys, key, "left_anti")
+
+
+def without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """Numbered ``docs`` less the rows listed in the landed table ``gone`` (one column), as they were."""
+    kept = drop_rows(docs, gone.toDF(row), row)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns if c != row])
