@@ -8,9 +8,9 @@ so (pigeonhole) some of the first few parts in any fixed order. Parts that are r
 come first in that order; those that many documents share come last. Pairs that share a part are
 compared by a 512-bit parity sketch, and those it cannot rule out by their full sets.
 
-Exactly equal sets are one node. Linked nodes are gathered round by round: a pair whose ends are
-already in one component needs no check, so a large group of near copies costs about one check per
-member.
+Exactly equal sets are one node. Parts that many rows share pair each row with the first only;
+their other pairs are looked at where the rows are not in one component by then. So a large group of
+near copies costs about one check per member.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ SLOT_BITS, RANGE_BITS = 20, 14  # counters of the parts' rarity, and how many on
 FLUSH = 2_000_000               # parts a task holds before it passes them on
 PARTS_PER_TASK = 1_000_000
 HOT = 200_000                   # a part shared by more documents is spread over several tasks
+FEW = 16                        # rows that share a part and are paired at once
 BLOCK = 4096                    # members of a part compared with one another by one key
 
 
@@ -102,11 +103,11 @@ SUMMARY = (
 
 def _summaries(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Per text its size, digest and sketch; per task how often parts occur, by hashed counters."""
-    cache, counters, weak, total = WordHashes(), np.zeros(1 << SLOT_BITS, np.int32), set(), 0
+    words, counters, weak, total = WordHashes(), np.zeros(1 << SLOT_BITS, np.int32), set(), 0
     for batch in batches:
         rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
-            values, ends = shingle_sets(texts[a:b], cache, size)
+            values, ends = shingle_sets(texts[a:b], words, size)
             sets = np.split(values, ends[:-1])
             for k, who, parts, bound in Parts(values, ends, percent=percent):
                 counters += np.bincount(_slot(parts), minlength=len(counters)).astype(np.int32)
@@ -138,9 +139,10 @@ _TYPES = {
 
 def _arrow(ddl: str, columns: dict) -> pa.RecordBatch:
     length = len(next(iter(columns.values())))
+    absent = {k: pa.nulls(length, t) for k, t in _TYPES.items()}
     fields = [f.split() for f in ddl.split(", ")]
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns.get(n, [None] * length), _TYPES[t]) for n, t in fields], names=[n for n, _ in fields])
+        [pa.array(columns[n], _TYPES[t]) if n in columns else absent[t] for n, t in fields], names=[n for n, _ in fields])
 
 
 def _sum_counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +173,7 @@ PREFIXES = "task int, hot boolean, parts binary, rows binary"
 
 def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: int, size: int, percent: int):
     """The first parts of each set in the common order, packed by the task that gathers them."""
-    rarity, cache, held, amount = counters.value, WordHashes(), [], 0
+    rarity, words, held, amount = counters.value, WordHashes(), [], 0
 
     def packed():
         parts, rows = (np.concatenate(x) for x in zip(*held))
@@ -190,7 +192,7 @@ def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: in
     for batch in batches:
         numbers, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
-            values, ends = shingle_sets(texts[a:b], cache, size)
+            values, ends = shingle_sets(texts[a:b], words, size)
             for _, who, parts, bound in Parts(values, ends, weak, percent):
                 order = np.lexsort((parts, rarity[_slot(parts)], who))
                 who, parts = who[order], parts[order]
@@ -205,34 +207,45 @@ def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: in
         yield packed()
 
 
-MEMBERS = f"part bigint, {ROW} bigint"
+SHARED = "part bigint, a bigint, b bigint"
 
 
-def _shared_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of every part that more than one row has; hot parts as they are."""
+def _shared_parts(batches: Iterator[pa.RecordBatch], few: int) -> Iterator[pa.RecordBatch]:
+    """What rows share parts: all pairs of a part with at most ``few`` rows, else its rows one by one."""
     cold = []
     for batch in batches:
         for hot, parts, rows in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             parts, rows = np.frombuffer(parts, np.int64), np.frombuffer(rows, np.int64)
             if hot:
-                yield _arrow(MEMBERS, {"part": parts, ROW: rows})
+                yield _arrow(SHARED, {"part": parts, "a": rows})
             else:
                 cold.append((parts, rows))
-    if cold:
-        parts, rows = (np.concatenate(x) for x in zip(*cold))
-        order = np.argsort(parts, kind="stable")
-        parts, rows = parts[order], rows[order]
-        same = parts[1:] == parts[:-1]
-        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        yield _arrow(MEMBERS, {"part": parts[shared], ROW: rows[shared]})
+    if not cold:
+        return
+    parts, rows = (np.concatenate(x) for x in zip(*cold))
+    order = np.lexsort((rows, parts))
+    parts, rows = parts[order], rows[order]
+    first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+    size = np.diff(np.concatenate([first, [len(parts)]]))
+    size = np.repeat(size, size)
+    many = size > few
+    yield _arrow(SHARED, {"part": parts[many], "a": rows[many]})
+    some = (size > 1) & ~many
+    parts, rows = parts[some], rows[some]
+    names, place = np.unique(rows, return_inverse=True)
+    pairs = [place[step:][same] * len(names) + place[:-step][same]
+             for step in range(1, few) if (same := parts[step:] == parts[:-step]).any()]
+    if pairs:
+        both = np.unique(np.concatenate(pairs))
+        yield _arrow(SHARED, {"a": names[both // len(names)], "b": names[both % len(names)]})
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    cache = WordHashes()
+    words = WordHashes()
     for batch in batches:
         rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
-            values, ends = shingle_sets(texts[a:b], cache, size)
+            values, ends = shingle_sets(texts[a:b], words, size)
             yield _arrow(f"{ROW} bigint, shingles binary", {
                 ROW: rows[a:b], "shingles": [s.tobytes() for s in np.split(values, ends[:-1])]})
 
@@ -248,13 +261,17 @@ def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
         yield _arrow("a bigint, b bigint, linked boolean", {"a": a, "b": b, "linked": keep})
 
 
+def _apart(a: str, b: str) -> Column:
+    """In how many bits the parity sketches of two nodes differ."""
+    return reduce(lambda x, y: x + y, [
+        F.bit_count(F.get(f"{a}.sketch", F.lit(i)).bitwiseXOR(F.get(f"{b}.sketch", F.lit(i)))) for i in range(SKETCH_LONGS)])
+
+
 def _possible(a: str, b: str, percent: int) -> Column:
     """Whether sizes and parity sketches of two nodes allow a link."""
-    apart = reduce(lambda x, y: x + y, [
-        F.bit_count(F.get(f"{a}.sketch", F.lit(i)).bitwiseXOR(F.get(f"{b}.sketch", F.lit(i)))) for i in range(SKETCH_LONGS)])
     n, m = F.col(f"{a}.n").cast("bigint"), F.col(f"{b}.n").cast("bigint")
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
-        apart * (100 + percent) <= (n + m) * (100 - percent))
+        _apart(a, b) * (100 + percent) <= (n + m) * (100 - percent))
 
 
 class _Links:
@@ -263,28 +280,37 @@ class _Links:
     def __init__(self, texts: DataFrame, size: int, percent: int):
         self.texts, self.size, self.percent = texts, size, percent
         self.found: list[DataFrame] = []
+        self.checked: list[DataFrame] = []
         self.labels = texts.sparkSession.createDataFrame([], "row bigint, label bigint")
 
     def labelled(self, df: DataFrame, row: str, name: str) -> DataFrame:
         labels = self.labels.select(F.col("row").alias(row), F.col("label").alias(name))
         return df.join(labels, row, "left").withColumn(name, F.coalesce(name, row))
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends are not yet in one component, with the labels ``la, lb``."""
-        return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb")
-
-    def check(self, pairs: DataFrame) -> None:
-        """Compare the full sets of the pairs ``a, b`` and take in those that link."""
-        pairs = land(pairs.select("a", "b"), "pairs")
-        if pairs.isEmpty():
-            return
+    def sets(self, pairs: DataFrame) -> DataFrame:
+        """``__row, shingles`` of the ends of pairs."""
         ends = land(pairs.select(F.col("a").alias(ROW)).union(pairs.select("b")).distinct(), "ends")
         texts = self.texts.join(F.broadcast(ends) if small_enough(ends) else ends, ROW, "left_semi")
-        size, percent = self.size, self.percent
-        sets = land(texts.mapInArrow(lambda it: _sets(it, size), f"{ROW} bigint, shingles binary"), "sets")
+        size = self.size
+        return land(texts.mapInArrow(lambda it: _sets(it, size), f"{ROW} bigint, shingles binary"), "sets")
+
+    def check(self, pairs: DataFrame, sets: DataFrame | None = None) -> None:
+        """Compare the full sets of pairs ``a, b`` in different components and take in those that link.
+
+        A pair is compared once. ``sets`` may be given for pairs whose sets are at hand.
+        """
+        open_ = self.labelled(self.labelled(pairs.select("a", "b"), "a", "la"), "b", "lb").filter("la <> lb").select("a", "b")
+        for done in self.checked:
+            open_ = open_.join(done, ["a", "b"], "left_anti")
+        pairs = land(open_, "pairs")
+        if pairs.isEmpty():
+            return
+        self.checked.append(pairs)
+        sets = self.sets(pairs) if sets is None else sets
         left = sets.select(F.col(ROW).alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col(ROW).alias("b"), F.col("shingles").alias("right"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        percent = self.percent
         checked = both.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint, linked boolean")
         links = land(checked.filter("linked").select("a", "b"), "links")
         if links.isEmpty():
@@ -293,19 +319,15 @@ class _Links:
         self.labels = land(components(reduce(DataFrame.union, self.found)), "labels")
 
 
-def _star_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Each member of a part with the part's first member, where sizes and sketches allow a link."""
-    first = members.groupBy("part").agg(F.min(ROW).alias("b"))
-    pairs = members.withColumnRenamed(ROW, "a").join(first, "part").filter("a <> b").select("a", "b").distinct()
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that sizes and sketches allow to link, and how far ``apart`` their sketches are."""
     x, y = nodes.select(F.col(ROW).alias("a"), "n", "sketch").alias("x"), nodes.select(F.col(ROW).alias("b"), "n", "sketch").alias("y")
     kept = pairs.join(x, "a").join(y, "b").filter(_possible("x", "y", percent))
-    apart = reduce(lambda p, q: p + q, [
-        F.bit_count(F.get("x.sketch", F.lit(i)).bitwiseXOR(F.get("y.sketch", F.lit(i)))) for i in range(SKETCH_LONGS)])
-    return kept.select("a", "b", (apart / (F.col("x.n") + F.col("y.n"))).alias("apart"))
+    return kept.select("a", "b", (_apart("x", "y") / (F.col("x.n") + F.col("y.n"))).alias("apart"))
 
 
 def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percent: int, block: int) -> DataFrame:
-    """All possible pairs that share a part and are in different components.
+    """All possible pairs that share one of these parts and are in different components.
 
     Per part, members outside its most frequent component meet all members, in blocks so that no key
     holds more than ``block`` of them. Most parts lie in one component and drop out before.
@@ -322,7 +344,7 @@ def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percen
         (F.col("x.part") == F.col("y.part")) & (F.col("x.block") == F.col("y.block"))
         & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", percent))
     return x.join(y, meet).select(
-        F.least(f"x.{ROW}", f"y.{ROW}").alias("a"), F.greatest(f"x.{ROW}", f"y.{ROW}").alias("b")).distinct()
+        F.greatest(f"x.{ROW}", f"y.{ROW}").alias("a"), F.least(f"x.{ROW}", f"y.{ROW}").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -333,6 +355,7 @@ def near_duplicates(
     size: int = SHINGLE,
     percent: int = PERCENT,
     hot_above: int = HOT,
+    few: int = FEW,
     block: int = BLOCK,
 ) -> DataFrame:
     """Groups of documents linked by ``100 * intersection >= percent * union`` of their shingle sets.
@@ -346,7 +369,7 @@ def near_duplicates(
     their texts. An empty table gives an empty result. Other columns are not read.
 
     ``percent`` is from 51 to 100. Shingles are 64-bit hashes of words. Nothing limits the number of
-    partners or the size of a group; ``hot_above`` and ``block`` spread the work and change no result.
+    partners or the size of a group; ``hot_above``, ``few`` and ``block`` spread the work and change no result.
     """
     spark = docs.sparkSession
     number = F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()
@@ -368,17 +391,20 @@ def near_duplicates(
 
     packed = drop_rows(texts, copies, ROW).select(ROW, "text").mapInArrow(
         lambda it: _prefixes(it, counters, weak, tasks, hot_above, size, percent), PREFIXES)
-    members = land(packed.repartition(tasks, "task").mapInArrow(_shared_parts, MEMBERS), "members")
+    shared = land(packed.repartition(tasks, "task").mapInArrow(lambda it: _shared_parts(it, few), SHARED), "shared-parts")
+    members = shared.filter("part IS NOT NULL").select("part", F.col("a").alias(ROW))
 
+    # Pairs of parts that few rows share, and for the other parts each row with the first one.
+    first = members.groupBy("part").agg(F.min(ROW).alias("b"))
+    stars = members.select("part", F.col(ROW).alias("a")).join(first, "part").filter("a <> b").select("a", "b")
+    pairs = shared.filter("part IS NULL").select("a", "b").union(stars).distinct()
+    likely = land(_likely(pairs, nodes, percent), "likely-pairs")
     links = _Links(texts, size, percent)
-    stars = land(_star_pairs(members, nodes, percent), "star-pairs")
-    # Each node with its nearest first member; then for two components their nearest pair; then
-    # every pair of the stars, and at last every pair of a part, between different components.
-    links.check(stars.groupBy("a").agg(F.min_by("b", "apart").alias("b")))
-    between = links.apart(stars).groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(
-        F.min_by(F.struct("a", "b"), "apart").alias("pair"))
-    links.check(between.select("pair.a", "pair.b"))
-    links.check(links.apart(stars))
+    sets = links.sets(likely)
+    # Each row with its nearest other first; then whatever is still in different components; then
+    # the pairs that the large parts hold beside their stars.
+    links.check(likely.groupBy("a").agg(F.min_by("b", "apart").alias("b")), sets)
+    links.check(likely, sets)
     links.check(_remaining_pairs(members, nodes, links, percent, block))
 
     placed = land(links.labelled(nodes_of, "node", "label").join(rows.select(ROW, "id"), ROW).select(ROW, "id", "n", "label"), "placed")

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import xxhash
 
 SHINGLE = 5
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-CHUNK_BYTES = 1 << 20           # texts worked on at once
-CACHED_WORDS = 300_000          # words whose hash a worker remembers before it starts anew
+CHUNK_BYTES = 1 << 19           # texts worked on at once
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_MASK = (1 << 64) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -27,17 +27,6 @@ def lowered_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
 
 
-class WordHashes(dict):
-    """word -> signed 64-bit hash, remembered within a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        self[word] = h = h - (1 << 64) if h >= 1 << 63 else h
-        return h
-
-
 def chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` characters; a longer text is a range of its own."""
     start = size = 0
@@ -50,14 +39,49 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tu
         yield start, len(texts)
 
 
-def shingle_sets(texts: Sequence[str | None], cache: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+class WordHashes:
+    """64-bit hashes of the words of many texts at once.
+
+    A word is a polynomial in its bytes modulo 2**64: differences of running sums over the text, moved
+    back to the word's start by the inverse power. Equal words have equal hashes; different ones differ
+    but for a chance of about 2**-60 a pair, which is taken as never.
+    """
+
+    def __init__(self):
+        rng = np.random.default_rng(5)
+        self.byte = rng.integers(1, 2**64, 256, np.uint64, endpoint=False)
+        self.base = int(rng.integers(2**62, 2**63)) * 4 + 3 & _MASK
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _reach(self, n: int) -> None:
+        if len(self.powers) < n:
+            n = max(n, 2 * len(self.powers))
+            for name, base in (("powers", self.base), ("inverses", pow(self.base, -1, 1 << 64))):
+                steps = np.full(n, base, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+
+    def __call__(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the words of all texts in order, and how many words each text has."""
+        encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        line = np.frombuffer(b" ".join(encoded).translate(LOWER_AZ) + b" ", np.uint8)
+        self._reach(len(line) + 1)
+        gap = WHITE[line]
+        starts = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
+        stops = np.flatnonzero(gap & np.concatenate([[False], ~gap[:-1]]))
+        sums = np.zeros(len(line) + 1, np.uint64)
+        np.cumsum(self.byte[line] * self.powers[: len(line)], out=sums[1:])
+        hashes = mix((sums[stops] - sums[starts]) * self.inverses[starts] + (stops - starts).astype(np.uint64))
+        ends = np.cumsum([len(e) + 1 for e in encoded])
+        return hashes, np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+
+
+def shingle_sets(texts: Sequence[str | None], words: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, sorted: all of them in one array, and the texts' ends in it.
 
     A text with fewer words is one shingle; a text without words has none.
     """
-    words = [lowered_words(t) for t in texts]
-    counts = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((cache[w] for ws in words for w in ws), np.int64, int(counts.sum())).view(np.uint64)
+    flat, counts = words(texts)
     starts = np.concatenate([[0], np.cumsum(counts)])
     rolled = np.full(max(len(flat) - size + 1, 0), size, np.uint64)
     for i in range(size):
