@@ -12,6 +12,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import chunks
+from .shingles import WordHashes, WordRows, chunks
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
@@ -31,24 +32,36 @@ REPEATED = WORD_TERMS                   # the form "same as the word before"
 DIMENSIONS, SIGNS = 64, 4
 NEIGHBOURS = (1, 2)
 RANGE = 1024                            # terms whose vectors one row carries
-CACHED_WORDS = 300_000
 HIDDEN, EPOCHS, RATE = 32, 40, 3e-3
 
 _CORE = re.compile(r"[^\W_]+")
 
 
-class TermIds(dict):
-    """word -> word term * 2**16 + form term, remembered within a bound."""
+@lru_cache(maxsize=50_000)
+def _form(case: str, marks: str) -> int:
+    return WORD_TERMS + 1 + xxhash.xxh3_64_intdigest(case + marks) % (FORM_TERMS - 1)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
+
+def describe(word: str) -> tuple[int, int]:
+    """The word term and the form term of a word."""
+    core, marks = word, ""
+    if not word.isalpha():
         core = "".join(_CORE.findall(word))
         marks = _CORE.sub("", word)[:8]
-        case = "U" if core.isupper() and len(core) > 1 else "T" if core[:1].isupper() else "d" if core.isdigit() else "l"
-        form = WORD_TERMS + 1 + xxhash.xxh3_64_intdigest(f"{case if core else '-'}{marks}") % (FORM_TERMS - 1)
-        self[word] = out = (xxhash.xxh3_64_intdigest(core.lower()) % WORD_TERMS) << 16 | form
-        return out
+    lower = core.lower()
+    if lower == core:
+        case = "l" if core else "-"
+    else:
+        case = "U" if len(core) > 1 and core.isupper() else "T"
+    return xxhash.xxh3_64_intdigest(lower) % WORD_TERMS, _form(case, marks)
+
+
+class TermIds:
+    """Words as terms, remembered within a bound."""
+
+    def __init__(self):
+        self.read = WordHashes(lower=False).read
+        self.rows = WordRows(describe, 2, np.int32)
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -67,11 +80,10 @@ def dense_index() -> np.ndarray:
 
 def term_runs(texts: list[str | None], ids: TermIds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word terms, form terms and owning text of every word; repetitions have their own form."""
-    split = [(t or "").split() for t in texts]
-    counts = np.array([len(s) for s in split], np.int64)
-    both = np.fromiter((ids[w] for s in split for w in s), np.int64, int(counts.sum()))
-    owner = np.repeat(np.arange(len(texts)), counts)
-    word, form = both >> 16, both & 0xFFFF
+    words = ids.read(texts)
+    rows, own = ids.rows(words)
+    owner = np.repeat(np.arange(len(texts)), words.counts)
+    word, form = rows[own].astype(np.int64).T
     again = np.concatenate([[False], (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])])[: len(word)]
     return word, np.where(again, REPEATED, form), owner
 
@@ -87,7 +99,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         texts = batch.column(0).to_pylist()
-        for a, b in chunks(texts, 1 << 23):
+        for a, b in chunks(texts, 1 << 21):
             word, form, owner = term_runs(texts[a:b], ids)
             for step in NEIGHBOURS:
                 same = np.flatnonzero(owner[step:] == owner[:-step])
@@ -139,14 +151,17 @@ def pooled(texts: list[str | None], vectors: np.ndarray, ids: TermIds) -> np.nda
     word, form, owner = term_runs(texts, ids)
     n = np.bincount(owner, minlength=len(texts))
     out = np.zeros((len(texts), 2 * DIMENSIONS + 2), np.float32)
-    ends = np.cumsum(n)
-    for i in np.flatnonzero(n):
-        own = slice(ends[i] - n[i], ends[i])
-        w, wc = np.unique(word[own], return_counts=True)
-        f, fc = np.unique(form[own], return_counts=True)
-        out[i, :DIMENSIONS] = wc @ vectors[w] / n[i]
-        out[i, DIMENSIONS:-2] = fc @ vectors[f] / n[i]
-        out[i, -2:] = np.log1p(n[i]), len(w) / n[i]
+    # Each text's distinct terms with their counts, then sums of their vectors.
+    for first, term in ((0, word), (DIMENSIONS, form)):
+        pair, count = np.unique(owner * TERMS + term, return_counts=True)
+        text, term = np.divmod(pair, TERMS)
+        starts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])[: len(text)])
+        if len(starts):
+            weighted = vectors[term] * count[:, None].astype(np.float32)
+            out[text[starts], first: first + DIMENSIONS] = np.add.reduceat(weighted, starts, axis=0) / n[text[starts], None]
+            if first == 0:
+                out[:, -1] = np.bincount(text, minlength=len(texts)) / np.maximum(n, 1)
+    out[:, -2] = np.log1p(n)
     return out
 
 

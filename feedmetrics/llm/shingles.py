@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -47,7 +48,9 @@ class WordHashes:
     but for a chance of about 2**-60 a pair, which is taken as never.
     """
 
-    def __init__(self):
+    def __init__(self, lower: bool = True):
+        """``lower`` takes A-Z as a-z; else words keep their case."""
+        self.signs = LOWER_AZ if lower else bytes(range(256))
         rng = np.random.default_rng(5)
         self.byte = rng.integers(1, 2**64, 256, np.uint64, endpoint=False)
         self.base = int(rng.integers(2**62, 2**63)) * 4 + 3 & _MASK
@@ -63,17 +66,63 @@ class WordHashes:
 
     def __call__(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of the words of all texts in order, and how many words each text has."""
+        words = self.read(texts)
+        return words.hashes, words.counts
+
+    def read(self, texts: Sequence[str | None]) -> "Words":
         encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        line = np.frombuffer(b" ".join(encoded).translate(LOWER_AZ) + b" ", np.uint8)
-        self._reach(len(line) + 1)
-        gap = WHITE[line]
+        line = b" ".join(encoded).translate(self.signs) + b" "
+        signs = np.frombuffer(line, np.uint8)
+        self._reach(len(signs) + 1)
+        gap = WHITE[signs]
         starts = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
         stops = np.flatnonzero(gap & np.concatenate([[False], ~gap[:-1]]))
-        sums = np.zeros(len(line) + 1, np.uint64)
-        np.cumsum(self.byte[line] * self.powers[: len(line)], out=sums[1:])
+        sums = np.zeros(len(signs) + 1, np.uint64)
+        np.cumsum(self.byte[signs] * self.powers[: len(signs)], out=sums[1:])
         hashes = mix((sums[stops] - sums[starts]) * self.inverses[starts] + (stops - starts).astype(np.uint64))
         ends = np.cumsum([len(e) + 1 for e in encoded])
-        return hashes, np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+        counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
+        return Words(line, starts, stops, hashes, counts)
+
+
+@dataclass
+class Words:
+    """The words of some texts laid end to end: places in ``line``, hashes, and words per text."""
+
+    line: bytes
+    starts: np.ndarray
+    stops: np.ndarray
+    hashes: np.ndarray
+    counts: np.ndarray
+
+    def word(self, i: int) -> bytes:
+        return self.line[self.starts[i]: self.stops[i]]
+
+
+class WordRows:
+    """A row of numbers for every word, described once per word and remembered within a bound."""
+
+    def __init__(self, describe: Callable[[str], Sequence], columns: int, kind: type, bound: int = 300_000):
+        self.describe, self.bound = describe, bound
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.table = np.zeros((0, columns), kind)
+
+    def __call__(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of the distinct words, and for each word which of them is its own."""
+        unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
+        known = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
+        rows = np.zeros((len(unique), self.table.shape[1]), self.table.dtype)
+        rows[known] = self.table[self.places[at[known]]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            rows[new] = [self.describe(words.word(i).decode("utf-8", "surrogatepass")) for i in first[new].tolist()]
+            if len(self.table) + len(new) <= self.bound:
+                where = np.searchsorted(self.keys, unique[new])
+                self.keys = np.insert(self.keys, where, unique[new])
+                self.places = np.insert(self.places, where, len(self.table) + np.arange(len(new)))
+                self.table = np.concatenate([self.table, rows[new]])
+        return rows, inverse
 
 
 def shingle_sets(texts: Sequence[str | None], words: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, repeat
 
 import numpy as np
 
+from .shingles import WordHashes, Words
+
 CACHED_WORDS = 400_000
 
 # Latin letters that one code point stands for in every normal form, then ASCII marks but the
@@ -26,25 +28,28 @@ def _byte_signs() -> dict[int, int]:
 BYTE_SIGNS = _byte_signs()
 
 
-class WordTokens(dict):
-    """Encodes texts with a tokenizer that drops white space and never joins across it.
+class WordTokens:
+    """Encodes texts, A-Z lower-cased, with a tokenizer that drops white space and never joins across it.
 
     Such a tokenizer gives a text the ids of its words, one after another, so a word is encoded once
-    and remembered; when the memory is full, words not in it are encoded anew. Words are split at ASCII
-    white space only; other characters stay inside a word and are left to the tokenizer.
+    and remembered by its hash; when the memory is full, words not in it are encoded anew. Words are
+    split at ASCII white space only; other characters stay inside a word and are left to the tokenizer.
     """
 
     def __init__(self, path: str, prefix: str = "", plain_text: bool = False):
         """``prefix`` is put before each word; ``plain_text`` reads special tokens as ordinary text."""
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_text
         self.model = self.tokenizer.model
-        self.prefix, self.lower = prefix, self.tokenizer.normalizer is not None
-        self.ids = np.zeros(0, np.uint32)       # of all remembered words
+        self.prefix, self.lower, self.plain_text = prefix, self.tokenizer.normalizer is not None, plain_text
+        self.read = WordHashes().read
+        self.keys = np.zeros(0, np.uint64)      # hashes of the remembered words, sorted
+        self.places = np.zeros(0, np.int64)     # their places among the ids
+        self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
+        self.marks: dict[str, list[int]] = {"": []}
 
     def _plain(self, word: str) -> list[int] | None:
         """The ids of Latin letters with marks after them, as the tokenizer would split them itself.
@@ -56,15 +61,17 @@ class WordTokens(dict):
         if not found:
             return None
         letters, marks = found.groups()
-        if self.lower:
-            letters = letters.lower()
         if not letters.isascii():
-            letters = letters.encode().decode("latin-1").translate(BYTE_SIGNS)
-        ids = [t.id for t in self.model.tokenize((SPACE if self.prefix else "") + letters)]
-        return ids + [t.id for t in self.model.tokenize(marks)] if marks else ids
+            letters = (letters.lower() if self.lower else letters).encode().decode("latin-1").translate(BYTE_SIGNS)
+        ids = [t.id for t in self.model.tokenize(SPACE + letters if self.prefix else letters)]
+        if marks and marks not in self.marks:
+            self.marks[marks] = [t.id for t in self.model.tokenize(marks)]
+        return ids + self.marks.get(marks) if marks else ids
 
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and numbers of ids of distinct words."""
+        if len(self.marks) > CACHED_WORDS:
+            self.marks = {"": []}
         texts = [w.decode("utf-8", "surrogatepass") for w in words]
         ids = [self._plain(t) for t in texts]
         hard = [i for i, own in enumerate(ids) if own is None]
@@ -73,37 +80,39 @@ class WordTokens(dict):
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """The ids of ``text`` (uint32); null counts as empty."""
-        return self.encode_words((text or "").encode("utf-8", "surrogatepass").split())[0]
-
-    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text."""
-        words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        ids, sizes = self.encode_words([w for ws in words for w in ws])
-        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([len(w) for w in words])]
-        return np.split(ids, ends[:-1])
-
-    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_words(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words, and how many each has."""
-        places = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(places < 0)
+        unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
+        known = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
+        place = np.empty(len(unique), np.int64)
+        place[known] = self.places[at[known]]
         ids, ends = self.ids, self.ends
-        if len(unknown):
-            new = dict.fromkeys(words[i] for i in unknown)
-            found, sizes = self._encode_new(list(new))
-            for place, word in enumerate(new, len(ends) - 1):
-                new[word] = place
-            places[unknown] = np.fromiter((new[words[i]] for i in unknown), np.int64, len(unknown))
+        new = np.flatnonzero(~known)
+        if len(new):
+            found, sizes = self._encode_new([words.word(i) for i in first[new]])
+            place[new] = np.arange(len(ends) - 1, len(ends) - 1 + len(new))
             ids = np.concatenate([ids, found])
             ends = np.concatenate([ends, ends[-1] + np.cumsum(sizes)])
             if len(ends) <= CACHED_WORDS:
-                self.update(new)
                 self.ids, self.ends = ids, ends
-        sizes = ends[places + 1] - ends[places]
-        jump = np.repeat(ends[places] - (np.cumsum(sizes) - sizes), sizes)
+                where = np.searchsorted(self.keys, unique[new])
+                self.keys, self.places = np.insert(self.keys, where, unique[new]), np.insert(self.places, where, place[new])
+        place = place[inverse]
+        sizes = ends[place + 1] - ends[place]
+        jump = np.repeat(ends[place] - (np.cumsum(sizes) - sizes), sizes)
         return ids[jump + np.arange(len(jump))], sizes
 
+    def encode_all(self, texts: Sequence[str | None]) -> list[np.ndarray]:
+        """The ids of each text (uint32); null counts as empty."""
+        words = self.read(texts)
+        if not self.plain_text and b"<|" in words.line:
+            # A special token is one in its own case only, so such texts are not lower-cased first.
+            return [np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, np.uint32) for t in texts]
+        ids, sizes = self.encode_words(words)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(words.counts)]
+        return np.split(ids, ends[:-1])
+
 
 def pieces(ids: np.ndarray, capacity: int) -> Iterator[tuple[int, np.ndarray]]:
     """(start, ids) of the consecutive pieces of at most ``capacity`` ids."""

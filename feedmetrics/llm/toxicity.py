@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .boosting import Boosted, boost, calibrated, isotonic
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import chunks
+from .shingles import WordHashes, WordRows, chunks
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
@@ -36,7 +36,6 @@ STEMS = (4, 5, 6)
 LEXICON_SIZE = 2_000
 STRONG = 2.0                # log odds from which a lexicon entry counts as a hit
 NEAR = 3                    # words between a hit and a word of second person
-CACHED_WORDS = 200_000
 COUNTED_TERMS = 200_000     # terms a task counts before it passes them on
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -64,71 +63,61 @@ N_WORD_FEATURES = 11
 N_FEATURES = 15
 
 
-class Words(dict):
-    """word -> row of a table of word features, remembered within a bound."""
+class Lexicon:
+    """What the features of a text need to know of its words."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        super().__init__()
-        self.lexicon = lexicon
-        self.clear()
-
-    def clear(self) -> None:
-        super().clear()
-        self.table = np.zeros((CACHED_WORDS + 1, N_WORD_FEATURES), np.float32)      # row 0 pads documents
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+        self.read = WordHashes(lower=False).read
+        self.rows = WordRows(self.describe, N_WORD_FEATURES, np.float32)
 
     def weight(self, word: str) -> float:
-        return max((self.lexicon.get(t, 0.0) for t in terms(word)), default=0.0) if word else 0.0
+        return max((self.weights.get(t, 0.0) for t in terms(word)), default=0.0) if word else 0.0
 
-    def __missing__(self, word: str) -> int:
-        self[word] = row = len(self) + 1
-        out, core = self.table[row], plain(word)
-        letters = sum(c.isalpha() for c in word)
-        upper = sum(c.isupper() for c in word)
-        weight = self.weight(core)
+    def describe(self, word: str) -> list[float]:
+        out, core = [0.0] * N_WORD_FEATURES, plain(word)
         out[WORD] = 1
-        out[LETTERS], out[UPPER] = letters, upper
-        out[CAPS] = letters >= 2 and upper == letters
-        out[EXCLAIM] = word.count("!") + word.count("?")
-        out[OTHER_PUNCT] = len(word) - letters - out[EXCLAIM] - sum(c.isdigit() for c in word)
-        out[OBFUSCATED] = bool(core) and not core.isalpha() and any(c.isalpha() for c in core)
+        if word.isascii() and word.isalpha():
+            out[LETTERS] = len(word)
+            out[UPPER] = 0 if word.islower() else sum(c.isupper() for c in word)
+        else:
+            out[LETTERS] = sum(c.isalpha() for c in word)
+            out[UPPER] = sum(c.isupper() for c in word)
+            out[EXCLAIM] = word.count("!") + word.count("?")
+            out[OTHER_PUNCT] = len(word) - out[LETTERS] - out[EXCLAIM] - sum(c.isdigit() for c in word)
+            out[OBFUSCATED] = bool(core) and not core.isalpha() and any(c.isalpha() for c in core)
+        out[CAPS] = out[LETTERS] >= 2 and out[UPPER] == out[LETTERS]
+        weight = self.weight(core)
         if weight < STRONG and out[OBFUSCATED]:
             weight = self.weight(revealed(core))
             out[HIDDEN] = weight >= STRONG
         out[HIT], out[WEIGHT] = weight >= STRONG, weight
         out[SECOND] = core in SECOND_PERSON
-        return row
-
-    def full(self) -> bool:
-        return len(self) >= CACHED_WORDS // 2
+        return out
 
 
-def features(texts: list[str | None], words: Words) -> np.ndarray:
+def features(texts: list[str | None], lexicon: Lexicon) -> np.ndarray:
     """One row of ``N_FEATURES`` per text; null and empty texts are zeros."""
-    split = [(t or "").split() for t in texts]
-    out = np.zeros((len(texts), N_FEATURES), np.float64)
-    for i, own in enumerate(split):
-        if not own:
-            continue
-        sums, top, hits, near = np.zeros(N_WORD_FEATURES), 0.0, 0, 0
-        for start in range(0, len(own), CACHED_WORDS // 4):
-            if words.full():
-                words.clear()
-            part = own[start: start + CACHED_WORDS // 4]
-            table = words.table[np.fromiter(map(words.__getitem__, part), np.int64, len(part))]
-            sums += table.sum(0, dtype=np.float64)
-            top = max(top, float(table[:, WEIGHT].max()))
-            at = np.flatnonzero(table[:, HIT])
-            if len(at):
-                second = np.concatenate([[0], np.cumsum(table[:, SECOND])])
-                around = second[np.minimum(at + NEAR + 1, len(part))] - second[np.maximum(at - NEAR, 0)]
-                near += int((around > 0).sum())
-                hits += len(at)
-        n = sums[WORD]
-        out[i] = (
-            np.log1p(n), sums[HIT] / n, np.log1p(sums[HIT]), sums[WEIGHT] / n, top, sums[SECOND] / n,
-            near / n, near / hits if hits else 0.0, sums[CAPS] / n, sums[UPPER] / max(sums[LETTERS], 1),
-            sums[EXCLAIM] / n, sums[OTHER_PUNCT] / n, sums[OBFUSCATED] / n, np.log1p(sums[HIDDEN]), sums[LETTERS] / n)
-    return out
+    words = lexicon.read(texts)
+    rows, own = lexicon.rows(words)
+    n = words.counts
+    owner = np.repeat(np.arange(len(texts)), n)
+    sums = np.stack([np.bincount(owner, rows[:, k][own], len(texts)) for k in range(N_WORD_FEATURES)], axis=1)
+    ends = np.cumsum(n)
+    top = np.zeros(len(texts))
+    some = np.flatnonzero(n)
+    if len(some):
+        top[some] = np.maximum.reduceat(rows[:, WEIGHT][own], (ends - n)[some])
+    # Hits with a word of second person nearby, inside the same text.
+    second = np.concatenate([[0], np.cumsum(rows[:, SECOND][own])])
+    at = np.flatnonzero(rows[:, HIT][own])
+    first, last = np.maximum(at - NEAR, (ends - n)[owner[at]]), np.minimum(at + NEAR + 1, ends[owner[at]])
+    near = np.bincount(owner[at], second[last] > second[first], len(texts))
+    words_, letters, hits = np.maximum(sums[:, WORD], 1), np.maximum(sums[:, LETTERS], 1), sums[:, HIT]
+    return np.stack([
+        np.log1p(sums[:, WORD]), hits / words_, np.log1p(hits), sums[:, WEIGHT] / words_, top, sums[:, SECOND] / words_,
+        near / words_, near / np.maximum(hits, 1), sums[:, CAPS] / words_, sums[:, UPPER] / letters, sums[:, EXCLAIM] / words_,
+        sums[:, OTHER_PUNCT] / words_, sums[:, OBFUSCATED] / words_, np.log1p(sums[:, HIDDEN]), sums[:, LETTERS] / words_], axis=1)
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
@@ -181,12 +170,12 @@ class ToxicityModel:
     trees: Boosted
     curve: tuple[np.ndarray, np.ndarray]
 
-    def scores(self, texts: list[str | None], words: Words) -> np.ndarray:
+    def scores(self, texts: list[str | None], words: Lexicon) -> np.ndarray:
         return calibrated(self.trees.margin(features(texts, words)), self.curve)
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
-    words = Words(lexicon)
+    words = Lexicon(lexicon)
     for batch in batches:
         texts, label, part = (batch.column(i).to_pylist() for i in range(3))
         for a, b in chunks(texts):
@@ -215,7 +204,7 @@ def train(sample: DataFrame) -> ToxicityModel:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    words = Words(model.value.lexicon)
+    words = Lexicon(model.value.lexicon)
     for batch in batches:
         texts = batch.column(batch.num_columns - 1).to_pylist()
         score = np.concatenate([model.value.scores(texts[a:b], words) for a, b in chunks(texts)]) if texts else np.zeros(0)
@@ -254,7 +243,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def _clean(batches: Iterator[pa.RecordBatch], model, place: int) -> Iterator[pa.RecordBatch]:
-    words = Words(model.value.lexicon)
+    words = Lexicon(model.value.lexicon)
     for batch in batches:
         texts = batch.column(place).to_pylist()
         for a, b in chunks(texts):
