@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,8 +32,8 @@ except ModuleNotFoundError as missing:
 AS_OF = "2024-01-31"                        # "today" of the fixture: its last full day is the 30th
 WINDOW = ("2024-01-08", "2024-01-14")       # experiment days
 AB, AA = (1, 2), (2, 3)                     # groups compared
-N_BOOT, CELL_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE = 200, 10_000, 10_000, 10, 5
-BINS = 20
+N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, WHOLE_GROUP = 10_000, 10_000, 10, 5, 29    # 29 users a group at sf0.01
+BINS, NARROW = 20, (0.5, 1.0)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +71,45 @@ def _aa_pvalues(spark, d):
     return op.aa_pvalues(_aa_samples(spark, d), AA)
 
 
+def _people(spark, d):
+    """Own attributes of everybody who acts in the feed or writes a message."""
+    feed, msg = _feed(spark, d), _msg(spark, d)
+    keys = ["user_id", "gender", "age", "os"]
+    return feed.select(*keys).unionByName(msg.select(*keys)).distinct()
+
+
+def _merged_lifespan(spark, d):
+    """History up to the 29th, then one day after another."""
+    feed, msg = _sparse(spark, d)
+    out = op.user_lifespan(feed, msg, "2024-01-30")
+    for day in ("2024-01-30", "2024-01-31"):
+        out = op.merge_lifespan(out, feed, msg, day)
+    return out
+
+
+def _incremental_report(spark, d):
+    feed, msg = _sparse(spark, d)
+    users = op.merge_lifespan(op.user_lifespan(feed, msg, "2024-01-30"), feed, msg, "2024-01-30")
+    posts = op.merge_posts_first_seen(op.posts_first_seen(feed, "2024-01-30"), feed, "2024-01-30")
+    return op.app_report_metrics(feed, msg, AS_OF, users, posts)
+
+
+def _loaded(spark, d):
+    """Two days loaded, one of them twice, and the table read back."""
+    table = f"daily_{uuid.uuid4().hex}"
+    for as_of in (AS_OF, "2024-01-30", AS_OF):
+        plans.load_daily(_feed(spark, d), _msg(spark, d), as_of, table)
+    rows = plans.materialize(spark.table(table))
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+def _constant_ttest(spark, d, equal_var):
+    """A metric that does not vary within a group, but between them."""
+    users = _users(spark, d).withColumn("share", F.col("exp_group") / F.lit(2.0))
+    return op.t_test(users, "share", AB, equal_var)
+
+
 def _cube(spark, d, strict=False):
     return op.activity_cube(
         op.feed_cube(_feed(spark, d), AS_OF, strict), op.message_cube(_msg(spark, d), AS_OF, strict)
@@ -127,7 +167,10 @@ _QUERIES: dict[str, Query] = {
     "gone_users": lambda s, d: op.gone_users(_lifespan(s, d), "2024-01-30"),
     "gone_users_day_before": lambda s, d: op.gone_users(_lifespan(s, d), "2024-01-29").orderBy("last_time"),
     "gone_users_delta": lambda s, d: op.gone_users_delta(_lifespan(s, d), AS_OF),
+    "gone_users_delta_recent": lambda s, d: op.gone_users_delta_recent(*_sparse(s, d), AS_OF),
+    "user_lifespan_merged": _merged_lifespan,
     "app_report_metrics": lambda s, d: op.app_report_metrics(*_sparse(s, d), AS_OF),
+    "app_report_metrics_incremental": _incremental_report,
     # activity cube
     "feed_cube": lambda s, d: op.feed_cube(_feed(s, d), AS_OF),
     "feed_cube_strict": lambda s, d: op.feed_cube(_feed(s, d), AS_OF, strict=True),
@@ -137,6 +180,7 @@ _QUERIES: dict[str, Query] = {
     "users_received": lambda s, d: op.users_received(_msg(s, d), AS_OF),
     "message_cube": lambda s, d: op.message_cube(_msg(s, d), AS_OF),
     "message_cube_strict": lambda s, d: op.message_cube(_msg(s, d), AS_OF, strict=True),
+    "message_cube_demographics": lambda s, d: op.message_cube(_msg(s, d), AS_OF, demographics=_people(s, d)),
     "activity_cube": _cube,
     "rollup_dimension_os": lambda s, d: op.rollup_dimension(_cube(s, d), "os"),
     "rollup_dimension_gender": lambda s, d: op.rollup_dimension(_cube(s, d), "gender"),
@@ -145,12 +189,15 @@ _QUERIES: dict[str, Query] = {
     "dimension_rollup_strict": lambda s, d: op.dimension_rollup(_cube(s, d, strict=True)),
     "run_daily": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF),
     "run_daily_strict": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF, strict=True),
+    "run_daily_demographics": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF, demographics=_people(s, d)),
+    "load_daily": _loaded,
     # experiment statistics
     "user_ctr": _users,
     "group_ctr": lambda s, d: op.group_ctr(_feed(s, d), *WINDOW, AB),
     "smoothed_ctr": lambda s, d: op.smoothed_ctr(_users(s, d)),
     "group_summary": lambda s, d: op.group_summary(op.smoothed_ctr(_users(s, d))),
     "histogram_ctr": lambda s, d: op.histogram(_users(s, d), "ctr", "exp_group", BINS),
+    "histogram_ctr_narrow": lambda s, d: op.histogram(_users(s, d), "ctr", "exp_group", BINS, bounds=NARROW),
     "histogram_smoothed_ctr": lambda s, d: op.histogram(
         op.smoothed_ctr(_users(s, d)), "smoothed_ctr", "exp_group", BINS),
     "histogram_bucket_ctr": lambda s, d: op.histogram(
@@ -160,20 +207,22 @@ _QUERIES: dict[str, Query] = {
     "histogram_bootstrap_diff": lambda s, d: op.histogram(
         _bootstrap(s, d).withColumn("diff", F.col("ctr2") - F.col("ctr1")), "diff", None, BINS),
     "welch_ttest": lambda s, d: op.welch_ttest(_users(s, d), "ctr", AB),
+    "welch_ttest_constant": lambda s, d: _constant_ttest(s, d, False),
+    "pooled_ttest_constant": lambda s, d: _constant_ttest(s, d, True),
     "mann_whitney": lambda s, d: op.mann_whitney(_users(s, d), "ctr", AB),
     "poisson_bootstrap": _bootstrap,
     "bootstrap_diff": lambda s, d: op.bootstrap_diff(_bootstrap(s, d)),
-    "poisson_bootstrap_cells": lambda s, d: op.poisson_bootstrap(_users(s, d), CELL_BOOT, AB),
-    "bootstrap_diff_cells": lambda s, d: op.bootstrap_diff(op.poisson_bootstrap(_users(s, d), CELL_BOOT, AB)),
+    "poisson_bootstrap_cells": lambda s, d: op.poisson_bootstrap(_users(s, d), N_BOOT, AB),
+    "bootstrap_diff_cells": lambda s, d: op.bootstrap_diff(op.poisson_bootstrap(_users(s, d), N_BOOT, AB)),
     "bucket_ctr": lambda s, d: op.bucket_ctr(_users(s, d)),
     "bucket_welch": lambda s, d: op.welch_ttest(op.bucket_ctr(_users(s, d)), "bucket_ctr", AB),
     "bucket_mann_whitney": lambda s, d: op.mann_whitney(op.bucket_ctr(_users(s, d)), "bucket_ctr", AB),
     "smoothed_welch": lambda s, d: op.welch_ttest(op.smoothed_ctr(_users(s, d)), "smoothed_ctr", AB),
-    "experiment_report": lambda s, d: plans.experiment_report(
-        _feed(s, d), *WINDOW, AB, n_boot=N_BOOT, bootstrap_method="users"),
+    "experiment_report": lambda s, d: plans.experiment_report(_feed(s, d), *WINDOW),
     # A/A check
     "aa_samples": _aa_samples,
     "aa_samples_large_group": lambda s, d: _aa_samples(s, d, SMALL_SAMPLE),
+    "aa_samples_whole_group": lambda s, d: _aa_samples(s, d, WHOLE_GROUP),
     "aa_pvalues": _aa_pvalues,
     "aa_fpr": lambda s, d: op.aa_fpr(_aa_pvalues(s, d)),
     "aa_pvalue_histogram": lambda s, d: op.histogram(

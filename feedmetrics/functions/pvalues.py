@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TINY = 1e-300
-LARGE_DF = 1e5  # beyond this the normal approximation is closer than the gamma functions allow
+_ROUNDS = 20_000
 
 
-def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Continued fraction of the incomplete beta function (modified Lentz evaluation)."""
+def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Continued fraction of the incomplete beta function (modified Lentz evaluation).
+
+    NaN where it has not converged after ``_ROUNDS`` rounds.
+    """
     def safe(v: np.ndarray) -> np.ndarray:
         return np.where(np.abs(v) < _TINY, _TINY, v)
 
     c = np.ones_like(x)
     d = 1.0 / safe(1.0 - (a + b) * x / (a + 1.0))
     total = d.copy()
-    for m in range(1, rounds):
+    step = np.zeros_like(x)
+    for m in range(1, _ROUNDS):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         for term in (even, odd):
@@ -33,34 +37,64 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, rounds: int = 40
             c = safe(1.0 + term / c)
             step = c * d
             total = total * step
-        if np.all(np.abs(step - 1.0) < 1e-15):
+        if np.all(np.abs(step - 1.0) < 4e-15):
             break
-    return total
+    return np.where(np.abs(step - 1.0) < 1e-12, total, np.nan)
+
 
+def _log_gamma_step(a: np.ndarray) -> np.ndarray:
+    """log(Γ(a + 1/2) / Γ(a)), without taking two large numbers from one another.
+
+    From the ratio at a + 32, where its series in 1 / a has long settled, step by step down.
+    """
+    high = a + 32
+    inverse = 1 / high
+    out = 0.5 * np.log(high) - inverse / 8 + inverse**3 / 192 - inverse**5 / 640 + 17 * inverse**7 / 14336
+    for k in range(32):
+        out -= np.log1p(0.5 / (a + k))
+    return out
 
-def beta_inc(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised incomplete beta function I_x(a, b) for 0 <= x <= 1."""
-    lgamma = np.vectorize(math.lgamma, otypes=[float])
-    flip = x > (a + 1.0) / (a + b + 2.0)  # the fraction converges fast on one side only
-    p, q, y = np.where(flip, b, a), np.where(flip, a, b), np.where(flip, 1.0 - x, x)
-    with np.errstate(divide="ignore"):
-        log_front = lgamma(p + q) - lgamma(p) - lgamma(q) + p * np.log(y) + q * np.log1p(-y)
-    tail = np.where(y <= 0.0, 0.0, np.exp(log_front) / p * _beta_fraction(p, q, y))
+
+def beta_half(a: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function I_x(a, 1/2) at x = 1 / (1 + odds).
+
+    Given the odds, neither x nor 1 - x is rounded away near 1.
+    """
+    half = np.full_like(a, 0.5)
+    x, rest = 1 / (1 + odds), odds / (1 + odds)
+    # The fraction converges fast on one side only; with many degrees of freedom and not far out, both
+    # of its sides take nearly equal numbers from one another, and a series of positive terms does not.
+    near = (a > 1e3) & (a * odds < 18)
+    flip = near | (x > (a + 1.0) / (a + 2.5))
+    p, q = np.where(flip, half, a), np.where(flip, a, half)
+    y = np.where(flip, rest, x)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        log_front = _log_gamma_step(a) - 0.5 * math.log(math.pi) - (a + 0.5) * np.log1p(odds) + 0.5 * np.log(odds)
+        sums = np.full_like(a, np.nan)
+        sums[near] = _beta_series(a[near], rest[near])
+        sums[~near] = _beta_fraction(p[~near], q[~near], y[~near])
+        tail = np.where(y <= 0.0, 0.0, np.exp(log_front) / p * sums)
     return np.where(flip, 1.0 - tail, tail)
 
 
+def _beta_series(a: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The sum of (a + 1/2)(a + 3/2)… y^n / (3/2)(5/2)…, all terms positive; NaN if it does not end."""
+    total, term = np.ones_like(a), np.ones_like(a)
+    for k in range(_ROUNDS):
+        term = term * (a + 0.5 + k) / (1.5 + k) * y
+        total = total + term
+        if np.all(term < 1e-17 * total):
+            return total
+    return np.full_like(a, np.nan)
+
+
 def student_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom; NaN for NaN input."""
     out = np.full(t.shape, np.nan)
     ok = np.isfinite(t) & np.isfinite(df) & (df > 0)
-    few, many = ok & (df <= LARGE_DF), ok & (df > LARGE_DF)
-    if few.any():
-        tt, dd = t[few], df[few]
-        out[few] = beta_inc(dd / 2.0, np.full(dd.shape, 0.5), dd / (dd + tt * tt))
-    if many.any():
-        tt, dd = t[many], df[many]
-        z = np.abs(tt) * (1.0 - 1.0 / (4.0 * dd)) / np.sqrt(1.0 + tt * tt / (2.0 * dd))
-        out[many] = gaussian_two_sided(z)
+    if ok.any():
+        tt, dd = t[ok], df[ok]
+        out[ok] = beta_half(dd / 2.0, tt * tt / dd)
     return out
 
 

@@ -19,11 +19,14 @@ def as_date(day: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(day) if isinstance(day, str) else day
 
 
+def _day_columns(df: DataFrame) -> list[str]:
+    return ["time"] + [c for c in df.columns if c == DAY_PARTITION]
+
+
 def in_days(df: DataFrame, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Rows of the days ``start`` to ``end``, both included."""
     first, after = as_date(start), as_date(end) + dt.timedelta(days=1)
-    columns = ["time"] + [c for c in df.columns if c == DAY_PARTITION]
-    return df.where(" and ".join(f"{c} >= date'{first}' and {c} < date'{after}'" for c in columns))
+    return df.where(" and ".join(f"{c} >= date'{first}' and {c} < date'{after}'" for c in _day_columns(df)))
 
 
 def last_days(df: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
@@ -32,8 +35,14 @@ def last_days(df: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
     return in_days(df, today - dt.timedelta(days=days), today - dt.timedelta(days=1))
 
 
-def on_day(df: DataFrame, day: dt.date | str) -> DataFrame:
-    return in_days(df, day, day)
+def before_day(df: DataFrame, day: dt.date | str) -> DataFrame:
+    """Rows of all days before ``day``."""
+    return df.where(" and ".join(f"{c} < date'{as_date(day)}'" for c in _day_columns(df)))
+
+
+def since_day(df: DataFrame, day: dt.date | str) -> DataFrame:
+    """Rows of ``day`` and all days after it."""
+    return df.where(" and ".join(f"{c} >= date'{as_date(day)}'" for c in _day_columns(df)))
 
 
 def by_day(df: DataFrame, *columns: str) -> DataFrame:

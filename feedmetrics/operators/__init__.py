@@ -4,11 +4,16 @@ from .app import (
     daily_presence,
     gone_users,
     gone_users_delta,
+    gone_users_delta_recent,
+    merge_lifespan,
+    merge_posts_first_seen,
     messages_sent_daily,
     messages_sent_latest,
     new_posts,
+    new_posts_from,
     new_users,
     new_users_count,
+    posts_first_seen,
     service_usage_daily,
     service_usage_pivot,
     service_usage_share,
@@ -16,13 +21,13 @@ from .app import (
 )
 from .cube import (
     activity_cube,
-    attribute_receivers,
     daily_rollup,
     dimension_rollup,
     feed_cube,
     message_cube,
     messages_received,
     messages_sent,
+    received_by,
     rollup_dimension,
     users_received,
     users_sent,
@@ -45,7 +50,6 @@ __all__ = [
     "activity_cube",
     "all_activity",
     "app_report_metrics",
-    "attribute_receivers",
     "bootstrap_diff",
     "bucket_ctr",
     "daily_presence",
@@ -57,21 +61,27 @@ __all__ = [
     "feed_report_metrics",
     "gone_users",
     "gone_users_delta",
+    "gone_users_delta_recent",
     "group_ctr",
     "group_summary",
     "histogram",
     "mann_whitney",
+    "merge_lifespan",
+    "merge_posts_first_seen",
     "message_cube",
     "messages_received",
     "messages_sent",
     "messages_sent_daily",
     "messages_sent_latest",
     "new_posts",
+    "new_posts_from",
     "new_users",
     "new_users_count",
     "period_bounds",
     "poisson_bootstrap",
     "pooled_ctr",
+    "posts_first_seen",
+    "received_by",
     "rollup_dimension",
     "service_usage_daily",
     "service_usage_pivot",

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import as_date, by_day, day_of, last_days, ratio
+from ..functions import as_date, before_day, by_day, day_of, in_days, last_days, ratio, since_day
 
 FEED, MESSENGER, BOTH = "feed", "messenger", "feed+messenger"
 SERVICES = (FEED, BOTH, MESSENGER)
@@ -26,13 +26,15 @@ def service_usage_daily(
     days: int = 7,
     labels: dict[str, str] | None = None,
     strict: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
     """Users per day by the services they used that day: feed, messenger, or both.
 
     The flags of both services meet in one aggregate per (user, day), which equals a full outer
     join of the presences but never pairs rows and pre-aggregates before its shuffle.
     ``strict`` counts all messenger-only users of a day as one, the way an outer join does whose
-    unmatched left key falls back to 0. ``labels`` renames the service names.
+    unmatched left key falls back to 0. ``labels`` renames the service names. ``ordered`` sorts the
+    report; leave it out where the rows are worked on further.
     """
     def flagged(events: DataFrame, in_feed: bool, in_messenger: bool) -> DataFrame:
         return last_days(events, as_of, days).select(
@@ -62,7 +64,7 @@ def service_usage_daily(
     usage = per_user.groupBy(
         F.date_format("day", "yyyy-MM-dd").alias("day"), service.alias("using_service")
     ).agg(users.alias("cnt_users"))
-    return by_day(usage, "day", "using_service")
+    return by_day(usage, "day", "using_service") if ordered else usage
 
 
 def service_usage_share(usage: DataFrame) -> DataFrame:
@@ -72,9 +74,15 @@ def service_usage_share(usage: DataFrame) -> DataFrame:
     ).withColumn("per", F.bround(ratio(F.col("cnt_users"), F.col("total")), 3))
 
 
-def service_usage_pivot(share: DataFrame, services: tuple[str, ...] = SERVICES) -> DataFrame:
-    """Shares as one row per day and one column per service."""
-    return by_day(share.groupBy("day").pivot("using_service", list(services)).agg(F.first("per")), "day")
+def service_usage_pivot(
+    share: DataFrame, services: tuple[str, ...] = SERVICES, labels: dict[str, str] | None = None
+) -> DataFrame:
+    """Shares as one row per day and one column per service, ordered by day.
+
+    ``labels`` is the mapping given to ``service_usage_daily``: columns have the names it gave.
+    """
+    names = [(labels or {}).get(s, s) for s in services]
+    return by_day(share.groupBy("day").pivot("using_service", names).agg(F.first("per")), "day")
 
 
 def messages_sent_daily(msg: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
@@ -92,17 +100,29 @@ def new_posts(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Number of posts first seen yesterday; one row, 0 if there are none.
 
     Rows from ``as_of`` on cannot change whether a post first appeared yesterday, so the scan
-    stops there.
+    stops there. It starts with the first event; ``new_posts_from`` needs a table of first days only.
     """
+    return new_posts_from(posts_first_seen(feed, as_of), as_of)
+
+
+def posts_first_seen(feed: DataFrame, until: dt.date | str) -> DataFrame:
+    """``post_id, public_time``: the first action on every post, over the days before ``until``."""
+    return before_day(feed, until).groupBy("post_id").agg(F.min("time").alias("public_time"))
+
+
+def merge_posts_first_seen(seen: DataFrame, feed: DataFrame, day: dt.date | str) -> DataFrame:
+    """``seen`` with one more day of events; only that day is scanned."""
+    of_day = in_days(feed, day, day).groupBy("post_id").agg(F.min("time").alias("public_time"))
+    return seen.unionByName(of_day).groupBy("post_id").agg(F.min("public_time").alias("public_time"))
+
+
+def new_posts_from(seen: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """``new_posts`` from a table of first days that covers the days before ``as_of``."""
     today = as_date(as_of)
     yesterday = today - dt.timedelta(days=1)
-    first_seen = (
-        feed.where(F.col("time") < F.lit(today))
-        .groupBy("post_id")
-        .agg(F.min("time").alias("public_time"))
-    )
+    first = F.col("public_time")
     return (
-        first_seen.where(F.col("public_time") >= F.lit(yesterday))
+        seen.where((first >= F.lit(yesterday)) & (first < F.lit(today)))
         .agg(F.count("post_id").alias("new_posts"))
         .select(F.lit(yesterday).alias("day"), "new_posts")
     )
@@ -125,15 +145,28 @@ def user_lifespan(feed: DataFrame, msg: DataFrame, until: dt.date | str | None =
     Duplicates cannot change a minimum or maximum, so the union is not made distinct. Without
     ``until`` all rows count, today's partial data included; with it only rows before that day.
     """
-    activity = _activity_rows(feed, msg)
     if until is not None:
-        activity = activity.where(F.col("time") < F.lit(as_date(until)))
+        feed, msg = before_day(feed, until), before_day(msg, until)
+    return _first_and_last(_activity_rows(feed, msg))
+
+
+def _first_and_last(activity: DataFrame) -> DataFrame:
     return activity.groupBy("user_id").agg(
         F.to_date(F.min("time")).alias("first_time"),
         F.to_date(F.max("time")).alias("last_time"),
     )
 
 
+def merge_lifespan(lifespan: DataFrame, feed: DataFrame, msg: DataFrame, day: dt.date | str) -> DataFrame:
+    """``lifespan`` with one more day of activity; of the events only that day is scanned.
+
+    Days may come in any order and more than once: minimum and maximum do not change.
+    """
+    of_day = _first_and_last(_activity_rows(in_days(feed, day, day), in_days(msg, day, day)))
+    return lifespan.unionByName(of_day).groupBy("user_id").agg(
+        F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
+
+
 def new_users(lifespan: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Users whose first active day is yesterday."""
     yesterday = as_date(as_of) - dt.timedelta(days=1)
@@ -162,18 +195,41 @@ def gone_users_delta(lifespan: DataFrame, as_of: dt.date | str, days: int = 7) -
     ).withColumn("delta", F.col("gone_yesterday") - F.col("gone_day_before"))
 
 
-def app_report_metrics(feed: DataFrame, msg: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """The four numbers of the daily app report as (report_date, metric, value) rows."""
+def gone_users_delta_recent(feed: DataFrame, msg: DataFrame, as_of: dt.date | str, days: int = 7) -> DataFrame:
+    """The ``delta`` of ``gone_users_delta`` from the last days alone.
+
+    Between the day before and yesterday those users are newly gone whose last active day lies
+    ``days`` + 1 days before yesterday: nobody else needs to be looked at, and no earlier event.
+    """
+    last = as_date(as_of) - dt.timedelta(days=days + 2)
+    recent = _first_and_last(_activity_rows(since_day(feed, last), since_day(msg, last)))
+    return recent.agg(F.count_if(F.col("last_time") == F.lit(last)).alias("delta"))
+
+
+def app_report_metrics(
+    feed: DataFrame,
+    msg: DataFrame,
+    as_of: dt.date | str,
+    lifespan: DataFrame | None = None,
+    posts: DataFrame | None = None,
+) -> DataFrame:
+    """The four numbers of the daily app report as (report_date, metric, value) rows.
+
+    ``lifespan`` and ``posts`` are the per-user and per-post tables kept by ``merge_lifespan`` and
+    ``merge_posts_first_seen``, covering the days before ``as_of``. With them the events of the last
+    nine days are enough; without them the whole history is scanned.
+    """
     day = as_date(as_of)
     yesterday = day - dt.timedelta(days=1)
-    # New and gone users share one per-user table and one pass over it.
-    users = user_lifespan(feed, msg).agg(
-        F.count_if(F.col("first_time") == F.lit(yesterday)).alias("new_users"),
-        (
-            F.count_if(_gone(yesterday, 7)) - F.count_if(_gone(yesterday - dt.timedelta(days=1), 7))
-        ).alias("gone_users_delta"),
-    )
-    posts = new_posts(feed, as_of).select("new_posts")
+    new = F.count_if(F.col("first_time") == F.lit(yesterday)).alias("new_users")
+    if lifespan is None:
+        # New and gone users share one per-user table and one pass over it.
+        gone = F.count_if(_gone(yesterday, 7)) - F.count_if(_gone(yesterday - dt.timedelta(days=1), 7))
+        users = [user_lifespan(feed, msg).agg(new, gone.alias("gone_users_delta"))]
+    else:
+        delta = gone_users_delta_recent(feed, msg, as_of).withColumnRenamed("delta", "gone_users_delta")
+        users = [lifespan.agg(new), delta]
+    seen = posts_first_seen(feed, as_of) if posts is None else posts
     messages = messages_sent_latest(messages_sent_daily(msg, as_of)).select(
         F.col("mess_sent").alias("messages_sent")
     )
@@ -181,7 +237,7 @@ def app_report_metrics(feed: DataFrame, msg: DataFrame, as_of: dt.date | str) ->
     def as_rows(df: DataFrame) -> DataFrame:
         return df.unpivot([], df.columns, "metric", "value")
 
-    return (
-        as_rows(users).unionByName(as_rows(posts)).unionByName(as_rows(messages))
-        .select(F.lit(day).alias("report_date"), "metric", "value")
-    )
+    rows = as_rows(users[0])
+    for part in [*users[1:], new_posts_from(seen, as_of).select("new_posts"), messages]:
+        rows = rows.unionByName(as_rows(part))
+    return rows.select(F.lit(day).alias("report_date"), "metric", "value")

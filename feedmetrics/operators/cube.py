@@ -73,13 +73,28 @@ def users_received(msg: DataFrame, as_of: dt.date | str) -> DataFrame:
     )
 
 
-def attribute_receivers(msg: DataFrame, demographics: DataFrame) -> DataFrame:
-    """Messages as the receiver's side sees them: keyed by the receiver's own demographics.
+def received_by(msg: DataFrame, as_of: dt.date | str, demographics: DataFrame) -> DataFrame:
+    """Messages and distinct senders of yesterday per receiver, keyed by the receiver's own demographics.
 
-    ``demographics`` holds one row per ``user_id``. Receivers without one keep NULL attributes.
+    ``demographics`` holds one row per ``user_id``; a second one raises, as it would count messages
+    twice. Receivers without one keep NULL attributes. Messages are summed to one row per receiver
+    before the join, so a receiver with a third of the traffic is one row there.
     """
-    people = demographics.select(F.col("user_id").alias("reciever_id"), *DEMOGRAPHICS)
-    return msg.drop(*DEMOGRAPHICS).join(people, "reciever_id", "left")
+    per_receiver = (
+        _pairs(msg, as_of)
+        .groupBy("day", "user_id", "reciever_id").agg(F.sum("messages").alias("messages"))
+        .groupBy("day", F.col("reciever_id").alias("user_id"))
+        .agg(F.sum("messages").alias("messages_received"), F.count("*").alias("users_received"))
+    )
+    repeated = F.concat(F.lit("more than one row of demographics for user "), F.col("user_id").cast("string"))
+    kinds = {f.name: f.dataType for f in demographics.schema}
+    people = (
+        demographics.groupBy("user_id")
+        .agg(F.count("*").alias("rows"), *[F.first(c).alias(c) for c in DEMOGRAPHICS])
+        .select("user_id", *[
+            F.when(F.col("rows") > 1, F.raise_error(repeated).cast(kinds[c])).otherwise(F.col(c)).alias(c) for c in DEMOGRAPHICS])
+    )
+    return per_receiver.join(people, "user_id", "left")
 
 
 def message_cube(
@@ -114,14 +129,8 @@ def message_cube(
     if demographics is None:
         sides = pairs.select("day", *DEMOGRAPHICS, F.inline(F.array(sent_side(n, one), received_side(n, one))))
     else:
-        theirs = attribute_receivers(pairs, demographics)
-        # Pairs that differ only in the sender's demographics are one partner to the receiver.
-        theirs = theirs.groupBy("day", "user_id", "reciever_id", *DEMOGRAPHICS).agg(
-            F.sum("messages").alias("messages")
-        )
         sides = pairs.select("day", *DEMOGRAPHICS, F.inline(F.array(sent_side(n, one)))).unionByName(
-            theirs.select("day", *DEMOGRAPHICS, F.inline(F.array(received_side(n, one))))
-        )
+            received_by(msg, as_of, demographics).withColumns({"messages_sent": zero, "users_sent": zero}))
     cube = sides.groupBy(*CUBE_KEYS).agg(*[F.sum(m).alias(m) for m in MESSAGE_MEASURES])
     if strict:
         cube = cube.where((F.col("messages_sent") > 0) & (F.col("user_id") != 0))
@@ -174,24 +183,33 @@ def dimension_rollup(cube: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS)
 
 
 def daily_rollup(
-    feed: DataFrame, msg: DataFrame, as_of: dt.date | str, strict: bool = False
+    feed: DataFrame,
+    msg: DataFrame,
+    as_of: dt.date | str,
+    strict: bool = False,
+    demographics: DataFrame | None = None,
 ) -> DataFrame:
     """Yesterday's per-dimension table straight from the events.
 
     Equals ``dimension_rollup(activity_cube(feed_cube, message_cube))``. Sums over users do not
     need the users: feed rows are summed by demographics right away, and messages only per
     (sender, receiver) to count partners. The strict form drops rows by user, so its message side
-    still goes through the per-user cube.
+    still goes through the per-user cube. ``demographics`` is as in ``message_cube``: without it
+    received messages follow the sender's attributes, which the message carries.
     """
     keys = ["day", *DEMOGRAPHICS]
     feed_part = _yesterday(feed, as_of).groupBy(*keys).agg(*_feed_measures(strict))
     if strict:
-        message_part = message_cube(msg, as_of, strict=True).drop("user_id")
+        message_part = message_cube(msg, as_of, True, demographics).drop("user_id")
+        return dimension_rollup(feed_part.unionByName(message_part, allowMissingColumns=True))
+    messages, partners = F.sum("messages"), F.count("*")
+    sent = [messages.alias("messages_sent"), partners.alias("users_sent")]
+    by_sender = _pairs(msg, as_of).groupBy(*keys)
+    if demographics is None:
+        parts = [by_sender.agg(*sent, messages.alias("messages_received"), partners.alias("users_received"))]
     else:
-        message_part = _pairs(msg, as_of).groupBy(*keys).agg(
-            F.sum("messages").alias("messages_sent"),
-            F.sum("messages").alias("messages_received"),
-            F.count("*").alias("users_sent"),
-            F.count("*").alias("users_received"),
-        )
-    return dimension_rollup(feed_part.unionByName(message_part, allowMissingColumns=True))
+        received = [F.sum(c).alias(c) for c in ("messages_received", "users_received")]
+        parts = [by_sender.agg(*sent), received_by(msg, as_of, demographics).groupBy(*keys).agg(*received)]
+    for part in parts:
+        feed_part = feed_part.unionByName(part, allowMissingColumns=True)
+    return dimension_rollup(feed_part)

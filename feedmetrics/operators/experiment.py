@@ -77,36 +77,48 @@ def histogram(
 
     Groups share the edges, which run from minimum to maximum unless ``bounds`` fixes them. The
     extremes come from a scalar subquery, so nothing is brought to the driver; the last bin
-    includes its upper edge.
+    includes its upper edge. Values below or above ``bounds`` are counted in bins that are open on
+    that side (``bin_lo`` or ``bin_hi`` NULL), NaN in a bin of its own (both edges NaN): the counts add
+    up to the rows whose value is not NULL.
     """
-    values = df.where(F.col(column).isNotNull())
+    values = df.where(F.col(column).isNotNull()).withColumn("value", F.col(column).cast("double"))
     if bounds is None:
-        extremes = values.agg(
-            F.struct(
-                F.min(column).cast("double").alias("lo"), F.max(column).cast("double").alias("hi")
-            )
-        ).scalar()
+        numbers = F.when(~F.isnan("value"), F.col("value"))
+        extremes = values.agg(F.struct(F.min(numbers).alias("lo"), F.max(numbers).alias("hi"))).scalar()
         values = values.withColumn("edges", extremes)
         lo, hi = F.col("edges.lo"), F.col("edges.hi")
     else:
         lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
-        values = values.where((F.col(column) >= lo) & (F.col(column) <= hi))
     width = (hi - lo) / F.lit(float(bins))
-    position = F.floor((F.col(column) - lo) / F.nullif(width, F.lit(0.0)))
+    position = F.floor((F.col("value") - lo) / F.nullif(width, F.lit(0.0)))
+    nan, below, above = F.lit(bins + 1), F.lit(-1), F.lit(bins)
     binned = values.select(
         *([F.col(by)] if by else []),
-        F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).alias("bin"),
+        F.when(F.isnan("value"), nan)
+        .when(F.col("value") < lo, below)
+        .when(F.col("value") > hi, above)
+        .otherwise(F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1))).alias("bin"),
         lo.alias("lo"),
+        hi.alias("hi"),
         width.alias("width"),
     )
-    keys = ([by] if by else []) + ["bin", "lo", "width"]
+    keys = ([by] if by else []) + ["bin", "lo", "hi", "width"]
+    bin_, inside = F.col("bin"), F.col("bin").between(0, bins - 1)
+
+    def edge(number, open_bin, closed_bin, closed_edge):
+        return (
+            F.when(inside, F.col("lo") + number * F.col("width"))
+            .when(bin_ == closed_bin, F.col(closed_edge))
+            .when(bin_ != open_bin, F.lit(float("nan")))
+        )
+
     return (
         binned.groupBy(*keys)
         .agg(F.count("*").alias("n"))
         .select(
             *([by] if by else []),
-            (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_lo"),
-            (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_hi"),
+            edge(bin_, below, above, "hi").alias("bin_lo"),
+            edge(bin_ + 1, above, below, "lo").alias("bin_hi"),
             "n",
         )
     )

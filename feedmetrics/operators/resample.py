@@ -14,52 +14,68 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions import FINE_DIGITS, HASH_DIGITS, ratio, uniform
+from ..functions import FINE_DIGITS, md5_number, ratio, uniform
 from .stats import moments, with_t_test
 
-POISSON_CUT = 12
-RANK_LIMIT = 4              # groups smaller than this many samples are ranked whole
 ROWS_PER_BLOCK = 1_000_000  # users numbered in one window
-CELL_SLICES = 256           # each slice hands on one row per replicate, so more is not better
+SEED_DIGITS = 15            # hex digits of a cell's seed: fits a bigint
 
 
-def poisson_cdf(cut: int = POISSON_CUT) -> list[float]:
-    """P(Poisson(1) <= k) for k = 0 … cut - 1."""
-    steps = [math.exp(-1.0) / math.factorial(k) for k in range(cut)]
-    return [math.fsum(steps[: k + 1]) for k in range(cut)]
+def poisson_bounds() -> list[int]:
+    """P(Poisson(1) <= k) in units of 16 ** -FINE_DIGITS, rounded up, for every k where it is below 1.
+
+    A hash of that many hex digits is below bound k exactly if the draw is at most k; beyond the last
+    bound no hash is left, so nothing is cut off.
+    """
+    bounds, k = [], 0
+    while True:
+        steps = [math.exp(-1.0) / math.factorial(i) for i in range(k + 1)]
+        bound = math.ceil(math.fsum(steps) * 16**FINE_DIGITS)
+        if bound >= 16**FINE_DIGITS:
+            return bounds
+        bounds.append(bound)
+        k += 1
 
 
 def poisson_weight(digest: Column) -> Column:
-    """A Poisson(1) draw fixed by the md5 ``digest`` of a key: the quantile at ``uniform(key)``.
+    """A Poisson(1) draw fixed by the md5 ``digest`` of a key: the quantile at its first 52 bits.
 
-    With u = h / 2**32 for the first 8 hex digits h, u < c means h < ceil(c * 2**32), and hex digits
-    of equal length sort like their numbers. So the digest is compared with the bounds as text,
-    which saves a number conversion for every user and replicate. Pass a column, not an expression:
-    it is compared several times.
+    Hex digits of equal length sort like their numbers, so the digest is compared with the bounds as
+    text, which saves a number conversion for every user and replicate. Pass a column, not an
+    expression: it is compared several times.
     """
     weight = None
-    for k, bound in enumerate(poisson_cdf()):
-        below = digest < F.lit(f"{math.ceil(bound * 16**HASH_DIGITS):0{HASH_DIGITS}x}")
+    bounds = poisson_bounds()
+    for k, bound in enumerate(bounds):
+        below = digest < F.lit(f"{bound:0{FINE_DIGITS}x}")
         weight = F.when(below, k) if weight is None else weight.when(below, k)
-    return weight.otherwise(POISSON_CUT)
+    return weight.otherwise(len(bounds))
 
 
-def _spread(df: DataFrame, *keys: str, at_most: int | None = None) -> DataFrame:
-    """One slice per core of a table that is small in bytes but about to be multiplied.
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A table that is small in bytes but about to be multiplied, in as many slices as shuffles have.
 
-    Adaptive execution sizes partitions by bytes and would leave such a table in one task. It may
-    also drop a repartition by the keys the table was just grouped by, hence the hash of them.
+    Adaptive execution sizes partitions by bytes and would leave such a table in one task; it keeps
+    a number that is asked for. ``spark.sql.shuffle.partitions`` is what the session is sized for. The
+    hash keeps a repartition by the keys the table was just grouped by from being dropped.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, at_most) if at_most else cores, F.xxhash64(*keys))
+    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(slices, F.xxhash64(*keys))
+
+
+def _at_least_one(**counts: int) -> None:
+    for name, value in counts.items():
+        if value < 1:
+            raise ValueError(f"{name} must be at least 1, not {value}")
 
 
 def poisson_bootstrap(
     users: DataFrame,
     n_boot: int = 10_000,
-    groups: tuple[int, int] = (1, 2),
+    groups: tuple = (1, 2),
     seed: int = 42,
     method: str = "cells",
 ) -> DataFrame:
@@ -67,10 +83,11 @@ def poisson_bootstrap(
 
     ``method="cells"`` (default) first counts users with equal (group, likes, views): the weights of
     n equal users add up to one Poisson(n) draw, so the work is distinct cells x replicates however
-    many users there are. ``method="users"`` draws a portable hashed weight for every user and
-    replicate; it gives the same numbers in any SQL engine and is the form to check against. Both
-    shuffle only sums per replicate.
+    many users there are. ``method="users"`` draws a weight for every user and replicate. All draws
+    are quantiles at hashed numbers of 52 bits, which any engine can repeat. Both forms shuffle only
+    sums per replicate.
     """
+    _at_least_one(n_boot=n_boot)
     if method == "cells":
         sums = _bootstrap_cells(users, n_boot, groups, seed)
     elif method == "users":
@@ -84,7 +101,7 @@ def poisson_bootstrap(
     )
 
 
-def _bootstrap_users(users: DataFrame, n_boot: int, groups: tuple[int, int], seed: int) -> DataFrame:
+def _bootstrap_users(users: DataFrame, n_boot: int, groups: tuple, seed: int) -> DataFrame:
     drawn = (
         _spread(users.where(F.col("exp_group").isin(*groups)), "user_id", "exp_group")
         .withColumn("user_key", F.concat_ws(":", F.col("user_id"), F.col("exp_group")))
@@ -94,23 +111,47 @@ def _bootstrap_users(users: DataFrame, n_boot: int, groups: tuple[int, int], see
     )
 
     def weighted(measure: str, group: int) -> Column:
-        return F.sum(F.when(F.col("exp_group") == group, F.col("w") * F.col(measure)).otherwise(0))
+        return F.sum(F.when(F.col("exp_group") == F.lit(group), F.col("w") * F.col(measure)).otherwise(0))
 
     return drawn.groupBy("replicate").agg(
         *[weighted(m, g).alias(f"{m}{i}") for i, g in enumerate(groups, start=1) for m in ("likes", "views")]
     )
 
 
-def cell_weights(n: int, n_boot: int, seed: int, group: int, likes: int, views: int) -> np.ndarray:
-    """Weight of one cell of ``n`` equal users in every replicate, fixed by the cell's key."""
-    return np.random.default_rng([seed, group, likes, views]).poisson(n, n_boot)
+_GOLDEN, _FIRST, _SECOND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+
+
+def hashed_uniforms(seed: int, n_boot: int) -> np.ndarray:
+    """Numbers in [0, 1) of 52 bits for replicates 0 … n_boot - 1: the splitmix64 sequence from ``seed``."""
+    z = np.uint64(seed) + np.arange(n_boot, dtype=np.uint64) * _GOLDEN
+    z = (z ^ (z >> np.uint64(30))) * _FIRST
+    z = (z ^ (z >> np.uint64(27))) * _SECOND
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(12)).astype(np.float64) / 2.0**52
+
 
+def poisson_quantiles(n: int, u: np.ndarray) -> np.ndarray:
+    """The Poisson(n) quantile at every ``u``: how many k have a cumulated mass of at most ``u``.
 
-def _bootstrap_cells(users: DataFrame, n_boot: int, groups: tuple[int, int], seed: int) -> DataFrame:
+    Masses are cumulated from 15 deviations below the mean, where less than 1e-45 lies, to 15 above,
+    each by its ratio to the one before: no large numbers are taken from one another.
+    """
+    reach = 15 * math.sqrt(n) + 60
+    k = np.arange(max(0, int(n - reach)), int(n + reach) + 1)
+    steps = -np.log1p((k[1:] - n) / n)
+    mass = np.concatenate([[0.0], np.cumsum(steps)])
+    mass = np.exp(mass - mass.max())
+    return k[0] + np.searchsorted(np.cumsum(mass / mass.sum()), u, side="right")
+
+
+def _bootstrap_cells(users: DataFrame, n_boot: int, groups: tuple, seed: int) -> DataFrame:
+    # The seed of a cell is a hash of its key, so its draws do not depend on other cells.
+    key = F.concat_ws(":", "exp_group", "likes", "views", F.lit(seed))
     cells = (
         users.where(F.col("exp_group").isin(*groups))
         .groupBy("exp_group", "likes", "views")
         .agg(F.count("*").alias("n"))
+        .select((F.col("exp_group") == F.lit(groups[0])).alias("in_first"), "likes", "views", "n",
+                md5_number(key, SEED_DIGITS).alias("seed"))
     )
 
     def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,11 +159,12 @@ def _bootstrap_cells(users: DataFrame, n_boot: int, groups: tuple[int, int], see
         cells_seen = 0
         for batch in batches:
             cells_seen += len(batch)
-            for group, likes, views, n in batch.itertuples(index=False):
-                w = cell_weights(int(n), n_boot, seed, int(group), int(likes), int(views))
-                row = 0 if group == groups[0] else 2
-                sums[row] += w * int(likes)
-                sums[row + 1] += w * int(views)
+            for n, equal in batch.groupby("n"):
+                for first, likes, views, own in zip(equal["in_first"], equal["likes"], equal["views"], equal["seed"]):
+                    w = poisson_quantiles(int(n), hashed_uniforms(int(own), n_boot))
+                    row = 0 if first else 2
+                    sums[row] += w * int(likes)
+                    sums[row + 1] += w * int(views)
         if cells_seen:
             yield pd.DataFrame({
                 "replicate": np.arange(n_boot, dtype=np.int32),
@@ -131,7 +173,7 @@ def _bootstrap_cells(users: DataFrame, n_boot: int, groups: tuple[int, int], see
 
     schema = "replicate int, likes1 bigint, views1 bigint, likes2 bigint, views2 bigint"
     return (
-        _spread(cells, "exp_group", "likes", "views", at_most=CELL_SLICES)
+        _spread(cells, "seed")
         .mapInPandas(partial_sums, schema)
         .groupBy("replicate")
         .agg(*[F.sum(c).alias(c) for c in ("likes1", "views1", "likes2", "views2")])
@@ -153,141 +195,99 @@ def bootstrap_diff(boot: DataFrame, alpha: float = 0.05) -> DataFrame:
     )
 
 
+def _replicates(n: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("replicate")
+
+
 def aa_samples(
     users: DataFrame,
     metric: str = "ctr",
-    groups: tuple[int, int] = (2, 3),
+    groups: tuple = (2, 3),
     sample_size: int = 500,
     n_exp: int = 10_000,
     seed: int = 42,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """Independent samples without replacement: ``sample_size`` users per replicate and group.
 
-    Returns replicate, exp_group, user_id, metric. Users without the metric are not sampled. Counts
-    the users per group first (one row per group) and raises if a group is smaller than a sample.
+    Returns replicate, exp_group, user_id, metric. Users without the metric are not sampled; a group
+    with fewer users than a sample raises.
 
-    A small group (under ``RANK_LIMIT`` samples) is ranked by a hash of (user, replicate) in every
-    replicate. In a larger group that would hash every user for every replicate, so users get dense
-    numbers instead, each replicate draws random numbers and keeps the first ``sample_size`` distinct
-    ones: work grows with users + samples, not users x replicates. ``users`` is read several times;
-    pass a materialized table.
+    One rule for groups of every size: the users of a group are numbered, and each replicate deals
+    ``sample_size`` of the numbers as a shuffled pack of cards would be dealt. Work grows with
+    users + samples, not users x replicates. ``rows_per_block`` only decides how many tasks number
+    the users. ``users`` is read several times; pass a materialized table.
     """
+    _at_least_one(sample_size=sample_size, n_exp=n_exp, rows_per_block=rows_per_block)
     pool = users.where(F.col("exp_group").isin(*groups) & F.col(metric).isNotNull()).select(
         "user_id", "exp_group", F.col(metric).alias("metric")
     )
-    sizes = {r["exp_group"]: r["count"] for r in pool.groupBy("exp_group").count().collect()}
-    for group in groups:
-        if sizes.get(group, 0) < sample_size:
-            raise ValueError(
-                f"group {group} has {sizes.get(group, 0)} users, fewer than a sample of {sample_size}"
-            )
-    small = [g for g in groups if sizes[g] < RANK_LIMIT * sample_size]
-    large = {g: sizes[g] for g in groups if g not in small}
-    parts = []
-    if small:
-        parts.append(_sample_by_rank(pool.where(F.col("exp_group").isin(*small)), sample_size, n_exp, seed))
-    if large:
-        parts.append(_sample_by_number(pool, large, sample_size, n_exp, seed))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _replicates(n_exp: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(n_exp - 1))).alias("replicate")
-
-
-def _sample_by_rank(pool: DataFrame, sample_size: int, n_exp: int, seed: int) -> DataFrame:
-    keyed = (
-        _spread(pool, "user_id", "exp_group")
-        .select("*", _replicates(n_exp))
-        .withColumn("u", uniform(F.col("user_id"), F.col("exp_group"), F.col("replicate"), F.lit(seed)))
-    )
-    order = Window.partitionBy("replicate", "exp_group").orderBy("u", "user_id")
-    return (
-        keyed.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= sample_size)
-        .select("replicate", "exp_group", "user_id", "metric")
+    spark = users.sparkSession
+    kind = users.schema["exp_group"].dataType
+    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(g).cast(kind) for g in groups])).alias("exp_group"))
+    sizes = wanted.join(pool.groupBy("exp_group").agg(F.count("*").alias("size")), "exp_group", "left")
+    too_small = F.concat(
+        F.lit("group "), F.col("exp_group").cast("string"), F.lit(" has "), F.coalesce("size", F.lit(0)).cast("string"),
+        F.lit(f" users, fewer than a sample of {sample_size}"))
+    sizes = sizes.withColumn("size", F.when(F.col("size") >= sample_size, F.col("size")).otherwise(F.raise_error(too_small).cast("bigint")))
+    # One row per requested group is a bounded table.
+    draws = spark.range(n_exp).select(
+        F.col("id").cast("int").alias("replicate"), F.explode(F.array(*[F.lit(g).cast(kind) for g in groups])).alias("exp_group")
+    ).join(F.broadcast(sizes), "exp_group")
+    draw = F.sequence(F.lit(0), F.lit(sample_size - 1))
+
+    def step(i: Column) -> Column:
+        u = uniform(F.lit("draw"), F.col("exp_group"), F.col("replicate"), i, F.lit(seed), digits=FINE_DIGITS)
+        return i + F.floor(u * (F.col("size") - i))
+
+    dealt = draws.withColumn("swaps", F.transform(draw, step)).select(
+        "replicate", "exp_group", F.explode(deal("swaps")).alias("number"))
+    return dealt.join(numbered(pool, rows_per_block), ["exp_group", "number"]).select(
+        "replicate", "exp_group", "user_id", "metric"
     )
 
 
-def draws_per_sample(sample_size: int) -> int:
-    """Draws made per replicate to find ``sample_size`` distinct users of a large group.
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def deal(swaps: pd.Series) -> pd.Series:
+    """The first numbers of a pack 0, 1, 2, … after swapping place i with place ``swaps[i]`` >= i, in turn.
 
-    With groups of at least ``RANK_LIMIT`` = 4 samples, the chance that these hold fewer distinct
-    users is below 3e-39 for any sample size (at most C(4s, s) sets of size s, each caught with
-    probability 4 ** -(2s + 64)).
+    Only places that were swapped are remembered, so the work does not depend on the pack.
     """
-    return 2 * sample_size + 64
+    def one(places: np.ndarray) -> list[int]:
+        moved: dict[int, int] = {}
+        out = []
+        for i, p in enumerate(places.tolist()):
+            out.append(moved.get(p, p))
+            moved[p] = moved.get(i, i)
+        return out
+
+    return swaps.map(one)
 
 
-def numbered(pool: DataFrame, sizes: dict[int, int], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """``pool`` with ``number`` = 0 … size - 1 per group, without a one-task sort of a group.
+def numbered(pool: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """``pool`` with ``number`` = 0 … size - 1 per group, in the order of a hash of the user, then the user.
 
-    Users are hashed into blocks of about ``rows_per_block``, numbered within their block and
-    shifted by the size of the blocks before it (one small row per block).
+    Blocks are ranges of the hash with about ``rows_per_block`` users. Users are numbered within their
+    block and shifted by the size of the blocks before it (one narrow row per block), so a group is
+    never sorted in one task, and the number does not depend on the blocks.
     """
-    out = pool.where(F.col("exp_group").isin(*sizes))
-    blocks = F.lit(1)
-    for group, size in sizes.items():
-        blocks = F.when(F.col("exp_group") == group, math.ceil(size / rows_per_block)).otherwise(blocks)
-    out = out.withColumn("block", F.pmod(F.xxhash64("user_id"), blocks))
+    place = md5_number(F.col("user_id"), FINE_DIGITS)
+    blocks = pool.groupBy("exp_group").agg(F.ceil(F.count("*") / F.lit(rows_per_block)).alias("blocks"))
+    out = pool.withColumn("place", place).join(F.broadcast(blocks), "exp_group").withColumn(
+        "block", F.floor(F.col("place") * F.col("blocks") / F.lit(float(16**FINE_DIGITS))).cast("bigint"))
     block_sizes = out.groupBy("exp_group", "block").agg(F.count("*").alias("in_block"))
     before = Window.partitionBy("exp_group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = block_sizes.select(
-        "exp_group", "block", F.coalesce(F.sum("in_block").over(before), F.lit(0)).alias("offset")
-    )
-    within = Window.partitionBy("exp_group", "block").orderBy("user_id")
+        "exp_group", "block", F.coalesce(F.sum("in_block").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("exp_group", "block").orderBy("place", "user_id")
     return (
-        out.withColumn("place", F.row_number().over(within))
-        .join(F.broadcast(offsets), ["exp_group", "block"])
-        .withColumn("number", F.col("offset") + F.col("place") - 1)
-        .drop("block", "offset", "place")
-    )
-
-
-def _sample_by_number(
-    pool: DataFrame, sizes: dict[int, int], sample_size: int, n_exp: int, seed: int
-) -> DataFrame:
-    spark = pool.sparkSession
-    size_of = F.create_map(*[F.lit(v) for pair in sizes.items() for v in pair])
-
-    def number_of(draw: Column) -> Column:
-        u = uniform(
-            F.lit("draw"), F.col("exp_group"), F.col("replicate"), draw, F.lit(seed), digits=FINE_DIGITS
-        )
-        return F.floor(u * F.col("size"))
-
-    def distinct_numbers(draws: int) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), number_of))
-
-    # The draws of a sample are one short array, so finding its distinct numbers needs no shuffle.
-    # Never empty, they could be exploded either way; the outer form spares a filter on emptiness
-    # into which the optimizer would copy the draws.
-    picked = (
-        spark.range(n_exp)
-        .select(
-            F.col("id").cast("int").alias("replicate"),
-            F.explode(F.array(*[F.lit(g) for g in sizes])).alias("exp_group"),
-        )
-        .withColumn("size", size_of[F.col("exp_group")])
-        .withColumn("numbers", distinct_numbers(sample_size + sample_size // 4 + 8))
-        .withColumn(
-            "numbers",  # usually found among a few draws; the first ones are the same either way
-            F.when(F.size("numbers") >= sample_size, F.col("numbers"))
-            .otherwise(distinct_numbers(draws_per_sample(sample_size))),
-        )
-        .withColumn(
-            "numbers",
-            F.when(F.size("numbers") >= sample_size, F.slice("numbers", 1, sample_size))
-            .otherwise(F.raise_error(F.lit("too few distinct draws for a sample; use another seed"))),
-        )
-        .select("replicate", "exp_group", F.explode_outer("numbers").alias("number"))
-    )
-    return picked.join(numbered(pool, sizes), ["exp_group", "number"]).select(
-        "replicate", "exp_group", "user_id", "metric"
+        out.withColumn("rank", F.row_number().over(within))
+        .join(offsets, ["exp_group", "block"])
+        .select("user_id", "exp_group", "metric", (F.col("offset") + F.col("rank") - 1).alias("number"))
     )
 
 
-def aa_pvalues(samples: DataFrame, groups: tuple[int, int] = (2, 3)) -> DataFrame:
+def aa_pvalues(samples: DataFrame, groups: tuple = (2, 3)) -> DataFrame:
     """Pooled t-test of the two samples of each replicate: replicate, t, df, p_value."""
     rows = samples.groupBy("replicate").agg(*moments("metric", groups))
     return with_t_test(rows, equal_var=True).select("replicate", "t", "df", "p_value")

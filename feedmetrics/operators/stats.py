@@ -12,12 +12,18 @@ from pyspark.sql import functions as F
 from ..functions import normal_two_sided, t_two_sided
 
 
-def moments(metric: str, groups: tuple[int, int]) -> list[Column]:
+MOMENT_NAMES = ("n1", "mean1", "var1", "n2", "mean2", "var2")
+
+
+def moments(metric: str, groups: tuple) -> list[Column]:
     """Count, mean and sample variance of both groups as columns n1, mean1, var1, n2, …"""
+    def of(group) -> Column:
+        return F.when(F.col("exp_group") == F.lit(group), F.col(metric))
+
     return [
-        F.expr(f"{aggregate}({metric}) filter (where exp_group = {group})").alias(f"{name}{i}")
+        aggregate(of(group)).alias(f"{name}{i}")
         for i, group in enumerate(groups, start=1)
-        for aggregate, name in (("count", "n"), ("avg", "mean"), ("var_samp", "var"))
+        for aggregate, name in ((F.count, "n"), (F.avg, "mean"), (F.var_samp, "var"))
     ]
 
 
@@ -34,36 +40,49 @@ _WELCH = [
     "(error1 + error2) * (error1 + error2) / nullif("
     "error1 * error1 / nullif(n1 - 1, 0) + error2 * error2 / nullif(n2 - 1, 0), 0) as df",
 ]
+# Without any variance different means are infinitely many standard errors apart; equal ones say nothing.
+_T = """case when error1 + error2 > 0 then (mean1 - mean2) / sqrt(error1 + error2)
+             when error1 + error2 = 0 and mean1 > mean2 then double('Infinity')
+             when error1 + error2 = 0 and mean1 < mean2 then double('-Infinity') end as t"""
 
 
 def with_t_test(df: DataFrame, equal_var: bool) -> DataFrame:
-    """Adds t, df and p_value to rows of ``moments`` (NULL where a variance is missing or zero)."""
+    """Adds t, df and p_value to rows of ``moments``.
+
+    NULL where a variance is missing, or where both are zero and the means are equal. Zero variances
+    with different means give t = ±Infinity and p = 0, with df NULL in Welch's form.
+    """
+    p_value = F.when(F.abs("t") == float("inf"), F.lit(0.0)).otherwise(t_two_sided("t", "df"))
     return (
-        df.selectExpr(
-            "*",
-            *(_POOLED if equal_var else _WELCH),
-            "(mean1 - mean2) / nullif(sqrt(error1 + error2), 0) as t",
-        )
-        .select(*df.columns, "t", "df", t_two_sided("t", "df").alias("p_value"))
+        df.selectExpr("*", *(_POOLED if equal_var else _WELCH), _T)
+        .select(*df.columns, "t", "df", p_value.alias("p_value"))
     )
 
 
 def t_test(
-    df: DataFrame, metric: str = "ctr", groups: tuple[int, int] = (1, 2), equal_var: bool = False
+    df: DataFrame, metric: str = "ctr", groups: tuple = (1, 2), equal_var: bool = False
 ) -> DataFrame:
     """Student's (``equal_var``) or Welch's t-test; n, mean, variance per group, t, df, p_value."""
     rows = df.where(F.col("exp_group").isin(*groups))
     return with_t_test(rows.agg(*moments(metric, groups)), equal_var)
 
 
-def welch_ttest(df: DataFrame, metric: str = "ctr", groups: tuple[int, int] = (1, 2)) -> DataFrame:
+def welch_ttest(df: DataFrame, metric: str = "ctr", groups: tuple = (1, 2)) -> DataFrame:
     return t_test(df, metric, groups, equal_var=False)
 
 
+def _cuts(values: DataFrame, column: str, ranges: int, step: int) -> Column:
+    """Approximate quantiles that cut ``column`` into ``ranges``, and every ``step``-th of them: a scalar subquery."""
+    fractions = [(i + 1) / ranges for i in range(ranges - 1)]
+    coarse = F.transform(F.sequence(F.lit(0), F.floor((F.size("fine") - 1) / step).cast("int")), lambda i: F.get("fine", i * step))
+    cuts = values.agg(F.percentile_approx(column, fractions).alias("fine"))
+    return cuts.select(F.struct("fine", coarse.alias("coarse")).alias("cuts")).scalar()
+
+
 def mann_whitney(
     df: DataFrame,
     metric: str = "ctr",
-    groups: tuple[int, int] = (1, 2),
+    groups: tuple = (1, 2),
     ranges: int = 256,
 ) -> DataFrame:
     """Mann-Whitney U test, two-sided, normal approximation with tie and continuity correction.
@@ -72,50 +91,59 @@ def mann_whitney(
     become one row), distinct values are cut into ranges at approximate quantiles, ranked within
     their range, and each range's ranks are then shifted by the number of rows in lower ranges.
     Only that last step runs in one task, over at most ``ranges`` rows. The cuts decide where work
-    is done, not the result.
+    is done, not the result: counts and rank sums are exact decimals until the last step.
     """
     first, second = groups
-    values = df.where(f"exp_group in ({first}, {second}) and {metric} is not null").selectExpr(
-        f"{metric} as x", f"exp_group = {first} as in_first"
-    )
-    fractions = ", ".join(str((i + 1) / ranges) for i in range(ranges - 1))
-    cuts = values.agg(F.expr(f"percentile_approx(x, array({fractions}))").alias("cuts")).scalar()
+    values = df.where(F.col("exp_group").isin(first, second) & F.col(metric).isNotNull()).select(
+        F.col(metric).alias("x"), (F.col("exp_group") == F.lit(first)).alias("in_first"))
+    # The range of a value: first among every step-th cut, then among the cuts up to the next of these.
+    step = max(1, round(ranges**0.5))
+    x = F.col("x")
     counted = (
         values.groupBy("x")
-        .agg(F.expr("count_if(in_first)").alias("n1"), F.count("*").alias("n"))
-        .withColumn("cuts", cuts)
-        .selectExpr("x", "n1", "n", "size(filter(cuts, c -> c < x)) as range")
+        .agg(F.count_if("in_first").alias("n1"), F.count("*").alias("n"))
+        .withColumn("cuts", _cuts(values, "x", max(2, ranges), step))
+        .withColumn("first", F.greatest(F.size(F.filter("cuts.coarse", lambda c: c < x)) - 1, F.lit(0)) * step)
+        .withColumn("range", F.col("first") + F.size(F.filter(F.slice("cuts.fine", F.col("first") + 1, F.lit(step)), lambda c: c < x)))
+        .select("x", "n1", "n", "range")
     )
-    # Rank sums and tie counts are doubles: cubes of ties and products of sizes overflow bigint.
+    # Twice the rank sum is a whole number; cubes of ties and products of sizes overflow bigint.
+    whole = "decimal(38, 0)"
     per_range = (
         counted.selectExpr(
-            "range", "n1", "cast(n as double) as n",
-            "coalesce(sum(n) over (partition by range order by x "
-            "rows between unbounded preceding and 1 preceding), 0) as before",
+            "range", f"cast(n1 as {whole}) as n1", f"cast(n as {whole}) as n",
+            f"cast(coalesce(sum(n) over (partition by range order by x "
+            f"rows between unbounded preceding and 1 preceding), 0) as {whole}) as before",
         )
         .groupBy("range")
         .agg(
-            F.expr("cast(sum(n1) as double)").alias("n1"),
-            F.expr("sum(n)").alias("n"),
-            F.expr("sum(n1 * (before + (n + 1) / 2))").alias("ranks1"),
-            F.expr("sum(n * n * n - n)").alias("ties"),
+            F.expr(f"cast(sum(n1) as {whole})").alias("n1"),
+            F.expr(f"cast(sum(n) as {whole})").alias("n"),
+            F.expr(f"cast(sum(cast(n1 * (2 * before + n + 1) as {whole})) as {whole})").alias("ranks1"),
+            F.expr("sum(cast(n as double) * n * n - n)").alias("ties"),
         )
     )
     total = per_range.selectExpr(
         "*",
-        "coalesce(sum(n) over (partition by 0 order by range "
-        "rows between unbounded preceding and 1 preceding), 0) as lower",
+        f"cast(coalesce(sum(n) over (partition by 0 order by range "
+        f"rows between unbounded preceding and 1 preceding), 0) as {whole}) as lower",
     ).agg(
-        F.expr("coalesce(sum(n1), 0D)").alias("n1"),
-        F.expr("coalesce(sum(n - n1), 0D)").alias("n2"),
-        F.expr("sum(ranks1 + n1 * lower)").alias("ranks1"),
+        F.expr(f"cast(coalesce(sum(n1), 0) as {whole})").alias("n1"),
+        F.expr(f"cast(coalesce(sum(n - n1), 0) as {whole})").alias("n2"),
+        F.expr(f"cast(sum(ranks1 + cast(2 * n1 * lower as {whole})) as {whole})").alias("ranks1"),
         F.expr("sum(ties)").alias("ties"),
     )
     return total.selectExpr(
+        f"cast(cast(ranks1 - n1 * (n1 + 1) as {whole}) as double) / 2 as u1",
+        f"cast(cast(2 * n1 * n2 - (ranks1 - n1 * (n1 + 1)) as {whole}) as double) / 2 as u2",
+        "cast(n1 as double) as n1",
+        "cast(n2 as double) as n2",
+        "ties",
+    ).selectExpr(
         "cast(n1 as bigint) as n1",
         "cast(n2 as bigint) as n2",
-        "ranks1 - n1 * (n1 + 1) / 2 as u1",
-        "n1 * n2 - u1 as u2",
+        "u1",
+        "u2",
         "ties",
         "(greatest(u1, u2) - n1 * n2 / 2 - 0.5D) / nullif(sqrt(n1 * n2 / 12 "
         "* (n1 + n2 + 1 - ties / nullif((n1 + n2) * (n1 + n2 - 1), 0))), 0) as z",

@@ -1,5 +1,5 @@
-from .checkpoint import materialize
+from .checkpoint import materialize, materialized
 from .daily import load_daily, run_daily
 from .experiment import aa_check, experiment_report
 
-__all__ = ["aa_check", "experiment_report", "load_daily", "materialize", "run_daily"]
+__all__ = ["aa_check", "experiment_report", "load_daily", "materialize", "materialized", "run_daily"]

@@ -6,20 +6,34 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from ..functions import as_date
 from ..operators.cube import daily_rollup
 from ..sources.sink import RESULT_SCHEMA, ensure_table, load_result
 
 
 def run_daily(
-    feed: DataFrame, msg: DataFrame, as_of: dt.date | str, strict: bool = False
+    feed: DataFrame,
+    msg: DataFrame,
+    as_of: dt.date | str,
+    strict: bool = False,
+    demographics: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows of the result table for the day before ``as_of``, as one lazy plan."""
-    return daily_rollup(feed, msg, as_of, strict).select(*RESULT_SCHEMA.fieldNames())
+    """The rows of the result table for the day before ``as_of``, as one lazy plan.
+
+    ``demographics`` (one row per ``user_id``) attributes received messages to their receivers.
+    """
+    return daily_rollup(feed, msg, as_of, strict, demographics).select(*RESULT_SCHEMA.fieldNames())
 
 
 def load_daily(
-    feed: DataFrame, msg: DataFrame, as_of: dt.date | str, table: str, strict: bool = False
+    feed: DataFrame,
+    msg: DataFrame,
+    as_of: dt.date | str,
+    table: str,
+    strict: bool = False,
+    demographics: DataFrame | None = None,
 ) -> None:
     """Create ``table`` if needed and write the day into it; running again replaces the day."""
     ensure_table(feed.sparkSession, table)
-    load_result(run_daily(feed, msg, as_of, strict), table)
+    day = as_date(as_of) - dt.timedelta(days=1)
+    load_result(run_daily(feed, msg, as_of, strict, demographics), table, day)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.experiment import bucket_ctr, smoothed_ctr, user_ctr
 from ..operators.resample import aa_fpr, aa_pvalues, aa_samples, bootstrap_diff, poisson_bootstrap
-from ..operators.stats import mann_whitney, welch_ttest
+from ..operators.stats import MOMENT_NAMES, mann_whitney, moments, welch_ttest, with_t_test
 from .checkpoint import materialize
 
 
@@ -17,25 +17,33 @@ def experiment_report(
     feed: DataFrame,
     start: dt.date | str,
     end: dt.date | str,
-    groups: tuple[int, int] = (1, 2),
+    groups: tuple = (1, 2),
     alpha: float = 0.05,
     smoothing: float = 5,
     n_buckets: int = 50,
     n_boot: int = 10_000,
     seed: int = 42,
     bootstrap_method: str = "cells",
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """All tests of the CTR difference as (method, statistic, p_value, reject) rows.
 
-    The events are scanned once, into a per-user table all tests read. The bootstrap has no
-    p-value: it rejects when its interval for ctr2 - ctr1 does not touch 0.
+    The events are scanned once, into a per-user table that all tests read; pass ``users`` to keep that
+    table in your own hands (see ``materialized``). The t-tests of a user's own and smoothed CTR share
+    one pass over it, the bucket tests one small table. The bootstrap has no p-value: it rejects when
+    its interval for ctr2 - ctr1 does not touch 0.
     """
-    users = materialize(user_ctr(feed, start, end, groups))
-    buckets = bucket_ctr(users, n_buckets)
+    if users is None:
+        users = materialize(user_ctr(feed, start, end, groups))
+    buckets = materialize(bucket_ctr(users, n_buckets))
+    metrics = ("ctr", "smoothed_ctr")
+    both = smoothed_ctr(users, smoothing).agg(*[
+        F.struct(*moments(m, groups)).alias(m) for m in metrics]).select(F.inline(F.array(*[
+            F.struct(F.lit(f"welch_{m}").alias("method"), *[F.col(f"{m}.{c}").alias(c) for c in MOMENT_NAMES]) for m in metrics])))
 
-    def row(test: DataFrame, method: str, statistic: str) -> DataFrame:
+    def row(test: DataFrame, method: Column, statistic: str) -> DataFrame:
         return test.select(
-            F.lit(method).alias("method"),
+            method.alias("method"),
             F.col(statistic).alias("statistic"),
             F.col("p_value"),
             (F.col("p_value") < alpha).alias("reject"),
@@ -44,11 +52,10 @@ def experiment_report(
     boot = bootstrap_diff(poisson_bootstrap(users, n_boot, groups, seed, bootstrap_method), alpha)
     no_p: Column = F.lit(None).cast("double")
     rows = [
-        row(welch_ttest(users, "ctr", groups), "welch_ctr", "t"),
-        row(mann_whitney(users, "ctr", groups), "mann_whitney_ctr", "u1"),
-        row(welch_ttest(smoothed_ctr(users, smoothing), "smoothed_ctr", groups), "welch_smoothed_ctr", "t"),
-        row(welch_ttest(buckets, "bucket_ctr", groups), "welch_bucket_ctr", "t"),
-        row(mann_whitney(buckets, "bucket_ctr", groups), "mann_whitney_bucket_ctr", "u1"),
+        row(with_t_test(both, equal_var=False), F.col("method"), "t"),
+        row(mann_whitney(users, "ctr", groups), F.lit("mann_whitney_ctr"), "u1"),
+        row(welch_ttest(buckets, "bucket_ctr", groups), F.lit("welch_bucket_ctr"), "t"),
+        row(mann_whitney(buckets, "bucket_ctr", groups), F.lit("mann_whitney_bucket_ctr"), "u1"),
         boot.select(
             F.lit("poisson_bootstrap").alias("method"),
             F.col("mean_diff").alias("statistic"),
@@ -66,7 +73,7 @@ def aa_check(
     feed: DataFrame,
     start: dt.date | str,
     end: dt.date | str,
-    groups: tuple[int, int] = (2, 3),
+    groups: tuple = (2, 3),
     sample_size: int = 500,
     n_exp: int = 10_000,
     alpha: float = 0.05,

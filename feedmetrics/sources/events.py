@@ -44,9 +44,8 @@ def read_events(
 ) -> DataFrame:
     """Scan an event table with a fixed schema (no inference pass over the files).
 
-    ``fmt`` is any Spark source name. For a remote database use ``fmt="jdbc"`` through
-    ``spark.read`` with ``partitionColumn``/``lowerBound``/``upperBound``, so that executors
-    read slices in parallel; the operators only need the columns of the schema.
+    ``fmt`` is any Spark source that reads files from a path. The operators need only the columns of
+    the schema, so a frame from any other reader serves as well.
     """
     return spark.read.format(fmt).schema(schema).options(**options).load(path)
 

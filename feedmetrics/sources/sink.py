@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+from ..functions import DAY_PARTITION, as_date
 
 RESULT_SCHEMA = T.StructType([
-    T.StructField("event_date", T.DateType()),
+    T.StructField(DAY_PARTITION, T.DateType()),
     T.StructField("dimension", T.StringType()),
     T.StructField("dimension_value", T.StringType()),
     T.StructField("views", T.LongType()),
@@ -24,7 +27,7 @@ def ensure_table(
     spark: SparkSession,
     name: str,
     schema: T.StructType = RESULT_SCHEMA,
-    partition_by: str = "event_date",
+    partition_by: str = DAY_PARTITION,
 ) -> None:
     """Create the Parquet table, partitioned by day, unless it exists."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
@@ -33,18 +36,23 @@ def ensure_table(
     )
 
 
-def load_result(df: DataFrame, table: str) -> None:
-    """Write ``df`` into ``table`` by column name, replacing only the partitions it holds.
+def load_result(df: DataFrame, table: str, day: dt.date | str) -> None:
+    """Write ``df`` into ``table`` by column name as its partition ``day``, in place of what is there.
 
-    A rerun of a day leaves one copy of that day, so retries cannot duplicate rows.
+    A rerun of a day leaves one copy of that day, an empty rerun none; other days are not touched. A
+    row of another day raises. The day is written to its own folder and then made known to the
+    table: no session setting is involved, and loads of different days can run at the same time
+    (commits below one table folder would clear each other's temporary files).
     """
     spark = df.sparkSession
-    ordered = df.select(*[df[f.name].cast(f.dataType) for f in spark.table(table).schema])
-    # insertInto ignores the writer option of this name: without the session setting an overwrite
-    # would drop all other days.
-    before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        ordered.write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(OVERWRITE_MODE, before)
+    day = as_date(day)
+    schema = spark.table(table).schema
+    of_day = F.assert_true(df[DAY_PARTITION] == F.lit(day), F.lit(f"a row of another day than {day}"))
+    rows = df.where(of_day.isNull()).select(
+        *[df[f.name].cast(f.dataType) for f in schema if f.name != DAY_PARTITION])
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    location = details.where("col_name = 'Location'").first()["data_type"]
+    folder = f"{location.rstrip('/')}/{DAY_PARTITION}={day}"
+    rows.write.mode("overwrite").parquet(folder)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({DAY_PARTITION} = DATE'{day}') LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)

@@ -13,7 +13,7 @@ AS_OF = "date '2024-01-31'"
 YESTERDAY = "date '2024-01-30'"
 IN_WINDOW = "cast(time AS date) BETWEEN date '2024-01-08' AND date '2024-01-14'"
 LAST_WEEK = f"date_diff('day', cast(time AS date), {AS_OF}) BETWEEN 1 AND 7"
-N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, SEED, BINS = 200, 10_000, 10, 5, 42, 20
+N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, WHOLE_GROUP, SEED, BINS = 10_000, 10_000, 10, 5, 29, 42, 20
 
 SOURCES = """
 b AS (
@@ -39,7 +39,7 @@ sparse_msg AS (
 
 
 def _sql(select: str, *ctes: str) -> str:
-    return "WITH " + ",".join([SOURCES, *ctes]) + "\n" + select
+    return "WITH RECURSIVE " + ",".join([SOURCES, *ctes]) + "\n" + select
 
 
 def _text(day: str) -> str:
@@ -235,15 +235,16 @@ def _moments(table: str, metric: str, groups: tuple[int, int], by: str = "") ->
 
 def _t_test(name: str, table: str, metric: str, groups: tuple[int, int], welch: bool = True, by: str = "") -> str:
     if welch:
-        t = "(mean1 - mean2) / nullif(sqrt(var1 / n1 + var2 / n2), 0)"
+        error = "sqrt(var1 / n1 + var2 / n2)"
         df = ("pow(var1 / n1 + var2 / n2, 2) / nullif(pow(var1 / n1, 2) / (n1 - 1) + pow(var2 / n2, 2) / (n2 - 1), 0)")
     else:
         df = "cast(n1 + n2 - 2 AS double)"
-        t = ("(mean1 - mean2) / nullif(sqrt(((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2) "
-             "* (1.0::double / n1 + 1.0::double / n2)), 0)")
+        error = "sqrt(((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2) * (1.0::double / n1 + 1.0::double / n2))"
+    t = (f"CASE WHEN {error} > 0 THEN (mean1 - mean2) / {error} WHEN {error} = 0 AND mean1 <> mean2 "
+         "THEN sign(mean1 - mean2) * 'Infinity'::double END")
     return f"""
 {name}_t AS (SELECT *, {t} AS t, {df} AS df FROM ({_moments(table, metric, groups, by)})),
-{name} AS (SELECT *, CASE WHEN t IS NULL THEN NULL ELSE {_t_p_value('t', 'df')} END AS p_value FROM {name}_t)"""
+{name} AS (SELECT *, CASE WHEN t IS NULL THEN NULL WHEN isinf(t) THEN 0 ELSE {_t_p_value('t', 'df')} END AS p_value FROM {name}_t)"""
 
 
 T_TEST_COLUMNS = (
@@ -277,21 +278,18 @@ MANN_WHITNEY_COLUMNS = (
 
 
 def _poisson_case(u: str) -> str:
-    """Poisson(1) by its distribution function, cut at 12."""
+    """Poisson(1) by its distribution function, as far as 52 bits reach."""
     total, whens = [], []
-    for k in range(12):
-        total.append(math.exp(-1.0) / math.factorial(k))
-        whens.append(f"WHEN {u} < {math.fsum(total)!r}::double THEN {k}")
-    return "CASE " + " ".join(whens) + " ELSE 12 END"
+    while not total or math.ceil(math.fsum(total) * 16**13) < 16**13:
+        total.append(math.exp(-1.0) / math.factorial(len(total)))
+        whens.append(f"WHEN {u} < {math.fsum(total)!r}::double THEN {len(total) - 1}")
+    return "CASE " + " ".join(whens[:-1]) + f" ELSE {len(total) - 1} END"
 
 
 _DRAW_KEY = f"concat_ws(':', user_id, exp_group, replicate, {SEED})"
+REPLICATES = f"(SELECT cast(i AS integer) AS replicate FROM range(0, {N_BOOT}) AS r(i))"
 
-BOOTSTRAP = f"""{USERS},
-weights AS (
-  SELECT replicate, exp_group, likes, views, {_poisson_case('u')} AS w
-  FROM (SELECT *, {_uniform(_DRAW_KEY)} AS u
-        FROM users, (SELECT cast(i AS integer) AS replicate FROM range(0, {N_BOOT}) AS r(i)))),
+_BOOT = """
 boot AS (
   SELECT replicate,
          sum(w * likes) FILTER (exp_group = 1) / nullif(sum(w * views) FILTER (exp_group = 1), 0) AS ctr1,
@@ -303,6 +301,38 @@ boot_diff AS (
          avg(CASE WHEN ctr2 - ctr1 > 0 THEN 1 ELSE 0 END) FILTER (ctr2 - ctr1 IS NOT NULL) AS share_positive
   FROM boot)"""
 
+BOOTSTRAP = f"""{USERS},
+weights AS (
+  SELECT replicate, exp_group, likes, views, {_poisson_case('u')} AS w
+  FROM (SELECT *, {_uniform(_DRAW_KEY, 13)} AS u FROM users, {REPLICATES})),{_BOOT}"""
+
+
+def _scrambled(z: str, shift: int, factor: int) -> str:
+    """One round of the splitmix64 mixer, modulo 2 ** 64."""
+    return f"cast((cast(xor({z}, {z} >> {shift}) AS uhugeint) * {factor}) % 18446744073709551616 AS ubigint)"
+
+
+# The weight of n equal users is one Poisson(n) quantile, from the mass function summed up.
+BOOTSTRAP_CELLS = f"""{USERS},
+cells AS (
+  SELECT exp_group, likes, views, count(*) AS n,
+         {_hash(f"concat_ws(':', exp_group, likes, views, {SEED})", 15)} AS seed
+  FROM users GROUP BY 1, 2, 3),
+cdf AS (
+  SELECT n, list(c ORDER BY k) AS steps
+  FROM (SELECT n, k, sum(exp(-n + k * ln(n) - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k) AS c
+        FROM (SELECT DISTINCT n FROM cells), range(0, 400) AS r(k)) GROUP BY n),
+z0 AS (
+  SELECT c.*, replicate,
+         cast((cast(seed AS uhugeint) + cast(replicate AS uhugeint) * 11400714819323198485) % 18446744073709551616 AS ubigint) AS z
+  FROM cells c, {REPLICATES}),
+z1 AS (SELECT * REPLACE ({_scrambled('z', 30, 13787848793156543929)} AS z) FROM z0),
+z2 AS (SELECT * REPLACE ({_scrambled('z', 27, 10723151780598845931)} AS z) FROM z1),
+draws AS (SELECT *, (xor(z, z >> 31) >> 12) / 4503599627370496.0::double AS u FROM z2),
+weights AS (
+  SELECT replicate, exp_group, likes, views, len(list_filter(steps, lambda c: c <= u)) AS w
+  FROM draws JOIN cdf USING (n)),{_BOOT}"""
+
 
 def _histogram(table: str, column: str, by: str = "", bounds: tuple[float, float] | None = None) -> tuple[str, str]:
     lo, hi = (f"{bounds[0]}::double", f"{bounds[1]}::double") if bounds else (f"min({column})", f"max({column})")
@@ -323,32 +353,25 @@ binned AS (
 
 
 def _aa(size: int) -> str:
-    """Groups under 4 samples: smallest hashes. Larger ones: first distinct of 2 * size + 64 draws."""
-    draws = 2 * size + 64
-    draw_key = f"concat_ws(':', 'draw', exp_group, replicate, draw, {SEED})"
+    """The first ``size`` of a pack of numbered users, after swapping place i with a drawn place from i on."""
+    draw_key = f"concat_ws(':', 'draw', exp_group, replicate, i, {SEED})"
     return f"""{_users('2, 3')},
 pool AS (
-  SELECT user_id, exp_group, ctr AS metric, count(*) OVER (PARTITION BY exp_group) AS size,
-         row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS number
+  SELECT user_id, exp_group, ctr AS metric,
+         row_number() OVER (PARTITION BY exp_group ORDER BY {_hash('cast(user_id AS varchar)', 13)}, user_id) - 1 AS number
   FROM users WHERE ctr IS NOT NULL),
-replicates AS (SELECT cast(i AS integer) AS replicate FROM range(0, {N_EXP}) AS r(i)),
-by_rank AS (
-  SELECT replicate, exp_group, user_id, metric
-  FROM pool, replicates WHERE size < 4 * {size}
-  QUALIFY row_number() OVER (PARTITION BY replicate, exp_group ORDER BY {_uniform(_DRAW_KEY)}, user_id) <= {size}),
-draws AS (
-  SELECT replicate, exp_group, draw, cast(floor({_uniform(draw_key, 13)} * size) AS bigint) AS number
-  FROM (SELECT DISTINCT exp_group, size FROM pool WHERE size >= 4 * {size}), replicates,
-       (SELECT i AS draw FROM range(0, {draws}) AS d(i))),
-firsts AS (
-  SELECT replicate, exp_group, number
-  FROM (SELECT replicate, exp_group, number, min(draw) AS draw FROM draws GROUP BY 1, 2, 3)
-  QUALIFY row_number() OVER (PARTITION BY replicate, exp_group ORDER BY draw) <= {size}),
-samples AS (
-  SELECT * FROM by_rank
+deal AS (
+  SELECT replicate, exp_group, size, 0 AS i, range(0, size) AS pack
+  FROM (SELECT exp_group, count(*) AS size FROM pool GROUP BY 1),
+       (SELECT cast(i AS integer) AS replicate FROM range(0, {N_EXP}) AS r(i))
   UNION ALL
-  SELECT replicate, f.exp_group, user_id, metric
-  FROM firsts f JOIN pool p ON f.exp_group = p.exp_group AND f.number = p.number)"""
+  SELECT replicate, exp_group, size, i + 1,
+         list_transform(range(0, size), lambda k: pack[CASE k WHEN i THEN p WHEN p THEN i ELSE k END + 1])
+  FROM (SELECT *, i + cast(floor({_uniform(draw_key, 13)} * (size - i)) AS bigint) AS p FROM deal WHERE i < {size})),
+samples AS (
+  SELECT replicate, d.exp_group, user_id, metric
+  FROM (SELECT replicate, exp_group, unnest(pack[1:{size}]) AS number FROM deal WHERE i = {size}) d
+  JOIN pool p ON d.exp_group = p.exp_group AND d.number = p.number)"""
 
 
 AA = _aa(SAMPLE)
@@ -374,7 +397,7 @@ REPORT = ",".join([
     SMOOTHED_WELCH[_AFTER_USERS:],
     BUCKET_WELCH[_AFTER_USERS:],
     BUCKET_MW[len(BUCKETS) + 1:],
-    BOOTSTRAP[_AFTER_USERS:],
+    BOOTSTRAP_CELLS[_AFTER_USERS:],
 ])
 
 
@@ -394,6 +417,52 @@ REPORT_ROWS = "\nUNION ALL ".join([
     "SELECT 'poisson_bootstrap', round(mean_diff, 6), NULL, NOT (ci_low <= 0 AND ci_high >= 0) FROM boot_diff",
 ])
 
+BOOT_ROWS = "SELECT replicate, round(ctr1, 6) AS ctr1, round(ctr2, 6) AS ctr2 FROM boot"
+BOOT_DIFF_ROW = (
+    "SELECT round(mean_diff, 6) AS mean_diff, round(ci_low, 6) AS ci_low, round(ci_high, 6) AS ci_high, "
+    "round(share_positive, 6) AS share_positive, ci_low <= 0 AND ci_high >= 0 AS touches_zero FROM boot_diff"
+)
+
+CONSTANT = f"{USERS}, constant AS (SELECT *, exp_group / 2.0::double AS share FROM users)"
+
+# Values outside the bounds are in bins open on that side.
+HISTOGRAM_NARROW = f"""
+SELECT exp_group, round(CASE bin WHEN -1 THEN NULL WHEN {BINS} THEN 1.0 ELSE 0.5 + bin * 0.5 / {BINS} END, 6) AS bin_lo,
+       round(CASE bin WHEN -1 THEN 0.5 WHEN {BINS} THEN NULL ELSE 0.5 + (bin + 1) * 0.5 / {BINS} END, 6) AS bin_hi, count(*) AS n
+FROM (SELECT exp_group, CASE WHEN ctr < 0.5 THEN -1 WHEN ctr > 1 THEN {BINS}
+                             ELSE least(floor((ctr - 0.5::double) / (0.5::double / {BINS})), {BINS - 1}) END AS bin
+      FROM users WHERE ctr IS NOT NULL)
+GROUP BY exp_group, bin"""
+
+# Received messages by the receiver's own attributes, as everybody's own events show them.
+PEOPLE = "people AS (SELECT DISTINCT user_id, gender, age, os FROM (SELECT user_id, gender, age, os FROM feed UNION ALL SELECT user_id, gender, age, os FROM msg))"
+RECEIVED_OWN = f"""{PEOPLE},
+day_msg AS (SELECT user_id, reciever_id, gender, age, os {MSG_DAY}),
+sides AS (
+  SELECT user_id, gender, age, os, count(*) AS messages_sent, 0 AS messages_received,
+         count(DISTINCT reciever_id) AS users_sent, 0 AS users_received
+  FROM day_msg GROUP BY ALL
+  UNION ALL
+  SELECT r.user_id, p.gender, p.age, p.os, 0, messages, 0, senders
+  FROM (SELECT reciever_id AS user_id, count(*) AS messages, count(DISTINCT user_id) AS senders FROM day_msg GROUP BY 1) r
+  LEFT JOIN people p ON p.user_id = r.user_id),
+own_messages AS (
+  SELECT {YESTERDAY} AS day, user_id, gender, age, os,
+         {", ".join(f"cast(sum({m}) AS bigint) AS {m}" for m in ("messages_sent", "messages_received", "users_sent", "users_received"))}
+  FROM sides GROUP BY ALL)"""
+OWN_CUBE = f"""{_feed_cube(False)},{RECEIVED_OWN},
+cube AS (
+  SELECT day, gender, age, os, likes, views, 0 AS messages_sent, 0 AS messages_received, 0 AS users_sent, 0 AS users_received
+  FROM feed_cube
+  UNION ALL
+  SELECT day, gender, age, os, 0, 0, messages_sent, messages_received, users_sent, users_received FROM own_messages)"""
+
+
+def _day_before(sql: str) -> str:
+    """The same query one day earlier."""
+    return sql.replace(YESTERDAY, "date '2024-01-29'").replace(AS_OF, YESTERDAY)
+
+
 SQL: dict[str, str] = {
     "read_events": (
         "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, "
@@ -480,6 +549,7 @@ UNION ALL SELECT '2024-01-31', 'new_posts', new_posts FROM posts
 UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages ORDER BY day DESC LIMIT 1)""",
         LIFESPAN, GONE, NEW_POSTS, MESSAGES_DAILY,
     ),
+    "gone_users_delta_recent": _sql("SELECT gone_yesterday - gone_day_before AS delta FROM gone", LIFESPAN, GONE),
     "feed_cube": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM feed_cube", _feed_cube(False)),
     "feed_cube_strict": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM feed_cube", _feed_cube(True)),
     "messages_sent": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM m_sent", MESSAGE_SIDES),
@@ -488,6 +558,7 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     "users_received": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM u_received", MESSAGE_SIDES),
     "message_cube": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM message_cube", _message_cube(False)),
     "message_cube_strict": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM message_cube", _message_cube(True)),
+    "message_cube_demographics": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM own_messages", RECEIVED_OWN),
     "activity_cube": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM cube", _activity_cube(False)),
     "rollup_dimension_os": _sql(_rollup("os"), _activity_cube(False)),
     "rollup_dimension_gender": _sql(_rollup("gender"), _activity_cube(False)),
@@ -496,6 +567,9 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     "dimension_rollup_strict": _sql(ALL_ROLLUPS, _activity_cube(True)),
     "run_daily": _sql(ALL_ROLLUPS, _activity_cube(False)),
     "run_daily_strict": _sql(ALL_ROLLUPS, _activity_cube(True)),
+    "run_daily_demographics": _sql(ALL_ROLLUPS, OWN_CUBE),
+    "load_daily": "SELECT * FROM (" + _sql(ALL_ROLLUPS, _activity_cube(False)) + ")\nUNION ALL SELECT * FROM ("
+    + _day_before(_sql(ALL_ROLLUPS, _activity_cube(False))) + ")",
     "user_ctr": _sql("SELECT user_id, exp_group, round(ctr, 6) AS ctr, likes, views FROM users", USERS),
     "group_ctr": _sql("SELECT exp_group, round(global_ctr, 6) AS global_ctr FROM grp", SMOOTHED),
     "smoothed_ctr": _sql(
@@ -509,6 +583,7 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
         SMOOTHED,
     ),
     "histogram_ctr": _histogram_query(USERS, "users", "ctr", "exp_group"),
+    "histogram_ctr_narrow": _sql(HISTOGRAM_NARROW, USERS),
     "histogram_smoothed_ctr": _histogram_query(SMOOTHED, "smoothed", "smoothed_ctr", "exp_group"),
     "histogram_bucket_ctr": _histogram_query(BUCKETS, "buckets", "bucket_ctr", "exp_group"),
     "histogram_bootstrap_ctr": _histogram_query(
@@ -520,15 +595,15 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
         BOOTSTRAP + ", diffs AS (SELECT ctr2 - ctr1 AS diff FROM boot)", "diffs", "diff"
     ),
     "welch_ttest": _sql(f"SELECT {T_TEST_COLUMNS} FROM welch", WELCH),
+    "welch_ttest_constant": _sql(
+        f"SELECT {T_TEST_COLUMNS} FROM welch_c", CONSTANT, _t_test("welch_c", "constant", "share", (1, 2))),
+    "pooled_ttest_constant": _sql(
+        f"SELECT {T_TEST_COLUMNS} FROM pooled_c", CONSTANT, _t_test("pooled_c", "constant", "share", (1, 2), welch=False)),
     "mann_whitney": _sql(f"SELECT {MANN_WHITNEY_COLUMNS} FROM mw", MANN_WHITNEY),
-    "poisson_bootstrap": _sql(
-        "SELECT replicate, round(ctr1, 6) AS ctr1, round(ctr2, 6) AS ctr2 FROM boot", BOOTSTRAP
-    ),
-    "bootstrap_diff": _sql(
-        "SELECT round(mean_diff, 6) AS mean_diff, round(ci_low, 6) AS ci_low, round(ci_high, 6) AS ci_high, "
-        "round(share_positive, 6) AS share_positive, ci_low <= 0 AND ci_high >= 0 AS touches_zero FROM boot_diff",
-        BOOTSTRAP,
-    ),
+    "poisson_bootstrap": _sql(BOOT_ROWS, BOOTSTRAP),
+    "bootstrap_diff": _sql(BOOT_DIFF_ROW, BOOTSTRAP),
+    "poisson_bootstrap_cells": _sql(BOOT_ROWS, BOOTSTRAP_CELLS),
+    "bootstrap_diff_cells": _sql(BOOT_DIFF_ROW, BOOTSTRAP_CELLS),
     "bucket_ctr": _sql("SELECT exp_group, bucket, round(bucket_ctr, 6) AS bucket_ctr FROM buckets", BUCKETS),
     "bucket_welch": _sql(f"SELECT {T_TEST_COLUMNS} FROM welch_b", BUCKET_WELCH),
     "bucket_mann_whitney": _sql(f"SELECT {MANN_WHITNEY_COLUMNS} FROM mw_b", BUCKET_MW),
@@ -536,6 +611,7 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     "experiment_report": _sql(REPORT_ROWS, REPORT),
     "aa_samples": _sql(SAMPLE_ROWS, AA),
     "aa_samples_large_group": _sql(SAMPLE_ROWS, _aa(SMALL_SAMPLE)),
+    "aa_samples_whole_group": _sql(SAMPLE_ROWS, _aa(WHOLE_GROUP)),
     "aa_pvalues": _sql(
         "SELECT replicate, round(t, 6) AS t, round(df, 6) AS df, round(p_value, 6) AS p_value FROM aa", AA_TESTS
     ),
@@ -546,3 +622,6 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     ),
     "aa_pvalue_histogram": _histogram_query(AA_TESTS, "aa", "p_value", bounds=(0.0, 1.0)),
 }
+
+SQL["user_lifespan_merged"] = SQL["user_lifespan"]
+SQL["app_report_metrics_incremental"] = SQL["app_report_metrics"]

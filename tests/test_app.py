@@ -126,3 +126,24 @@ def test_reading_formats(spark, tmp_path, fmt):
     back = sources.read_events(spark, str(tmp_path / fmt), fmt=fmt, **options)
     assert back.schema == sources.EVENTS_SCHEMA
     assert back.exceptAll(events).count() == 0 and events.exceptAll(back).count() == 0
+
+
+def test_pivot_follows_the_labels(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01")
+    labels = {"feed": "F", "messenger": "M", "feed+messenger": "both"}
+    plain = op.service_usage_pivot(op.service_usage_share(op.service_usage_daily(feed, msg, AS_OF, ordered=False)))
+    named = op.service_usage_pivot(op.service_usage_share(op.service_usage_daily(feed, msg, AS_OF, labels=labels)), labels=labels)
+    assert named.columns == ["day", "F", "both", "M"]
+    assert [tuple(r) for r in plain.collect()] == [tuple(r) for r in named.collect()]
+
+
+def test_merged_tables_equal_the_full_ones(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01", sparse=True)
+    users, posts = op.user_lifespan(feed, msg, "2024-01-05"), op.posts_first_seen(feed, "2024-01-05")
+    for day in ("2024-01-06", "2024-01-05", "2024-01-05", "2024-01-07"):       # in any order, and again
+        users, posts = op.merge_lifespan(users, feed, msg, day), op.merge_posts_first_seen(posts, feed, day)
+    assert users.exceptAll(op.user_lifespan(feed, msg, "2024-01-08")).count() == 0
+    assert posts.exceptAll(op.posts_first_seen(feed, "2024-01-08")).count() == 0
+    for as_of in ("2024-01-12", "2024-01-20", AS_OF):
+        full = op.gone_users_delta(op.user_lifespan(feed, msg), as_of).first().delta
+        assert op.gone_users_delta_recent(feed, msg, as_of).first().delta == full

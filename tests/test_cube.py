@@ -1,6 +1,7 @@
 """The activity cube, its rollups and the result table."""
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,26 @@ def test_receivers_by_their_own_demographics(spark):
     assert got == {(1, 20): (1, 1, 1, 1), (1, 21): (1, 0, 1, 0), (2, 30): (1, 2, 1, 1)}
 
 
+def test_repeated_people_are_an_error(spark):
+    msg = message_frame(spark, [(1, 2, Y), (3, 2, Y)])
+    people = spark.createDataFrame([(2, 1, 30, "Android"), (2, 1, 31, "Android")], "user_id long, gender int, age int, os string")
+    with pytest.raises(Exception, match="more than one row of demographics for user 2"):
+        op.message_cube(msg, AS_OF, demographics=people).collect()
+    with pytest.raises(Exception, match="more than one row of demographics"):
+        plans.run_daily(feed_frame(spark, []), msg, AS_OF, demographics=people).collect()
+
+
+def test_daily_table_by_receivers_equals_the_cubes_rollup(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01")
+    people = feed.select("user_id", "gender", "age", "os").distinct()
+    for strict in (False, True):
+        cube = op.activity_cube(op.feed_cube(feed, AS_OF, strict), op.message_cube(msg, AS_OF, strict, people))
+        assert same(plans.run_daily(feed, msg, AS_OF, strict, people), op.dimension_rollup(cube))
+    plain, own = plans.run_daily(feed, msg, AS_OF), plans.run_daily(feed, msg, AS_OF, demographics=people)
+    assert plain.agg(F.sum("messages_received")).first() == own.agg(F.sum("messages_received")).first()
+    assert not same(plain, own)
+
+
 def test_strict_feed_counts_rows(spark):
     feed = feed_frame(spark, [(1, 1, "like", Y), (1, 2, "view", Y), (1, 3, "view", Y)])
     assert tuple(op.feed_cube(feed, AS_OF).first())[-2:] == (1, 2)
@@ -99,5 +120,36 @@ def test_loading_goes_by_name(spark):
     names = sorted(row)
     schema = sources.RESULT_SCHEMA
     df = spark.createDataFrame([tuple(row[n] for n in names)], ", ".join(f"{n} {schema[n].dataType.simpleString()}" for n in names))
-    sources.load_result(df, "by_name")
+    sources.load_result(df, "by_name", "2024-01-01")
     assert spark.table("by_name").first().asDict() == row
+
+
+def test_an_empty_rerun_clears_the_day(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01")
+    spark.sql("DROP TABLE IF EXISTS cleared")
+    for as_of in ("2024-01-30", AS_OF):
+        plans.load_daily(feed, msg, as_of, "cleared")
+    plans.load_daily(feed.where("false"), msg.where("false"), AS_OF, "cleared")
+    assert [r.event_date for r in spark.table("cleared").select("event_date").distinct().collect()] == [dt.date(2024, 1, 29)]
+
+
+def test_days_load_in_parallel(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01")
+    spark.sql("DROP TABLE IF EXISTS in_parallel")
+    sources.ensure_table(spark, "in_parallel")
+    days = [f"2024-01-{d}" for d in range(24, 32)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda d: plans.load_daily(feed, msg, d, "in_parallel"), days))
+    got = spark.table("in_parallel")
+    assert got.groupBy("event_date").count().count() == len(days)
+    for d in days:
+        day = dt.date.fromisoformat(d) - dt.timedelta(days=1)
+        assert same(got.where(F.col("event_date") == F.lit(day)), plans.run_daily(feed, msg, d))
+
+
+def test_rows_of_another_day_are_an_error(spark):
+    feed, msg = feed_and_messages(spark, "sf0.01")
+    spark.sql("DROP TABLE IF EXISTS other_day")
+    sources.ensure_table(spark, "other_day")
+    with pytest.raises(Exception, match="a row of another day than 2024-01-01"):
+        sources.load_result(plans.run_daily(feed, msg, AS_OF), "other_day", "2024-01-01")

@@ -1,5 +1,7 @@
 """Shapes of the physical plans that matter at scale."""
 
+import math
+import os
 import re
 
 import pytest
@@ -72,14 +74,14 @@ def test_rank_test_ranks_within_ranges(inputs):
 def test_bootstrap_draws_in_many_tasks(spark, inputs, method):
     users = op.user_ctr(inputs[0], *WINDOW)
     plan = final(op.poisson_bootstrap(users, 100, method=method))
-    slices = spark.sparkContext.defaultParallelism
+    slices = spark.conf.get("spark.sql.shuffle.partitions")
     assert re.search(rf"Exchange hashpartitioning\(xxhash64\(.*?\), {slices}\), REPARTITION_BY_NUM", plan)
 
 
 SMALL_INPUT_ONLY = {"read_events", "feed_actions", "message_actions"}
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SMALL_INPUT_ONLY))
+@pytest.mark.parametrize("name", sorted(set(contract._QUERIES) - SMALL_INPUT_ONLY))
 def test_no_query_pairs_all_rows(spark, name):
     plan = initial(contract.queries()[name](spark, "/root/testdata/sf0.01"))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
@@ -120,6 +122,18 @@ def test_histogram_keeps_every_value(spark):
         rows = op.histogram(df, "x", "g", bins).collect()
         assert sum(r.n for r in rows) == 100
         assert min(r.bin_lo for r in rows) == 0 and max(r.bin_hi for r in rows) == pytest.approx(12)
+    for bounds in ((0.0, 4.0), (5.0, 6.0), (-9.0, -8.0), (20.0, 30.0), (-5.0, 50.0), (3.0, 3.0)):
+        rows = op.histogram(df, "x", "g", 4, bounds).collect()
+        assert sum(r.n for r in rows) == 100
+        values = [float(i % 13) for i in range(100)]
+        assert sum(r.n for r in rows if r.bin_lo is None) == sum(v < bounds[0] for v in values)
+        assert sum(r.n for r in rows if r.bin_hi is None) == sum(v > bounds[1] for v in values)
+    odd = df.unionByName(spark.createDataFrame([(float("nan"), 0)] * 7, "x double, g int"))
+    for bounds in (None, (0.0, 4.0)):
+        rows = op.histogram(odd, "x", None, 4, bounds).collect()
+        assert sum(r.n for r in rows) == 107
+        assert [r.n for r in rows if r.bin_lo is not None and math.isnan(r.bin_lo)] == [7]
+        assert max(r.bin_hi for r in rows if r.bin_hi is not None and not math.isnan(r.bin_hi)) in (4.0, 12.0)
     one = op.histogram(spark.createDataFrame([(2.5,)] * 3, "x double"), "x", None, 5).collect()
     assert len(one) == 1 and one[0].n == 3
     assert op.histogram(df.where("false"), "x", "g", 5).count() == 0
@@ -145,5 +159,49 @@ def test_a_cluster_must_name_its_shared_folder():
     assert shared_dir(_Session("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(_Session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("local-cluster[2,1,1024]"))
     local = _Session("local[2]")
     assert shared_dir(local) == shared_dir(local)
+
+
+def test_materialized_files_go_with_their_block(spark, inputs):
+    with plans.materialized(op.user_ctr(inputs[0], *WINDOW)) as users:
+        folder = os.path.dirname(users.inputFiles()[0].split(":", 1)[1].replace("///", "/"))
+        assert users.count() > 0 and os.path.isdir(folder)
+        report = plans.experiment_report(inputs[0], *WINDOW, n_boot=20, users=users).collect()
+        assert len(report) == 6
+    assert not os.path.exists(folder)
+
+
+def test_report_reads_its_users_few_times(inputs):
+    plan = initial(plans.experiment_report(inputs[0], *WINDOW, n_boot=20))
+    assert len(re.findall(r"FileScan parquet \[[^]]*(?:likes|ctr#)", plan)) < 9
+
+
+def test_receivers_meet_their_attributes_as_one_row_each(inputs):
+    people = inputs[0].select("user_id", "gender", "age", "os").distinct()
+    plan = formatted(op.message_cube(inputs[1], AS_OF, demographics=people))
+    logical = op.message_cube(inputs[1], AS_OF, demographics=people)._jdf.queryExecution().optimizedPlan().toString()
+    below = logical[logical.index("Join LeftOuter"):]
+    first = re.search(r"Aggregate \[day#\d+, reciever_id#\d+L\]", below)
+    assert first and first.start() < below.index("Relation"), plan
+
+
+def test_incremental_lifecycle_scans_the_new_days_only(spark, inputs):
+    users = spark.createDataFrame([], "user_id long, first_time date, last_time date")
+    posts = spark.createDataFrame([], "post_id long, public_time timestamp_ntz")
+    plans_ = [
+        op.merge_lifespan(users, *inputs, "2024-01-30"), op.merge_posts_first_seen(posts, inputs[0], "2024-01-30"),
+        op.app_report_metrics(*inputs, AS_OF, users, posts)]
+    for df in plans_:
+        filters = re.findall(r"PushedFilters: (.*)", formatted(df))
+        assert filters and all("GreaterThanOrEqual(ts,2024-01-2" in f or "GreaterThanOrEqual(ts,2024-01-30" in f for f in filters)
+
+
+def test_history_bounds_prune_partitions(spark, inputs, tmp_path):
+    path = str(tmp_path / "by_day")
+    inputs[0].withColumn("event_date", F.to_date("time")).write.partitionBy("event_date").parquet(path)
+    feed = spark.read.parquet(path)
+    for df in (op.new_posts(feed, AS_OF), op.posts_first_seen(feed, AS_OF)):
+        assert "event_date" in re.search(r"PartitionFilters: (.*)", formatted(df)).group(1)

@@ -8,7 +8,7 @@ import pytest
 
 from data import users_frame
 from feedmetrics import operators as op
-from feedmetrics.functions.pvalues import LARGE_DF, gaussian_two_sided, student_two_sided
+from feedmetrics.functions.pvalues import gaussian_two_sided, student_two_sided
 
 
 def student(t, df):
@@ -29,9 +29,39 @@ def test_student_cauchy_closed_form():
         assert student(t, 1) == pytest.approx(1 - 2 / math.pi * math.atan(t), abs=1e-12)
 
 
-def test_student_is_continuous_where_the_method_changes():
-    for t in (0.01, 0.5, 1.96, 4.0, 8.0):
-        assert student(t, LARGE_DF) == pytest.approx(student(t, LARGE_DF * 1.0001), rel=1e-6)
+def closed_form(t, df):
+    """Student's distribution for a whole ``df`` as a finite sum."""
+    theta, cos2 = math.atan(t / math.sqrt(df)), df / (df + t * t)
+    total, term = 0.0, 1.0
+    if df % 2:
+        for k in range(1, (df - 1) // 2 + 1):
+            total += term
+            term *= cos2 * 2 * k / (2 * k + 1)
+        return 1 - 2 / math.pi * (theta + math.sin(theta) * math.cos(theta) * total)
+    for k in range(1, df // 2 + 1):
+        total += term
+        term *= cos2 * (2 * k - 1) / (2 * k)
+    return 1 - math.sin(theta) * total
+
+
+@pytest.mark.parametrize("df", [1, 2, 3, 4, 7, 10, 31, 100, 999, 1000, 2001, 30_000])
+def test_student_closed_forms(df):
+    for t in (0.0, 0.01, 0.3, 1.0, 1.96, 3.0, 6.0, 40.0):
+        assert student(t, df) == pytest.approx(closed_form(t, df), abs=1e-10)
+
+
+@pytest.mark.parametrize("df", [1e5, 1e6, 1e7, 1e8, 1e9])
+def test_student_of_many_degrees_of_freedom(df):
+    """The normal tail and the first term in 1 / df."""
+    for t in (0.01, 0.5, 1.0, 1.96, 3.0, 4.2, 5.0):
+        density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        first = density * (t**3 + t) / (2 * df)
+        assert student(t, df) == pytest.approx(math.erfc(t / math.sqrt(2)) + first, rel=1e-7, abs=max(1e-13, 100 * first / df))
+
+
+def test_a_fraction_that_does_not_converge_is_nan(monkeypatch):
+    monkeypatch.setattr("feedmetrics.functions.pvalues._ROUNDS", 3)
+    assert math.isnan(student(1.0, 50))
 
 
 def test_undefined_input_gives_nan():
@@ -109,6 +139,27 @@ def test_tests_without_spread_or_without_a_group_give_no_p_value(spark, rows):
     assert op.t_test(users, equal_var=True).first().p_value is None
 
 
+@pytest.mark.parametrize("equal_var", [False, True])
+def test_constant_groups_with_different_means(spark, equal_var):
+    low, high = [(i, 1, 1, 4) for i in range(5)], [(10 + i, 2, 1, 2) for i in range(4)]
+    row = op.t_test(users_frame(spark, low + high), equal_var=equal_var).first()
+    assert (row.t, row.p_value) == (-math.inf, 0.0)
+    turned = op.t_test(users_frame(spark, low + high), groups=(2, 1), equal_var=equal_var).first()
+    assert (turned.t, turned.p_value) == (math.inf, 0.0)
+
+
+def test_mann_whitney_sums_are_exact(spark):
+    """Rank sums beyond 2 ** 53 halves: many ties stand for many users."""
+    from pyspark.sql import functions as F
+
+    users = spark.range(4_000_000).select(
+        F.col("id").alias("user_id"), (1 + F.col("id") % 2).cast("int").alias("exp_group"), (F.col("id") % 1000 / 7.0).alias("ctr"))
+    rows = {op.mann_whitney(users, ranges=r).first().u1 for r in (1, 16, 256, 1000)}
+    # Per value 4,000 users, all of one group: even values are group 1, odd ones group 2.
+    expected = 4000 * 4000 * sum(range(500))
+    assert rows == {float(expected)}
+
+
 def test_mann_whitney_of_nothing(spark):
     row = op.mann_whitney(users_frame(spark, [])).first()
     assert (row.n1, row.n2, row.p_value) == (0, 0, None)
