@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shingles import SHINGLE, WordHashes, chunks, mix, shingle_sets
+from .shingles import SHINGLE, chunks, mix, shingle_sets, slices, WordHashes
 from .store import drop_rows, land, numbered, small_enough, without
 
 PERCENT = 75                    # links: 100 * intersection >= 75 * union
@@ -33,7 +33,7 @@ ROW = "__row"
 BASE = 64                       # sets below this size use one part per shingle
 SKETCH_LONGS = 8                # 512 bits to rule out pairs
 SLOT_BITS, RANGE_BITS = 20, 14  # counters of the parts' rarity, and how many one row carries
-FLUSH = 2_000_000               # parts a task holds before it passes them on
+FLUSH = 1_000_000               # parts a task holds before it passes them on
 PARTS_PER_TASK = 1_000_000
 HOT = 200_000                   # a part shared by more documents is spread over several tasks
 FEW = 16                        # rows that share a part and are paired at once
@@ -91,20 +91,29 @@ def _slot(parts: np.ndarray) -> np.ndarray:
     return (parts >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
-def parity_sketch(values: np.ndarray) -> np.ndarray:
-    """512 bits, each shingle flips one."""
-    odd = np.bincount((mix(values) % np.uint64(64 * SKETCH_LONGS)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def parity_sketch(values: np.ndarray, bits: int = 64 * SKETCH_LONGS) -> np.ndarray:
+    """``bits`` bits (a power of two), each shingle flips one; as bytes.
+
+    The sketch of half as many bits is the exclusive or of its halves.
+    """
+    odd = np.bincount((mix(values) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def detailed_bits(n: int) -> int:
+    """Bits of the sketch that tells sets of this size apart: a power of two from 4 n on."""
+    return max(64 * SKETCH_LONGS, 1 << (4 * n - 1).bit_length())
 
 
 SUMMARY = (
-    f"{ROW} bigint, n int, digest binary, sketch array<bigint>, weak int, parts bigint, range int, dense boolean, counts binary")
+    f"{ROW} bigint, n int, digest binary, sketch array<bigint>, detail binary, weak int, parts bigint, range int,"
+    " dense boolean, counts binary")
 
 
 def _summaries(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Per text its size, digest and sketch; per task how often parts occur, by hashed counters."""
     words, counters, weak, total = WordHashes(), np.zeros(1 << SLOT_BITS, np.int32), set(), 0
-    for batch in batches:
+    for batch in slices(batches):
         rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
             values, ends = shingle_sets(texts[a:b], words, size)
@@ -119,7 +128,8 @@ def _summaries(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> It
             yield _arrow(SUMMARY, {
                 ROW: rows[a:b], "n": [len(s) for s in sets],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
-                "sketch": [parity_sketch(s).tolist() for s in sets],
+                "sketch": [parity_sketch(s).view(np.int64).tolist() for s in sets],
+                "detail": [parity_sketch(s, detailed_bits(len(s))).tobytes() for s in sets],
             })
     for r, part in enumerate(counters.reshape(-1, 1 << RANGE_BITS)):
         used = np.flatnonzero(part)
@@ -140,7 +150,7 @@ _TYPES = {
 def _arrow(ddl: str, columns: dict) -> pa.RecordBatch:
     length = len(next(iter(columns.values())))
     absent = {k: pa.nulls(length, t) for k, t in _TYPES.items()}
-    fields = [f.split() for f in ddl.split(", ")]
+    fields = [f.split() for f in ddl.split(",")]
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[n], _TYPES[t]) if n in columns else absent[t] for n, t in fields], names=[n for n, _ in fields])
 
@@ -189,7 +199,7 @@ def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: in
             "task": task[first].tolist(), "hot": hot[first].tolist(),
             "parts": [p.tobytes() for p in np.split(parts, cut)], "rows": [r.tobytes() for r in np.split(rows, cut)]})
 
-    for batch in batches:
+    for batch in slices(batches):
         numbers, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
             values, ends = shingle_sets(texts[a:b], words, size)
@@ -242,7 +252,7 @@ def _shared_parts(batches: Iterator[pa.RecordBatch], few: int) -> Iterator[pa.Re
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         rows, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for a, b in chunks(texts):
             values, ends = shingle_sets(texts[a:b], words, size)
@@ -250,8 +260,21 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
                 ROW: rows[a:b], "shingles": [s.tobytes() for s in np.split(values, ends[:-1])]})
 
 
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs that their detailed sketches allow to link."""
+    for batch in slices(batches):
+        keep = []
+        for n, m, x, y in zip(*(batch.column(i).to_pylist() for i in (3, 4, 5, 6))):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            if len(x) < len(y):
+                x, y = y, x
+            x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+            keep.append(int(np.bitwise_count(x ^ y).sum()) * (100 + percent) <= (n + m) * (100 - percent))
+        yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(3)], names=["a", "b", "apart"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
         keep = []
         for x, y in zip(left, right):
@@ -320,10 +343,16 @@ class _Links:
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that sizes and sketches allow to link, and how far ``apart`` their sketches are."""
-    x, y = nodes.select(F.col(ROW).alias("a"), "n", "sketch").alias("x"), nodes.select(F.col(ROW).alias("b"), "n", "sketch").alias("y")
+    """The pairs ``a, b`` that sizes and sketches allow to link, and how far ``apart`` their sketches are.
+
+    The small sketches of all pairs come first; the detailed ones are read for the pairs they leave.
+    """
+    x, y = (nodes.select(F.col(ROW).alias(c), "n", "sketch").alias(k) for c, k in (("a", "x"), ("b", "y")))
     kept = pairs.join(x, "a").join(y, "b").filter(_possible("x", "y", percent))
-    return kept.select("a", "b", (_apart("x", "y") / (F.col("x.n") + F.col("y.n"))).alias("apart"))
+    kept = land(kept.select("a", "b", (_apart("x", "y") / (F.col("x.n") + F.col("y.n"))).alias("apart")), "possible-pairs")
+    x, y = (nodes.select(F.col(ROW).alias(c), F.col("n").alias(f"n_{c}"), F.col("detail").alias(f"detail_{c}")) for c in "ab")
+    both = kept.join(x, "a").join(y, "b").select("a", "b", "apart", "n_a", "n_b", "detail_a", "detail_b")
+    return both.mapInArrow(lambda it: _close(it, percent), "a bigint, b bigint, apart double")
 
 
 def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percent: int, block: int) -> DataFrame:
@@ -337,14 +366,15 @@ def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percen
     mixed = by_label.groupBy("part").agg(
         F.count("*").alias("labels"), F.sum("c").alias("size"), F.max_by("label", F.struct("c", "label")).alias("main")
     ).filter("labels > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    known = known.join(mixed.select("part", "main", "blocks"), "part").join(nodes, ROW)
+    known = known.join(mixed.select("part", "main", "blocks"), "part").join(nodes.drop("detail"), ROW)
     x = known.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("x")
     y = known.withColumn("block", F.pmod(F.xxhash64(ROW), "blocks").cast("int")).alias("y")
     meet = (
         (F.col("x.part") == F.col("y.part")) & (F.col("x.block") == F.col("y.block"))
         & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", percent))
-    return x.join(y, meet).select(
+    pairs = x.join(y, meet).select(
         F.greatest(f"x.{ROW}", f"y.{ROW}").alias("a"), F.least(f"x.{ROW}", f"y.{ROW}").alias("b")).distinct()
+    return _likely(pairs, nodes, percent)
 
 
 def near_duplicates(
@@ -382,12 +412,12 @@ def near_duplicates(
     facts = summary.filter("parts IS NOT NULL").agg(F.sum("parts").alias("parts"), F.collect_set("weak").alias("weak")).first()
     weak, tasks = frozenset(facts["weak"]), int((facts["parts"] or 0) // PARTS_PER_TASK) + 1
 
-    own = summary.filter(f"{ROW} IS NOT NULL").select(ROW, "n", "digest", "sketch")
+    own = summary.filter(f"{ROW} IS NOT NULL").select(ROW, "n", "digest", "sketch", "detail")
     equal = own.filter("n > 0").groupBy("digest").agg(F.min(ROW).alias("node"))
     nodes_of = land(own.select(ROW, "n", "digest").join(equal, "digest", "left").select(
         ROW, "n", F.coalesce("node", ROW).alias("node")), "nodes")
     copies = land(nodes_of.filter(f"node <> {ROW} OR n = 0").select(ROW), "copies")
-    nodes = own.select(ROW, "n", "sketch")
+    nodes = own.select(ROW, "n", "sketch", "detail")
 
     packed = drop_rows(texts, copies, ROW).select(ROW, "text").mapInArrow(
         lambda it: _prefixes(it, counters, weak, tasks, hot_above, size, percent), PREFIXES)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 SHINGLE = 5
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -28,6 +29,13 @@ def lowered_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that no more than these are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of ``texts`` of about ``limit`` characters; a longer text is a range of its own."""
     start = size = 0
