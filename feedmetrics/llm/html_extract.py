@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, block_vectors, blocks
 from .recurrent import BiLstm
-from .shingles import chunks
+from .shingles import chunks, slices
 
 SAMPLE_PAGES = 240          # pages the network learns from, at most
 LAYOUTS = 4                 # layouts of each of them
@@ -104,7 +104,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
 
 def _extract(batches: Iterator[pa.RecordBatch], sent, html_at: int) -> Iterator[pa.RecordBatch]:
     tags, words = Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2)
-    for batch in batches:
+    for batch in slices(batches):
         htmls = batch.column(html_at).to_pylist()
         kept = [i for i in range(batch.num_columns) if i != html_at]
         for a, b in chunks(htmls, 1 << 21):

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .configurations import GROUPS, Run, pack
-from .shingles import chunks
+from .shingles import chunks, slices
 from .store import land
 from .tokens import WordTokens, pieces
 
@@ -40,7 +40,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path, capacity: int, with_ids: bool)
     tokens = WordTokens(path())
     seen: Counter[int] = Counter()
     task = TaskContext.get().partitionId()
-    for batch in batches:
+    for batch in slices(batches):
         keys, texts = batch.column(0), batch.column(1).to_pylist()
         for a, b in chunks(texts):
             owner, piece, start, length, crc, rank, content = [], [], [], [], [], [], []

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import WordHashes, WordRows, chunks
+from .shingles import chunks, slices, WordHashes, WordRows
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
@@ -97,7 +97,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(SIGNS):
             sums[:] += np.bincount(term * DIMENSIONS + places[near, k], signs[near, k], len(sums))
 
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(0).to_pylist()
         for a, b in chunks(texts, 1 << 21):
             word, form, owner = term_runs(texts[a:b], ids)
@@ -223,7 +223,7 @@ def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray, vectors: np.ndarray) ->
 
 def _pooled_rows(batches: Iterator[pa.RecordBatch], vectors) -> Iterator[pa.RecordBatch]:
     ids = TermIds()
-    for batch in batches:
+    for batch in slices(batches):
         texts, label, part = (batch.column(i).to_pylist() for i in range(3))
         for a, b in chunks(texts):
             x = pooled(texts[a:b], vectors.value, ids)
@@ -245,7 +245,7 @@ def train(texts: DataFrame, sample: DataFrame) -> QualityModel:
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     ids = TermIds()
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(1).to_pylist()
         score = [model.value.scores(texts[a:b], ids) for a, b in chunks(texts)]
         yield pa.RecordBatch.from_arrays(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .boosting import Boosted, boost, calibrated, isotonic
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import WordHashes, WordRows, chunks
+from .shingles import chunks, slices, WordHashes, WordRows
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
@@ -127,7 +127,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | Non
     def rows() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([*counts]), pa.array([*counts.values()], pa.int64())], names=["term", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0).to_pylist():
             found: set[str] = set()
             for word in {plain(w) for w in set((text or "").split())} - {""}:
@@ -176,7 +176,7 @@ class ToxicityModel:
 
 def _feature_rows(batches: Iterator[pa.RecordBatch], lexicon: dict[str, float]) -> Iterator[pa.RecordBatch]:
     words = Lexicon(lexicon)
-    for batch in batches:
+    for batch in slices(batches):
         texts, label, part = (batch.column(i).to_pylist() for i in range(3))
         for a, b in chunks(texts):
             yield pa.RecordBatch.from_arrays(
@@ -205,7 +205,7 @@ def train(sample: DataFrame) -> ToxicityModel:
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     words = Lexicon(model.value.lexicon)
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(batch.num_columns - 1).to_pylist()
         score = np.concatenate([model.value.scores(texts[a:b], words) for a, b in chunks(texts)]) if texts else np.zeros(0)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["id", "score"])
@@ -244,7 +244,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 def _clean(batches: Iterator[pa.RecordBatch], model, place: int) -> Iterator[pa.RecordBatch]:
     words = Lexicon(model.value.lexicon)
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column(place).to_pylist()
         for a, b in chunks(texts):
             keep = model.value.scores(texts[a:b], words) < THRESHOLD
