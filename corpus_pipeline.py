@@ -1,36 +1,61 @@
 """The corpus pipeline: raw documents to packed training sequences.
 
 ``STAGES`` lists (name, function); each function takes ``(spark, docs, sf_dir)`` and returns the
-documents its successor gets, the last one the packed pieces.
+documents that its successor gets, with all their columns; the last returns the packed pieces.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmetrics.llm import decontaminate, exact_dedup
+from feedmetrics.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
 from feedmetrics.llm.store import land
 
 
-def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic; it learns from the labels given."""
+    return toxicity.drop_toxic(docs, _table(spark, sf_dir, "labels"))
+
+
+def one_of_each_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return exact_dedup.drop_copies(docs)
 
 
-def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents left and their places in training sequences."""
+    return packing.pack_documents(docs).withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("exact dedup", copies), ("benchmark decontamination", benchmark)]
+STAGES = [
+    ("toxicity", not_toxic),
+    ("exact dedup", one_of_each_text),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", not_in_benchmark),
+    ("best-fit packing", packed),
+]
 
-# Trained models and token ids are not SQL; the stages are tested against brute force instead.
+# A trained classifier and token ids are not SQL: the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder before the next reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = land(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        docs = land(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -1,0 +1,68 @@
+"""Exact dedup against a dictionary of normalised texts."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedmetrics.llm import exact_dedup as op
+
+ROWS = [
+    (5, "one two"), (3, "one\ttwo"), (9, "one  two"), (4, "onetwo"), (1, None), (2, ""), (7, " \n\x0b\f\r"), (8, "unique"),
+    (8, "unique"), (None, "one two"), (10, "One two"), (11, "é"), (12, "é"), (13, " é"), (14, "one two"), (15, "x" * 200_000),
+    (16, "x" * 100_000 + " " + "x" * 100_000),
+]
+
+
+def clean(text):
+    return re.sub(r"[\x20\x09-\x0D]", "", text or "")
+
+
+def expected(rows):
+    groups = {}
+    for i, (doc, text) in enumerate(rows):
+        groups.setdefault(clean(text), []).append((-len(text or ""), doc is None, doc or 0, i))
+    out = []
+    for i, (doc, text) in enumerate(rows):
+        group = groups[clean(text)]
+        best = min(group)
+        out.append((doc, rows[best[3]][0], len(group), hashlib.sha256(clean(text).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted([(r["id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in df.collect()], key=str)
+
+
+def frame(spark, rows=ROWS, slices=4):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(slices, F.xxhash64("text", "doc_id"))
+
+
+@pytest.mark.parametrize("options", [{}, {"digest_bytes": 1}, {"digest_bytes": 0}, {"files_per_trigger": 1}])
+def test_groups(spark, options):
+    result = op.exact_dedup(frame(spark), **options)
+    assert got(result) == expected(ROWS)
+    assert result.filter("kept").count() == len({clean(t) for _, t in ROWS})
+
+
+def test_empty_table(spark):
+    assert op.exact_dedup(frame(spark, [])).collect() == []
+    assert op.drop_copies(frame(spark, [])).collect() == []
+
+
+def test_the_stream_leaves_the_callers_session_alone(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    op.exact_dedup(frame(spark)).collect()
+    assert spark.conf.get(key) == before
+
+
+def test_drop_copies_keeps_all_columns(spark):
+    docs = frame(spark).withColumns({"__row": F.lit("own"), "digest": F.lit(1), "kept": F.lit(None).cast("string")})
+    out = op.drop_copies(docs)
+    assert out.dtypes == docs.dtypes
+    rows = out.collect()
+    assert {r["__row"] for r in rows} == {"own"}
+    assert len(rows) == len({clean(t) for _, t in ROWS})
+    assert {r["doc_id"] for r in rows if clean(r["text"]) == "onetwo"} == {9}
