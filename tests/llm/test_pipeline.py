@@ -24,8 +24,8 @@ def test_stages(spark):
         assert kept.dtypes == docs.dtypes
         after = {r["doc_id"] for r in kept.collect()}
         if name == "toxicity":
-            toxic = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}
-            assert len(before.keys() - after - toxic) <= 12 and after < before.keys()
+            clean_ids = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 0").collect()}
+            assert len(clean_ids - after) <= 2 and len(after) > 0.8 * len(before) and after < before.keys()
         elif name == "exact dedup":
             best = {}
             for d in sorted(before, key=lambda d: (-len(before[d]), d)):
