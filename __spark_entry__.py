@@ -155,8 +155,8 @@ _QUERIES: dict[str, Query] = {
     "daily_presence_messenger": lambda s, d: op.daily_presence(_msg(s, d)),
     "service_usage_daily": _usage,
     "service_usage_daily_strict": lambda s, d: _usage(s, d, strict=True),
-    "service_usage_share": lambda s, d: op.service_usage_share(_usage(s, d)),
-    "service_usage_pivot": lambda s, d: op.service_usage_pivot(op.service_usage_share(_usage(s, d))),
+    "service_usage_share": lambda s, d: op.service_usage_share(_usage(s, d, ordered=False)),
+    "service_usage_pivot": lambda s, d: op.service_usage_pivot(op.service_usage_share(_usage(s, d, ordered=False))),
     "messages_sent_daily": lambda s, d: op.messages_sent_daily(_msg(s, d), AS_OF),
     "messages_sent_latest": lambda s, d: op.messages_sent_latest(op.messages_sent_daily(_msg(s, d), AS_OF)),
     "new_posts": lambda s, d: op.new_posts(_feed(s, d), AS_OF),
