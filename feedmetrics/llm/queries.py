@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, lm_score, packing, quality, toxicity
+from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, lm_score, packing, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(license_scan.scan(_table(spark, sf_dir, "documents")))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rows.withColumnRenamed("id", "doc_id")
@@ -69,13 +73,43 @@ QUERIES: dict[str, Query] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_license_scans": op6_license_scans,
     "op7_toxicity": op7_toxicity,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
+# The templates' words as SQL rows; the query compares every sentence with every template.
+_TEMPLATES = ",\n".join(
+    f"('{name}', {license_scan.plain_words(text)!r})" for name, texts in license_scan.LICENSES.items() for text in texts)
+
 SQL: dict[str, str] = {
+    "op6_license_scans": rf"""
+WITH t AS (SELECT name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
+           FROM (VALUES {_TEMPLATES}) AS v(name, w)),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+marked AS (     -- a sign that texts do not hold stands for each border
+  SELECT doc_id, regexp_replace(text, '[\n\r]+', chr(1), 'g') AS a, regexp_replace(text, '[\n\r]+', ' ', 'g') AS b FROM d),
+s AS (
+  SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(x, '([.!?:;])[\x20\x09-\x0D\x01]+', '\1' || chr(1), 'g'), chr(1))) AS s
+  FROM (SELECT doc_id, a AS x FROM marked UNION ALL SELECT doc_id, b FROM marked)),
+w AS (
+  SELECT doc_id, s, list_filter(regexp_split_to_array(
+           translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+           lambda x: x <> '') AS w
+  FROM s),
+g AS (SELECT doc_id, s, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) > 1),
+c AS (SELECT doc_id, s, name, len(t.g) AS n, 2 * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice FROM g, t),
+best AS (
+  SELECT doc_id, dice, name FROM c WHERE dice >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY doc_id, s ORDER BY dice DESC, n DESC, name DESC) = 1),
+r AS (
+  SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, count(DISTINCT name) AS n, max(dice) AS top,
+         min(name) FILTER (dice = m) AS first
+  FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id) AS m FROM best) GROUP BY doc_id)
+SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n, 0) AS n_licenses, first AS best_license, top AS best_dice
+FROM d LEFT JOIN r USING (doc_id)""",
     "op5_benchmark_decontamination": r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
