@@ -20,6 +20,19 @@ def held_out(id_col: Column, folds: int, out: int) -> Column:
     return F.coalesce(fold(id_col, folds) == out, F.lit(False))
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
+    """The ``rows`` rows of lowest hash of ``key``, of about ``total``; all of them if there are fewer.
+
+    Rows that cannot be among them are left out where they lie, so that what is sorted in one task is a
+    little more than the sample, however large the table.
+    """
+    steps = 1 << 40
+    bound = int(steps * (rows + 6 * rows**0.5 + 50) / max(total, 1))
+    place = F.pmod(F.xxhash64(key), F.lit(steps))
+    near = df.filter(place < bound) if bound < steps else df
+    return near.orderBy(place, key).limit(rows)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label_col: str, folds: int, out: int,
     id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS,
@@ -34,7 +47,7 @@ def labelled_sample(
         labels.filter(key.isNotNull() & label.isNotNull() & (fold(key, folds) != out))
         .groupBy(key.alias("id")).agg(F.max(label).cast("int").alias("label"))
     )
-    taken = known.orderBy(F.xxhash64("id"), "id").limit(rows)
+    taken = hashed_sample(known, "id", rows, known.count())
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"))
     part = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10)).cast("int")
     return land(texts.join(F.broadcast(taken), "id").withColumn("part", part), f"{label_col}-sample")

@@ -91,5 +91,10 @@ def test_isotonic_is_the_best_rising_fit():
     assert (np.diff(ps) >= 0).all() and 0 < ps[0] < ps[-1] < 1
 
 
-def test_folds():
-    assert labelled.SAMPLE_ROWS == 20_000
+def test_hashed_sample(spark):
+    df = spark.range(50_000).select(F.col("id").cast("string").alias("k"))
+    whole = [r["k"] for r in df.orderBy(F.pmod(F.xxhash64("k"), F.lit(1 << 40)), "k").limit(700).collect()]
+    for total in (50_000, 10, 60_000):
+        assert [r["k"] for r in labelled.hashed_sample(df, "k", 700, total).collect()] == whole
+    assert labelled.hashed_sample(df, "k", 60_000, 50_000).count() == 50_000
+    assert labelled.hashed_sample(df.limit(0), "k", 5, 0).count() == 0
