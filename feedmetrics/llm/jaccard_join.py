@@ -33,8 +33,8 @@ ROW = "__row"
 BASE = 64                       # sets below this size use one part per shingle
 SKETCH_LONGS = 8                # 512 bits to rule out pairs
 SLOT_BITS, RANGE_BITS = 20, 14  # counters of the parts' rarity, and how many one row carries
-FLUSH = 1_000_000               # parts a task holds before it passes them on
-PARTS_PER_TASK = 1_000_000
+FLUSH = 300_000                 # parts a task holds before it passes them on
+PARTS_PER_TASK = 400_000
 HOT = 200_000                   # a part shared by more documents is spread over several tasks
 FEW = 16                        # rows that share a part and are paired at once
 BLOCK = 4096                    # members of a part compared with one another by one key
