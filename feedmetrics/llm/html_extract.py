@@ -21,6 +21,7 @@ from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, block_vecto
 from .labelled import hashed_sample
 from .recurrent import BiLstm
 from .shingles import chunks, slices
+from .store import small_batches
 
 SAMPLE_PAGES = 240          # pages the network learns from, at most
 LAYOUTS = 4                 # layouts of each of them
@@ -126,6 +127,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_c
     empty text. Rows are independent, so repeated rows, null ids and ties need no care; an empty
     table gives an empty result. Other columns are not read.
     """
+    small_batches(pages.sparkSession)
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias("html"))
     sent = pages.sparkSession.sparkContext.broadcast(train(rows))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "html")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shingles import SHINGLE, chunks, mix, shingle_sets, slices, WordHashes
-from .store import drop_rows, land, numbered, small_enough, without
+from .store import drop_rows, land, numbered, small_batches, small_enough, without
 
 PERCENT = 75                    # links: 100 * intersection >= 75 * union
 ROW = "__row"
@@ -402,6 +402,7 @@ def near_duplicates(
     partners or the size of a group; ``hot_above``, ``few`` and ``block`` spread the work and change no result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     number = F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()
     rows = docs.select(number.alias(ROW), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     rows = rows if row_col else land(rows, "jaccard-docs")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .configurations import GROUPS, Run, pack
 from .shingles import chunks, slices
-from .store import land
+from .store import land, small_batches
 from .tokens import WordTokens, pieces
 
 CAPACITY = 2048
@@ -117,6 +117,7 @@ def pack_documents(
     an empty result. Other columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     ids = ", ids array<int>" if with_ids else ""

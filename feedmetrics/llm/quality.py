@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 from .shingles import chunks, slices, WordHashes, WordRows
+from .store import small_batches
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
@@ -263,6 +264,7 @@ def quality(
     never learned from. Without labels of both classes the score is a constant of their share. Other
     columns are not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     sample = labelled_sample(docs, labels, label_col, FOLDS, HELD_OUT, id_col, text_col, sample_rows)
     sent = docs.sparkSession.sparkContext.broadcast(train(rows, sample))

@@ -9,9 +9,20 @@ from pyspark.sql import functions as F
 
 from ..plans.checkpoint import shared_dir
 
+ARROW_ROWS_CONF, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 BROADCAST_ROWS = 1_000_000      # narrow rows only: a few tens of bytes each
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows per Arrow batch, unless the session has a size of its own.
+
+    Whole documents are large rows: the default of 10,000 would hold tens of megabytes twice per task.
+    Results do not depend on it.
+    """
+    if spark.conf.get(ARROW_ROWS_CONF) == "10000":
+        spark.conf.set(ARROW_ROWS_CONF, str(ARROW_ROWS))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new place below ``spark.checkpoint.dir``."""
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .boosting import Boosted, boost, calibrated, isotonic
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 from .shingles import chunks, slices, WordHashes, WordRows
+from .store import small_batches
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
@@ -228,6 +229,7 @@ def toxicity(
     held out and never learned from. Without labels of both classes the score is a constant of their
     share. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     model = train(labelled_sample(docs, labels, label_col, FOLDS, HELD_OUT, id_col, text_col, sample_rows))
     return score(docs, model, id_col, text_col).select(
         "id", held_out(F.col("id"), FOLDS, HELD_OUT).alias("held_out"), "score",
@@ -236,6 +238,7 @@ def toxicity(
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those predicted toxic, all columns as they were."""
+    small_batches(docs.sparkSession)
     model = train(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, id_col, text_col))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
