@@ -40,7 +40,8 @@ def labelled_sample(
     """``id, text, label, part`` of at most ``rows`` labelled documents outside the held-out fold.
 
     Rows are taken by a hash of their id, so the sample depends on the ids alone. Null labels and
-    ids are left out; of several labels for one id the largest counts. ``part`` is 0..9 by hash.
+    ids are left out; of several labels for one id the largest counts, of several texts the first by
+    order. ``part`` is 0..9 by hash.
     """
     key, label = F.col(f"`{id_col}`"), F.col(f"`{label_col}`")
     known = (
@@ -50,4 +51,5 @@ def labelled_sample(
     taken = hashed_sample(known, "id", rows, known.count())
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").alias("text"))
     part = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10)).cast("int")
-    return land(texts.join(F.broadcast(taken), "id").withColumn("part", part), f"{label_col}-sample")
+    sample = texts.join(F.broadcast(taken), "id").groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return land(sample.withColumn("part", part), f"{label_col}-sample")
