@@ -1,6 +1,5 @@
 """The pipeline against its stages done by hand on the rows they were given."""
 
-import hashlib
 from collections import Counter
 
 import corpus_pipeline
@@ -45,7 +44,9 @@ def test_stages(spark):
 
 
 def test_run(spark):
-    rows = [tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect()]
-    again = [tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect()]
-    assert sorted(rows) == sorted(again)
-    assert hashlib.sha256(str(sorted(rows)).encode()).hexdigest()
+    rows = corpus_pipeline.run(spark, SF).collect()
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert rows and max(used.values()) <= 2048
+    assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
