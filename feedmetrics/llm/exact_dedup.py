@@ -24,6 +24,7 @@ STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",        # what lasts is on disk
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",      # many small stores
