@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, block_vectors, blocks
 from .labelled import hashed_sample
 from .recurrent import BiLstm
-from .shingles import chunks, slices
+from .shingles import chunks, released, slices
 from .store import small_batches
 
 SAMPLE_PAGES = 240          # pages the network learns from, at most
@@ -132,4 +132,4 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_c
     sent = pages.sparkSession.sparkContext.broadcast(train(rows))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "html")
     at = len(keep)
-    return rows.mapInArrow(lambda it: _extract(it, sent, at), f"{out}, text string, n_chars bigint, n_blocks int")
+    return rows.mapInArrow(lambda it: released(_extract(it, sent, at)), f"{out}, text string, n_chars bigint, n_blocks int")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shingles import SHINGLE, chunks, mix, shingle_sets, slices, WordHashes
+from .shingles import chunks, mix, released, SHINGLE, shingle_sets, slices, WordHashes
 from .store import drop_rows, land, numbered, small_batches, small_enough, without
 
 PERCENT = 75                    # links: 100 * intersection >= 75 * union
@@ -315,7 +315,7 @@ class _Links:
         ends = land(pairs.select(F.col("a").alias(ROW)).union(pairs.select("b")).distinct(), "ends")
         texts = self.texts.join(F.broadcast(ends) if small_enough(ends) else ends, ROW, "left_semi")
         size = self.size
-        return land(texts.mapInArrow(lambda it: _sets(it, size), f"{ROW} bigint, shingles binary"), "sets")
+        return land(texts.mapInArrow(lambda it: released(_sets(it, size)), f"{ROW} bigint, shingles binary"), "sets")
 
     def check(self, pairs: DataFrame, sets: DataFrame | None = None) -> None:
         """Compare the full sets of pairs ``a, b`` in different components and take in those that link.
@@ -334,7 +334,7 @@ class _Links:
         right = sets.select(F.col(ROW).alias("b"), F.col("shingles").alias("right"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         percent = self.percent
-        checked = both.mapInArrow(lambda it: _verified(it, percent), "a bigint, b bigint, linked boolean")
+        checked = both.mapInArrow(lambda it: released(_verified(it, percent)), "a bigint, b bigint, linked boolean")
         links = land(checked.filter("linked").select("a", "b"), "links")
         if links.isEmpty():
             return
@@ -352,7 +352,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     kept = land(kept.select("a", "b", (_apart("x", "y") / (F.col("x.n") + F.col("y.n"))).alias("apart")), "possible-pairs")
     x, y = (nodes.select(F.col(ROW).alias(c), F.col("n").alias(f"n_{c}"), F.col("detail").alias(f"detail_{c}")) for c in "ab")
     both = kept.join(x, "a").join(y, "b").select("a", "b", "apart", "n_a", "n_b", "detail_a", "detail_b")
-    return both.mapInArrow(lambda it: _close(it, percent), "a bigint, b bigint, apart double")
+    return both.mapInArrow(lambda it: released(_close(it, percent)), "a bigint, b bigint, apart double")
 
 
 def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percent: int, block: int) -> DataFrame:
@@ -408,7 +408,7 @@ def near_duplicates(
     rows = rows if row_col else land(rows, "jaccard-docs")
     texts = rows.select(ROW, "text")
 
-    summary = land(texts.mapInArrow(lambda it: _summaries(it, size, percent), SUMMARY), "summaries")
+    summary = land(texts.mapInArrow(lambda it: released(_summaries(it, size, percent)), SUMMARY), "summaries")
     counters = spark.sparkContext.broadcast(_rarity(summary))
     facts = summary.filter("parts IS NOT NULL").agg(F.sum("parts").alias("parts"), F.collect_set("weak").alias("weak")).first()
     weak, tasks = frozenset(facts["weak"]), int((facts["parts"] or 0) // PARTS_PER_TASK) + 1
@@ -421,8 +421,8 @@ def near_duplicates(
     nodes = own.select(ROW, "n", "sketch", "detail")
 
     packed = drop_rows(texts, copies, ROW).select(ROW, "text").mapInArrow(
-        lambda it: _prefixes(it, counters, weak, tasks, hot_above, size, percent), PREFIXES)
-    shared = land(packed.repartition(tasks, "task").mapInArrow(lambda it: _shared_parts(it, few), SHARED), "shared-parts")
+        lambda it: released(_prefixes(it, counters, weak, tasks, hot_above, size, percent)), PREFIXES)
+    shared = land(packed.repartition(tasks, "task").mapInArrow(lambda it: released(_shared_parts(it, few)), SHARED), "shared-parts")
     members = shared.filter("part IS NOT NULL").select("part", F.col("a").alias(ROW))
 
     # Pairs of parts that few rows share, and for the other parts each row with the first one.

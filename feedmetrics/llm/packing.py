@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .configurations import GROUPS, Run, pack
-from .shingles import chunks, slices
+from .shingles import chunks, released, slices
 from .store import land, small_batches
 from .tokens import WordTokens, pieces
 
@@ -122,7 +122,7 @@ def pack_documents(
     kind = rows.schema["id"].dataType.simpleString()
     ids = ", ids array<int>" if with_ids else ""
     cut = land(rows.mapInArrow(
-        lambda it: _cut(it, tokenizer, capacity, with_ids),
+        lambda it: released(_cut(it, tokenizer, capacity, with_ids)),
         f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, task int, rank bigint{ids}"), "pieces")
 
     per_task = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
@@ -135,4 +135,4 @@ def pack_documents(
     ranked = cut.join(base.select("task", "length", "base"), ["task", "length"]).select(
         *names, (F.col("base") + F.col("rank")).alias("rank"))
     out = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.select(*names).schema)
-    return ranked.mapInArrow(lambda it: _place(it, sent), f"{out}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(lambda it: released(_place(it, sent)), f"{out}, sequence_id bigint, offset bigint")

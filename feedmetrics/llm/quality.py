@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import chunks, slices, WordHashes, WordRows
+from .shingles import chunks, released, slices, WordHashes, WordRows
 from .store import small_batches
 
 FOLDS, HELD_OUT = 3, 1
@@ -238,7 +238,7 @@ def train(texts: DataFrame, sample: DataFrame) -> QualityModel:
     vectors = word_vectors(texts)
     sent = texts.sparkSession.sparkContext.broadcast(vectors)
     rows = sample.select("text", "label", "part").mapInArrow(
-        lambda it: _pooled_rows(it, sent), "label int, part int, x binary").collect()
+        lambda it: released(_pooled_rows(it, sent)), "label int, part int, x binary").collect()
     rows.sort(key=lambda r: (r["part"], r["label"], bytes(r["x"])))
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIMENSIONS + 2)
     return fit(x, np.array([r["label"] for r in rows], float), np.array([r["part"] for r in rows]), vectors)
@@ -268,7 +268,7 @@ def quality(
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     sample = labelled_sample(docs, labels, label_col, FOLDS, HELD_OUT, id_col, text_col, sample_rows)
     sent = docs.sparkSession.sparkContext.broadcast(train(rows, sample))
-    scored = rows.mapInArrow(lambda it: _score(it, sent), f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    scored = rows.mapInArrow(lambda it: released(_score(it, sent)), f"id {rows.schema['id'].dataType.simpleString()}, score double")
     return scored.select(
         "id", held_out(F.col("id"), FOLDS, HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

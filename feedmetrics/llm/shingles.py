@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -29,6 +31,19 @@ def lowered_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
 
 
+def released(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows; when a task is through with them, the memory it held goes back to the machine.
+
+    A worker process serves many tasks and would keep the largest size any of them had.
+    """
+    yield from rows
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of few, so that no more than these are Python objects at a time."""
     for batch in batches:

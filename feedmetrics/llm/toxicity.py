@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .boosting import Boosted, boost, calibrated, isotonic
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
-from .shingles import chunks, slices, WordHashes, WordRows
+from .shingles import chunks, released, slices, WordHashes, WordRows
 from .store import small_batches
 
 FOLDS, HELD_OUT = 5, 0
@@ -142,7 +142,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | Non
 
 
 def _term_counts(texts: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    counted = texts.select("text").mapInArrow(lambda it: _count_terms(it, wanted), "term string, n bigint")
+    counted = texts.select("text").mapInArrow(lambda it: released(_count_terms(it, wanted)), "term string, n bigint")
     return counted.groupBy("term").agg(F.sum("n").alias("n"))
 
 
@@ -192,7 +192,7 @@ def train(sample: DataFrame) -> ToxicityModel:
     """
     lexicon = learn_lexicon(sample)
     rows = sample.select("text", "label", "part").mapInArrow(
-        lambda it: _feature_rows(it, lexicon), "label int, part int, x array<double>").collect()
+        lambda it: released(_feature_rows(it, lexicon)), "label int, part int, x array<double>").collect()
     rows.sort(key=lambda r: (r["part"], r["label"], r["x"]))
     x = np.array([r["x"] for r in rows], np.float64).reshape(len(rows), N_FEATURES)
     y, part = np.array([r["label"] for r in rows], float), np.array([r["part"] for r in rows])
@@ -216,7 +216,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     """``id, score`` per row of ``docs``; null and empty texts are scored as texts without words."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: _score(it, sent), f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lambda it: released(_score(it, sent)), f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
 
 def toxicity(
@@ -242,7 +242,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model = train(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, id_col, text_col))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
-    return docs.mapInArrow(lambda it: _clean(it, sent, place), docs.schema)
+    return docs.mapInArrow(lambda it: released(_clean(it, sent, place)), docs.schema)
 
 
 def _clean(batches: Iterator[pa.RecordBatch], model, place: int) -> Iterator[pa.RecordBatch]:
