@@ -9,12 +9,21 @@ from html import unescape
 import numpy as np
 import xxhash
 
+# Quotes count after an equals sign only; what is matched is not given back, so a tag is read once.
+_ATTRIBUTES = r"""(?:=\s*+(?>"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?+|[^>=])*+"""
+_NAME_END = r"(?=[\s/>])"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<(script|style|textarea|title|iframe){_NAME_END}{_ATTRIBUTES}>.*?(?:</\1{_NAME_END}[^>]*>|\Z)"
+    rf"|</?(svg|template|noscript){_NAME_END}{_ATTRIBUTES}>"
     r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})>",
     re.S | re.I)
+# Where elements end that hold no text of the page; HTML lets some tags end an svg that is left open.
+_HIDDEN_END = {name: re.compile(rf"</{name}{_NAME_END}[^>]*>" + more, re.I) for name, more in (
+    ("template", ""), ("noscript", ""),
+    ("svg", r"|(?=<(?:b|big|blockquote|body|br|center|code|dd|div|dl|dt|em|embed|h[1-6]|head|hr|i|img|li|listing|menu|meta|nobr"
+            r"|ol|p|pre|ruby|s|small|span|strong|strike|sub|sup|table|tt|u|ul|var)" + _NAME_END + ")"))}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _NAME_PART = re.compile(r"[a-zA-Z]+")
 
@@ -54,7 +63,8 @@ def blocks(html: str | None) -> list[Block]:
     """The text blocks of a page in order; a null or empty page has none.
 
     Scripts, styles, comments and titles are no text. Missing end tags are supplied as HTML does;
-    end tags without a start are ignored. Character references are decoded once, after the markup.
+    end tags without a start are ignored; of an svg, template or noscript without an end, the tag alone is
+    skipped. Character references are decoded once, after the markup.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -77,20 +87,28 @@ def blocks(html: str | None) -> list[Block]:
         del stack[index:]
 
     last = 0
-    for found in _TOKEN.finditer(html):
+    open_ended: set[str] = set()        # names that no end tag follows from here on
+    while found := _TOKEN.search(html, last):
         if found.start() > last:
             piece = unescape(html[last: found.start()])
             text.append(piece)
             if depth_a:
                 linked += len(piece)
         last = found.end()
-        tag = found.group(3)
+        hidden = (found.group(2) or "").lower()
+        if hidden and html[found.start() + 1] != "/" and not (hidden == "svg" and html[last - 2] == "/"):
+            end = None if hidden in open_ended else _HIDDEN_END[hidden].search(html, last)
+            if end:
+                last = end.end()
+            else:
+                open_ended.add(hidden)
+        tag = found.group(4)
         if not tag:
             continue
         tag = tag.lower()
         if tag == "br":
             text.append(" ")
-        elif found.group(2):
+        elif found.group(3):
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if at is not None:
                 if tag not in INLINE:
@@ -105,8 +123,8 @@ def blocks(html: str | None) -> list[Block]:
                         break
                     if stack[i][0] in SCOPES:
                         break
-            if tag not in EMPTY and not found.group(4).endswith("/"):
-                stack.append((tag, _path_names(tag, found.group(4))))
+            if tag not in EMPTY and not found.group(5).endswith("/"):
+                stack.append((tag, _path_names(tag, found.group(5))))
                 depth_a += tag == "a"
     if last < len(html):
         text.append(unescape(html[last:]))

@@ -31,6 +31,31 @@ def test_blocks():
     assert block.path[:4] == ("article", ".post", ".main", ".text") and block.linked == 1
 
 
+def test_hidden_elements_take_no_other_text():
+    # a name that only begins like that of a hidden element
+    for tag in ("svg-icon", "title-bar", "template-card", "script-note", "style-x", "iframe-box"):
+        assert texts(f"<p>a</p><{tag}></{tag}><article>main</article>") == ["a", "main"]
+    # closed in its own tag, or never closed
+    assert texts("<p>a</p><svg class=i/><article><p>main text</p></article>") == ["a", "main text"]
+    assert texts('<p>a</p><svg d="M0>1" /><p>main <svg><text>no</text></svg>text</p>') == ["a", "main text"]
+    for tag in ("svg", "template", "noscript"):
+        assert texts(f"<p>a</p><{tag} class=i><article><p>main</article>") == ["a", "main"]
+        assert texts(f"<p>a</p><{tag}><text>no</text></{tag.upper()}\n x><p>main") == ["a", "main"]
+        assert texts(f"<{tag}>" * 20_000 + "<p>x") == ["x"]
+    assert texts("<svg><p>main</p><svg><g>no</g></svg><p>end") == ["main", "end"]
+    assert texts('<script data-x="a>b">no</script ><title lang=en>no</title\n><p>main') == ["main"]
+
+
+def test_quotes_inside_tags():
+    assert texts("<p title=it's>one</p><p>it's two</p>") == ["one", "it's two"]
+    assert texts("<p title=5\">one</p><p title='>'>two</p><p title=\"it's>\">three") == ["one", "two", "three"]
+    assert texts("<p it's>one</p><p title = 'a' b=c\"d>it's two</p>") == ["one", "it's two"]
+    assert texts("<p title=>one</p><a href=x?y=z'>two</a>") == ["one", "two"]
+    assert texts("<p " + "a='b' " * 5000) == ["<p " + ("a='b' " * 5000).strip()]
+    (block,) = blocks("<p class=it's id=\"x y\">t")
+    assert block.path == ("p", ".it", ".s", ".x", ".y")
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     model = BiLstm(5)
