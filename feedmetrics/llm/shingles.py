@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,15 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.line[self.starts[i]: self.stops[i]]
 
+    def some(self, places: np.ndarray) -> list[bytes]:
+        line = self.line
+        return [line[a:b] for a, b in zip(self.starts[places].tolist(), self.stops[places].tolist())]
+
+    @cached_property
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct hashes in order, where each stands first, which of them every word has, and their counts."""
+        return np.unique(self.hashes, return_index=True, return_inverse=True, return_counts=True)
+
 
 class WordRows:
     """A row of numbers for every word, described once per word and remembered within a bound."""

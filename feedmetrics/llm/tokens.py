@@ -57,6 +57,8 @@ class WordTokens:
         Its normalizer only changes the case of such words, and its pattern cuts them before the marks;
         what is left is the byte-pair model. Other words are left to the whole tokenizer.
         """
+        if word.isascii() and word.isalpha():
+            return [t.id for t in self.model.tokenize(SPACE + word if self.prefix else word)]
         found = PLAIN.fullmatch(word)
         if not found:
             return None
@@ -82,7 +84,7 @@ class WordTokens:
 
     def encode_words(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words, and how many each has."""
-        unique, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        unique, first, inverse, _ = words.distinct
         at = np.minimum(np.searchsorted(self.keys, unique), max(len(self.keys) - 1, 0))
         known = self.keys[at] == unique if len(self.keys) else np.zeros(len(unique), bool)
         place = np.empty(len(unique), np.int64)
@@ -90,7 +92,7 @@ class WordTokens:
         ids, ends = self.ids, self.ends
         new = np.flatnonzero(~known)
         if len(new):
-            found, sizes = self._encode_new([words.word(i) for i in first[new]])
+            found, sizes = self._encode_new(words.some(first[new]))
             place[new] = np.arange(len(ends) - 1, len(ends) - 1 + len(new))
             ids = np.concatenate([ids, found])
             ends = np.concatenate([ends, ends[-1] + np.cumsum(sizes)])
