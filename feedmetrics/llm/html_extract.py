@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, block_vectors, blocks
-from .labelled import hashed_sample
+from .labelled import distinct_texts, hashed_sample
 from .recurrent import BiLstm
 from .shingles import chunks, released, slices
 from .store import small_batches
@@ -94,8 +94,9 @@ def _lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
-    """A labeller learned from at most ``sample_pages`` rows of ``html``, taken by a hash of their text."""
-    sample = hashed_sample(pages.select("html").filter("html IS NOT NULL"), "html", sample_pages, pages.count())
+    """A labeller learned from at most ``sample_pages`` distinct texts of ``html``, taken by their hash."""
+    own = pages.select("html").filter("html IS NOT NULL")
+    sample = hashed_sample(own, "html", sample_pages, distinct_texts(own, "html"))
     lessons = sample.mapInArrow(_lessons, "x binary, y binary").collect()
     lessons.sort(key=lambda r: (len(r["x"]), bytes(r["x"])))
     model = BiLstm(INPUT)

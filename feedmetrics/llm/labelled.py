@@ -21,7 +21,7 @@ def held_out(id_col: Column, folds: int, out: int) -> Column:
 
 
 def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
-    """The ``rows`` rows of lowest hash of ``key``, of about ``total``; all of them if there are fewer.
+    """One row for each of the ``rows`` values of ``key`` of lowest hash, of about ``total``; all if there are fewer.
 
     Rows that cannot be among them are left out where they lie, so that what is sorted in one task is a
     little more than the sample, however large the table.
@@ -30,7 +30,12 @@ def hashed_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
     bound = int(steps * (rows + 6 * rows**0.5 + 50) / max(total, 1))
     place = F.pmod(F.xxhash64(key), F.lit(steps))
     near = df.filter(place < bound) if bound < steps else df
-    return near.orderBy(place, key).limit(rows)
+    return near.dropDuplicates([key]).orderBy(place, key).limit(rows)
+
+
+def distinct_texts(df: DataFrame, key: str) -> int:
+    """How many distinct values ``key`` has, by their hash; only hashes are shuffled."""
+    return df.select(F.xxhash64(key).alias("hash")).distinct().count()
 
 
 def labelled_sample(

@@ -98,3 +98,13 @@ def test_hashed_sample(spark):
         assert [r["k"] for r in labelled.hashed_sample(df, "k", 700, total).collect()] == whole
     assert labelled.hashed_sample(df, "k", 60_000, 50_000).count() == 50_000
     assert labelled.hashed_sample(df.limit(0), "k", 5, 0).count() == 0
+
+
+def test_copies_do_not_fill_a_sample(spark):
+    df = spark.range(300).select(F.concat(F.lit("text "), "id").alias("k"))
+    first = labelled.hashed_sample(df, "k", 1, 300).first()["k"]
+    copies = df.union(spark.range(5000).select(F.lit(first).alias("k")))
+    assert labelled.distinct_texts(copies, "k") == 300
+    sample = [r["k"] for r in labelled.hashed_sample(copies, "k", 100, 300).collect()]
+    assert len(sample) == len(set(sample)) == 100
+    assert sample == [r["k"] for r in labelled.hashed_sample(df, "k", 100, 300).collect()]
