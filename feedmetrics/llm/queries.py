@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, html_extract, jaccard_join, license_scan, lm_score, packing, quality, toxicity
+from . import (
+    chat_format,
+    conversation_trie,
+    decontaminate,
+    exact_dedup,
+    fill_in_middle,
+    html_extract,
+    jaccard_join,
+    license_scan,
+    lm_score,
+    packing,
+    pii,
+    quality,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +81,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(_table(spark, sf_dir, "documents"))
+    return fill_in_middle.digests(made).withColumnRenamed("id", "doc_id")
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return conversation_trie.report(conversation_trie.prefixes(conversations, conversation_trie.FAMILY))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(_table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_html_extraction": op2_html_extraction,
@@ -78,6 +106,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
+    "op13_pii": op13_pii,
 }
 
 # The templates' words as SQL rows; the query compares every sentence with every template.
@@ -177,4 +208,59 @@ reach (doc_id, other) AS (
   SELECT doc_id, doc_id FROM w UNION SELECT b, other FROM reach JOIN links ON a = doc_id)
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op11_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(cast(doc_id AS varchar), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+r AS (
+  SELECT doc_id, t, u, len(u) AS n, ('0x' || h[1:8])::UBIGINT % (len(u) + 1) AS p, ('0x' || h[9:16])::UBIGINT % (len(u) + 1) AS q,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || h[17:24])::UBIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::UBIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+s AS (
+  SELECT *, array_to_string(u[1 : least(p, q)], '') AS a, array_to_string(u[least(p, q) + 1 : greatest(p, q)], '') AS b,
+         array_to_string(u[greatest(p, q) + 1 : n], '') AS c
+  FROM r)
+SELECT doc_id, cast(n AS bigint) AS n, form,
+       CASE WHEN form <> 'plain' THEN cast(length(a) AS bigint) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN cast(length(b) AS bigint) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+                        ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM s""",
+    # DuckDB has no crc32: it is folded bit by bit over the digits.
+    "op12_conversation_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(string_split(cast(conv_id AS varchar), ''), lambda x: ascii(x)::BIGINT)),
+           lambda crc, x: list_reduce(
+             [xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, t.p, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL SELECT c.conv_id, t.p, t.role, t.text FROM c JOIN t USING (conv_id) WHERE t.p > c.h),
+s AS (
+  SELECT conv_id, coalesce(list({'role': role, 'text': text} ORDER BY p) FILTER (p IS NOT NULL), []) AS s
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+m AS (SELECT conv_id, d, s[1 : d] AS k, d = len(s) AS ends FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS d FROM s)),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n,
+         coalesce(string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+         (count(*) - 1) * coalesce(len(list_filter(regexp_split_to_array(k[d].text, '[ 	-]+'), lambda x: x <> '')), 0) AS saved
+  FROM m GROUP BY k, d),
+up AS (SELECT k[1 : d - 1] AS k, d - 1 AS d, count(*) AS n FROM n WHERE d > 0 GROUP BY 1, 2),
+full_ AS (SELECT n.*, coalesce(up.n, 0) AS n_children FROM n LEFT JOIN up USING (k, d)),
+below AS (
+  SELECT k[1 : a] AS k, a AS d, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT k, saved, n_children, unnest(range(0, d + 1)) AS a FROM full_) GROUP BY 1, 2)
+SELECT f.conv_id, cast(f.d AS bigint) AS depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, b.n_leaves,
+       cast(b.saved AS bigint) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_ f JOIN below b USING (k, d) LEFT JOIN n p ON f.d > 0 AND p.k = f.k[1 : f.d - 1] AND p.d = f.d - 1""",
 }
