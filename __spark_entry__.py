@@ -35,6 +35,8 @@ AB, AA = (1, 2), (2, 3)                     # groups compared
 N_BOOT, N_EXP, SAMPLE, SMALL_SAMPLE, WHOLE_GROUP = 10_000, 10_000, 10, 5, 29    # 29 users a group at sf0.01
 BINS, NARROW = 20, (0.5, 1.0)
 
+LATE_DAY, SKETCH_BITS, USAGE_DATES = "2024-01-27", 16, (AS_OF, "2024-01-20", "2024-01-08")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -104,6 +106,71 @@ def _loaded(spark, d):
     return rows
 
 
+def _loaded_late(spark, d):
+    """Events in two files, the second late: which days the second call loads, and the table after it."""
+    events, table = _events(spark, d), f"daily_{uuid.uuid4().hex}"
+    path = f"{plans.shared_dir(spark)}/late/{table}"
+    late = (F.to_date("ts") == F.lit(LATE_DAY).cast("date")) & (F.hour("ts") >= 18)
+    events.where(~late).write.parquet(path)
+    plans.load_changed(spark, path, table, "2024-01-30", first_day="2024-01-25")
+    events.where(late).write.mode("append").parquet(path)
+    again = plans.load_changed(spark, path, table, AS_OF, first_day="2024-01-25")
+    rows = plans.materialize(spark.table(table).withColumn("again", F.col("event_date").isin(again)))
+    spark.sql(f"DROP TABLE {table}")
+    sources.drop_published(spark, f"{table}_files")
+    return rows
+
+
+def _aa_moments(spark, d, size=SAMPLE):
+    return op.aa_moments(plans.materialize(_users(spark, d, AA)), "ctr", AA, size, N_EXP)
+
+
+def _kept_lifespan(spark, d):
+    """History up to the 28th stored in buckets, then one day after another."""
+    feed, msg = _sparse(spark, d)
+    table = f"lifespan_{uuid.uuid4().hex}"
+    plans.store(op.user_lifespan(feed, msg, "2024-01-29"), table, "user_id", 8)
+    for day in ("2024-01-30", "2024-01-29", "2024-01-31", "2024-01-30"):
+        plans.load_lifespan(feed, msg, day, table)
+    rows = plans.materialize(spark.table(table))
+    sources.drop_published(spark, table)
+    return rows
+
+
+def _kept_posts(spark, d):
+    feed = _feed(spark, d)
+    table = f"posts_{uuid.uuid4().hex}"
+    plans.store(op.posts_first_seen(feed, "2024-01-30"), table, "post_id", 8)
+    plans.load_posts(feed, "2024-01-30", table)
+    rows = plans.materialize(op.new_posts_from(spark.table(table), AS_OF))
+    sources.drop_published(spark, table)
+    return rows
+
+
+def _day_sketches(spark, d):
+    """Sketches of three weeks, the last of them made twice and by itself."""
+    feed = _feed(spark, d)
+    weeks = op.feed_sketches(feed, "2024-01-10", "2024-01-24", SKETCH_BITS)
+    return op.merge_sketches(weeks, op.feed_sketches(feed, "2024-01-23", "2024-01-31", SKETCH_BITS))
+
+
+def _usage_of(spark, d):
+    """Service usage on three dates from one table of bitmaps, in which a week came twice."""
+    feed, msg = _feed(spark, d), _msg(spark, d)
+    again = op.presence_bitmaps(feed.where("time >= date'2024-01-20'"), msg.where("time >= date'2024-01-20'"))
+    presence = plans.materialize(op.merge_presence(op.presence_bitmaps(feed, msg), again))
+    out = [op.service_usage_of(presence, a, ordered=False).withColumn("as_of", F.lit(a)) for a in USAGE_DATES]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def _profiles(spark, d):
+    """Attributes as each feed action shows them: they change from one to the next."""
+    odd = F.col("post_id") % 2
+    return _feed(spark, d).select(
+        "user_id", "time", (F.col("post_id") % 3).cast("int").alias("gender"), (20 + odd).cast("int").alias("age"),
+        F.when(odd == 0, "iOS").otherwise("Android").alias("os"))
+
+
 def _constant_ttest(spark, d, equal_var):
     """A metric that does not vary within a group, but between them."""
     users = _users(spark, d).withColumn("share", F.col("exp_group") / F.lit(2.0))
@@ -191,6 +258,18 @@ _QUERIES: dict[str, Query] = {
     "run_daily_strict": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF, strict=True),
     "run_daily_demographics": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF, demographics=_people(s, d)),
     "load_daily": _loaded,
+    "load_changed": _loaded_late,
+    "message_cube_in_time": lambda s, d: op.message_cube(_msg(s, d), AS_OF, demographics=_profiles(s, d)),
+    "run_daily_in_time": lambda s, d: plans.run_daily(_feed(s, d), _msg(s, d), AS_OF, demographics=_profiles(s, d)),
+    # day tables that reports merge
+    "user_lifespan_kept": _kept_lifespan,
+    "new_posts_kept": _kept_posts,
+    "feed_metrics_of_days": lambda s, d: op.feed_metrics_of_days(_day_sketches(s, d), AS_OF),
+    "feed_metrics_of_windows": lambda s, d: op.feed_metrics_of_windows(_day_sketches(s, d), AS_OF, (1, 7, 21)),
+    "service_usage_of_windows": lambda s, d: op.service_usage_of_windows(
+        op.presence_sketches(_feed(s, d), _msg(s, d), "2024-01-10", "2024-01-30", SKETCH_BITS), AS_OF, (1, 7, 21)),
+    "service_usage_of": _usage_of,
+    "active_days": lambda s, d: op.active_days(op.presence_bitmaps(_feed(s, d), _msg(s, d)), AS_OF, 28),
     # experiment statistics
     "user_ctr": _users,
     "group_ctr": lambda s, d: op.group_ctr(_feed(s, d), *WINDOW, AB),
@@ -206,6 +285,8 @@ _QUERIES: dict[str, Query] = {
         _bootstrap(s, d).unpivot(["replicate"], ["ctr1", "ctr2"], "sample", "ctr"), "ctr", "sample", BINS),
     "histogram_bootstrap_diff": lambda s, d: op.histogram(
         _bootstrap(s, d).withColumn("diff", F.col("ctr2") - F.col("ctr1")), "diff", None, BINS),
+    "histogram_one_scan": lambda s, d: op.histogram_one_scan(_users(s, d), "ctr", "exp_group", BINS),
+    "histogram_one_scan_values": lambda s, d: op.histogram_one_scan(_events(s, d), "value", "event_type", 50),
     "welch_ttest": lambda s, d: op.welch_ttest(_users(s, d), "ctr", AB),
     "welch_ttest_constant": lambda s, d: _constant_ttest(s, d, False),
     "pooled_ttest_constant": lambda s, d: _constant_ttest(s, d, True),
@@ -225,6 +306,10 @@ _QUERIES: dict[str, Query] = {
     "aa_samples_whole_group": lambda s, d: _aa_samples(s, d, WHOLE_GROUP),
     "aa_pvalues": _aa_pvalues,
     "aa_fpr": lambda s, d: op.aa_fpr(_aa_pvalues(s, d)),
+    "aa_moments": _aa_moments,
+    "aa_moments_whole_group": lambda s, d: _aa_moments(s, d, WHOLE_GROUP),
+    "aa_pvalues_of": lambda s, d: op.aa_pvalues_of(_aa_moments(s, d)),
+    "aa_fpr_of": lambda s, d: op.aa_fpr(op.aa_pvalues_of(_aa_moments(s, d))),
     "aa_pvalue_histogram": lambda s, d: op.histogram(
         _aa_pvalues(s, d), "p_value", None, BINS, bounds=(0.0, 1.0)),
 }

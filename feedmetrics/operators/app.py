@@ -110,10 +110,14 @@ def posts_first_seen(feed: DataFrame, until: dt.date | str) -> DataFrame:
     return before_day(feed, until).groupBy("post_id").agg(F.min("time").alias("public_time"))
 
 
+def posts_of_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
+    """``posts_first_seen`` of one day alone."""
+    return in_days(feed, day, day).groupBy("post_id").agg(F.min("time").alias("public_time"))
+
+
 def merge_posts_first_seen(seen: DataFrame, feed: DataFrame, day: dt.date | str) -> DataFrame:
     """``seen`` with one more day of events; only that day is scanned."""
-    of_day = in_days(feed, day, day).groupBy("post_id").agg(F.min("time").alias("public_time"))
-    return seen.unionByName(of_day).groupBy("post_id").agg(F.min("public_time").alias("public_time"))
+    return seen.unionByName(posts_of_day(feed, day)).groupBy("post_id").agg(F.min("public_time").alias("public_time"))
 
 
 def new_posts_from(seen: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -157,13 +161,17 @@ def _first_and_last(activity: DataFrame) -> DataFrame:
     )
 
 
+def lifespan_of_day(feed: DataFrame, msg: DataFrame, day: dt.date | str) -> DataFrame:
+    """``user_lifespan`` of one day alone."""
+    return _first_and_last(_activity_rows(in_days(feed, day, day), in_days(msg, day, day)))
+
+
 def merge_lifespan(lifespan: DataFrame, feed: DataFrame, msg: DataFrame, day: dt.date | str) -> DataFrame:
     """``lifespan`` with one more day of activity; of the events only that day is scanned.
 
     Days may come in any order and more than once: minimum and maximum do not change.
     """
-    of_day = _first_and_last(_activity_rows(in_days(feed, day, day), in_days(msg, day, day)))
-    return lifespan.unionByName(of_day).groupBy("user_id").agg(
+    return lifespan.unionByName(lifespan_of_day(feed, msg, day)).groupBy("user_id").agg(
         F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time"))
 
 

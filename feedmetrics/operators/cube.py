@@ -8,12 +8,14 @@ preceded by a partial aggregate, so a user with a third of the traffic costs one
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import as_date, day_of, last_days
+from ..functions import as_date, day_of, in_days, last_days
 from .feed import likes, views
+from .intime import attributes_in_time
 
 DEMOGRAPHICS = ["gender", "age", "os"]
 CUBE_KEYS = ["day", "user_id", *DEMOGRAPHICS]
@@ -33,6 +35,13 @@ def _yesterday(events: DataFrame, as_of: dt.date | str) -> DataFrame:
     return last_days(events, as_of, 1).withColumn("day", day_of())
 
 
+def _of_days(events: DataFrame, days: Sequence[dt.date]) -> DataFrame:
+    """Events of some days; their range reaches the scan, the days between them are left out after it."""
+    rows = in_days(events, min(days), max(days)).withColumn("day", day_of())
+    whole = (max(days) - min(days)).days + 1 == len(set(days))
+    return rows if whole else rows.where(F.col("day").isin(sorted(set(days))))
+
+
 def feed_cube(feed: DataFrame, as_of: dt.date | str, strict: bool = False) -> DataFrame:
     """Likes and views of yesterday per user and demographics."""
     return _yesterday(feed, as_of).groupBy(*CUBE_KEYS).agg(*_feed_measures(strict))
@@ -53,11 +62,11 @@ def messages_received(msg: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 def _pairs(msg: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Messages per sender, receiver and demographics: all four message measures follow from it."""
-    return (
-        _yesterday(msg, as_of)
-        .groupBy("day", "user_id", "reciever_id", *DEMOGRAPHICS)
-        .agg(F.count("*").alias("messages"))
-    )
+    return _pairs_of(_yesterday(msg, as_of))
+
+
+def _pairs_of(dated: DataFrame) -> DataFrame:
+    return dated.groupBy("day", "user_id", "reciever_id", *DEMOGRAPHICS).agg(F.count("*").alias("messages"))
 
 
 def users_sent(msg: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -79,9 +88,23 @@ def received_by(msg: DataFrame, as_of: dt.date | str, demographics: DataFrame) -
     ``demographics`` holds one row per ``user_id``; a second one raises, as it would count messages
     twice. Receivers without one keep NULL attributes. Messages are summed to one row per receiver
     before the join, so a receiver with a third of the traffic is one row there.
+
+    With a ``time`` column it holds the attributes of a user from that time on, in any number of rows, and
+    every message counts for those its receiver had when it was sent (see ``attributes_in_time``).
     """
+    return _received_by(_yesterday(msg, as_of), demographics)
+
+
+def _received_by(dated: DataFrame, demographics: DataFrame) -> DataFrame:
+    if "time" in demographics.columns:
+        known = attributes_in_time(
+            dated.select("day", "time", F.col("user_id").alias("sender"), F.col("reciever_id").alias("user_id")),
+            demographics, DEMOGRAPHICS)
+        keys = ["day", "user_id", *DEMOGRAPHICS]
+        return known.groupBy(*keys, "sender").agg(F.count("*").alias("messages")).groupBy(*keys).agg(
+            F.sum("messages").alias("messages_received"), F.count("*").alias("users_received"))
     per_receiver = (
-        _pairs(msg, as_of)
+        _pairs_of(dated)
         .groupBy("day", "user_id", "reciever_id").agg(F.sum("messages").alias("messages"))
         .groupBy("day", F.col("reciever_id").alias("user_id"))
         .agg(F.sum("messages").alias("messages_received"), F.count("*").alias("users_received"))
@@ -110,6 +133,10 @@ def message_cube(
     left side and unmatched keys are 0. Received messages are keyed by the demographics stored
     with the message unless ``demographics`` gives the receivers' own.
     """
+    return _message_cube(_yesterday(msg, as_of), strict, demographics)
+
+
+def _message_cube(dated: DataFrame, strict: bool, demographics: DataFrame | None) -> DataFrame:
     zero = F.lit(0).cast("bigint")
 
     def sent_side(n, partners):
@@ -125,12 +152,12 @@ def message_cube(
         )
 
     n, one = F.col("messages"), F.lit(1).cast("bigint")
-    pairs = _pairs(msg, as_of)
+    pairs = _pairs_of(dated)
     if demographics is None:
         sides = pairs.select("day", *DEMOGRAPHICS, F.inline(F.array(sent_side(n, one), received_side(n, one))))
     else:
         sides = pairs.select("day", *DEMOGRAPHICS, F.inline(F.array(sent_side(n, one)))).unionByName(
-            received_by(msg, as_of, demographics).withColumns({"messages_sent": zero, "users_sent": zero}))
+            _received_by(dated, demographics).withColumns({"messages_sent": zero, "users_sent": zero}))
     cube = sides.groupBy(*CUBE_KEYS).agg(*[F.sum(m).alias(m) for m in MESSAGE_MEASURES])
     if strict:
         cube = cube.where((F.col("messages_sent") > 0) & (F.col("user_id") != 0))
@@ -197,19 +224,35 @@ def daily_rollup(
     still goes through the per-user cube. ``demographics`` is as in ``message_cube``: without it
     received messages follow the sender's attributes, which the message carries.
     """
+    return _rollup(_yesterday(feed, as_of), _yesterday(msg, as_of), strict, demographics)
+
+
+def rollup_of_days(
+    feed: DataFrame,
+    msg: DataFrame,
+    days: Sequence[dt.date | str],
+    strict: bool = False,
+    demographics: DataFrame | None = None,
+) -> DataFrame:
+    """``daily_rollup`` of several days in one plan: the rows each of them has by itself."""
+    wanted = [as_date(d) for d in days]
+    return _rollup(_of_days(feed, wanted), _of_days(msg, wanted), strict, demographics)
+
+
+def _rollup(feed: DataFrame, msg: DataFrame, strict: bool, demographics: DataFrame | None) -> DataFrame:
     keys = ["day", *DEMOGRAPHICS]
-    feed_part = _yesterday(feed, as_of).groupBy(*keys).agg(*_feed_measures(strict))
+    feed_part = feed.groupBy(*keys).agg(*_feed_measures(strict))
     if strict:
-        message_part = message_cube(msg, as_of, True, demographics).drop("user_id")
+        message_part = _message_cube(msg, True, demographics).drop("user_id")
         return dimension_rollup(feed_part.unionByName(message_part, allowMissingColumns=True))
     messages, partners = F.sum("messages"), F.count("*")
     sent = [messages.alias("messages_sent"), partners.alias("users_sent")]
-    by_sender = _pairs(msg, as_of).groupBy(*keys)
+    by_sender = _pairs_of(msg).groupBy(*keys)
     if demographics is None:
         parts = [by_sender.agg(*sent, messages.alias("messages_received"), partners.alias("users_received"))]
     else:
         received = [F.sum(c).alias(c) for c in ("messages_received", "users_received")]
-        parts = [by_sender.agg(*sent), received_by(msg, as_of, demographics).groupBy(*keys).agg(*received)]
+        parts = [by_sender.agg(*sent), _received_by(msg, demographics).groupBy(*keys).agg(*received)]
     for part in parts:
         feed_part = feed_part.unionByName(part, allowMissingColumns=True)
     return dimension_rollup(feed_part)

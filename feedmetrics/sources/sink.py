@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import DAY_PARTITION, as_date
+from .publish import VERSIONS, Version, delete_folder, move_folder, publish_partitions, table_location
 
 RESULT_SCHEMA = T.StructType([
     T.StructField(DAY_PARTITION, T.DateType()),
@@ -40,19 +43,39 @@ def load_result(df: DataFrame, table: str, day: dt.date | str) -> None:
     """Write ``df`` into ``table`` by column name as its partition ``day``, in place of what is there.
 
     A rerun of a day leaves one copy of that day, an empty rerun none; other days are not touched. A
-    row of another day raises. The day is written to its own folder and then made known to the
-    table: no session setting is involved, and loads of different days can run at the same time
-    (commits below one table folder would clear each other's temporary files).
+    row of another day raises. The day changes in one step when all of it is written: a load that fails
+    leaves the old rows, and readers never see a part. Loads of different days can run at the same
+    time; of several loads of one day the one that started last counts. No session setting is involved.
+    """
+    load_days(df, table, [as_date(day)])
+
+
+def load_days(df: DataFrame, table: str, days: Sequence[dt.date | str]) -> list[dt.date]:
+    """``load_result`` for several days, written by one job; returns the days that changed.
+
+    Every day of ``days`` is replaced, also by nothing; a row of any other day raises before one of them
+    changes. Each day is published by itself, so a reader may see some days before others.
     """
     spark = df.sparkSession
-    day = as_date(day)
+    wanted = sorted({as_date(d) for d in days})
+    if not wanted:
+        return []
     schema = spark.table(table).schema
-    of_day = F.assert_true(df[DAY_PARTITION] == F.lit(day), F.lit(f"a row of another day than {day}"))
-    rows = df.where(of_day.isNull()).select(
-        *[df[f.name].cast(f.dataType) for f in schema if f.name != DAY_PARTITION])
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    location = details.where("col_name = 'Location'").first()["data_type"]
-    folder = f"{location.rstrip('/')}/{DAY_PARTITION}={day}"
-    rows.write.mode("overwrite").parquet(folder)
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({DAY_PARTITION} = DATE'{day}') LOCATION '{folder}'")
-    spark.catalog.refreshTable(table)
+    among = f"day than {wanted[0]}" if len(wanted) == 1 else f"day than those from {wanted[0]} to {wanted[-1]}"
+    of_days = F.assert_true(df[DAY_PARTITION].isin(wanted), F.lit(f"a row of another {among}"))
+    rows = df.where(of_days.isNull()).select(*[df[f.name].cast(f.dataType) for f in schema])
+    root = f"{table_location(spark, table)}/{VERSIONS}"
+    with ExitStack() as loads:
+        versions = {d: loads.enter_context(Version(spark, f"{root}/{d}")) for d in wanted}
+        if len(wanted) == 1:
+            staged = [versions[wanted[0]].path]
+            rows.drop(DAY_PARTITION).write.parquet(staged[0])
+        else:
+            # One job writes all days; each day's folder then moves to its own place.
+            with Version(spark, f"{root}/several") as several:
+                rows.repartition(DAY_PARTITION).write.partitionBy(DAY_PARTITION).parquet(several.path)
+                for d, version in versions.items():
+                    move_folder(spark, f"{several.path}/{DAY_PARTITION}={d}", version.path)
+                delete_folder(spark, several.path)
+        changed = publish_partitions(table, DAY_PARTITION, {str(d): (v, v.path) for d, v in versions.items()})
+    return [as_date(d) for d in changed]

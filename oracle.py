@@ -7,6 +7,7 @@ check each other. Doubles are rounded to 6 decimals, days and times are text.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 AS_OF = "date '2024-01-31'"
@@ -463,6 +464,128 @@ def _day_before(sql: str) -> str:
     return sql.replace(YESTERDAY, "date '2024-01-29'").replace(AS_OF, YESTERDAY)
 
 
+def _as_of(sql: str, day: str) -> str:
+    """The same query with another day for today."""
+    before = f"date '{dt.date.fromisoformat(day) - dt.timedelta(days=1)}'"
+    return sql.replace(YESTERDAY, "{before}").replace(AS_OF, f"date '{day}'").replace("{before}", before)
+
+
+LOADED_LATE = "\nUNION ALL ".join(
+    f"SELECT *, {day in (27, 30)} AS again FROM ("
+    + _as_of(_sql(ALL_ROLLUPS, _activity_cube(False)), f"2024-01-{day + 1}") + ")" for day in range(25, 31))
+
+# Every feed action shows attributes of its user; a message counts for those its receiver showed last.
+IN_TIME = f"""
+shown AS (
+  SELECT user_id, time, max({{'gender': gender, 'age': age, 'os': os}}) AS a
+  FROM (SELECT user_id, time, cast(post_id % 3 AS integer) AS gender, cast(20 + post_id % 2 AS integer) AS age,
+               CASE WHEN post_id % 2 = 0 THEN 'iOS' ELSE 'Android' END AS os FROM feed)
+  GROUP BY 1, 2),
+got AS (
+  SELECT cast(m.time AS date) AS day, m.reciever_id AS user_id, m.user_id AS sender, s.a.gender AS gender, s.a.age AS age, s.a.os AS os
+  FROM msg m ASOF LEFT JOIN shown s ON m.reciever_id = s.user_id AND m.time >= s.time
+  WHERE cast(m.time AS date) = {YESTERDAY}),
+in_time AS (
+  SELECT day, user_id, gender, age, os, cast(sum(sent) AS bigint) AS messages_sent, cast(sum(received) AS bigint) AS messages_received,
+         cast(sum(to_users) AS bigint) AS users_sent, cast(sum(from_users) AS bigint) AS users_received
+  FROM (
+    SELECT cast(time AS date) AS day, user_id, gender, age, os, count(*) AS sent, 0 AS received,
+           count(DISTINCT reciever_id) AS to_users, 0 AS from_users
+    FROM msg WHERE cast(time AS date) = {YESTERDAY} GROUP BY 1, 2, 3, 4, 5
+    UNION ALL
+    SELECT day, user_id, gender, age, os, 0, count(*), 0, count(DISTINCT sender) FROM got GROUP BY 1, 2, 3, 4, 5)
+  GROUP BY 1, 2, 3, 4, 5),
+cube AS (
+  SELECT day, gender, age, os, likes, views, 0 AS messages_sent, 0 AS messages_received, 0 AS users_sent, 0 AS users_received
+  FROM feed_cube
+  UNION ALL
+  SELECT day, gender, age, os, 0, 0, messages_sent, messages_received, users_sent, users_received FROM in_time)"""
+
+
+def _window(days: int) -> str:
+    return f"date_diff('day', cast(time AS date), {AS_OF}) BETWEEN 1 AND {days}"
+
+
+FEED_WINDOWS = " UNION ALL ".join(
+    f"SELECT {days} AS days, count(DISTINCT user_id) AS users, count_if(action = 'like') AS likes, count_if(action = 'view') AS views, "
+    f"round_even(count_if(action = 'like') / nullif(count_if(action = 'view'), 0), 3) AS ctr FROM feed WHERE {_window(days)}"
+    for days in (1, 7, 21))
+USAGE_WINDOWS = " UNION ALL ".join(
+    f"SELECT {days} AS days, count_if(f) AS feed, count_if(m) AS messenger, count(*) AS either, count_if(f AND m) AS both FROM ("
+    f"SELECT user_id, bool_or(f) AS f, bool_or(m) AS m FROM (SELECT user_id, true AS f, false AS m FROM feed WHERE {_window(days)} "
+    f"UNION ALL SELECT user_id, false, true FROM msg WHERE {_window(days)}) GROUP BY 1)" for days in (1, 7, 21))
+ACTIVE_DAYS = (
+    "SELECT n_days, count(*) AS users FROM (SELECT user_id, count(DISTINCT cast(time AS date)) AS n_days FROM ("
+    f"SELECT user_id, time FROM feed UNION ALL SELECT user_id, time FROM msg) WHERE {_window(28)} GROUP BY 1) GROUP BY 1")
+
+
+def _dyadic(base: str, table: str, column: str, by: str, bins: int) -> str:
+    """Bins of a power of two, the least that covers all values in ``bins`` steps."""
+    return _sql(
+        f"SELECT {by}, round(floor({column} / w) * w, 6) AS bin_lo, round((floor({column} / w) + 1) * w, 6) AS bin_hi, count(*) AS n "
+        f"FROM {table}, wide WHERE {column} IS NOT NULL GROUP BY 1, floor({column} / w), w",
+        *([base] if base else []), f"""
+wide AS (
+  SELECT min(pow(2.0::double, e)) AS w FROM (SELECT min({column}) AS lo, max({column}) AS hi FROM {table}), range(-45, 60) AS r(e)
+  WHERE floor(hi / pow(2.0::double, e)) - floor(lo / pow(2.0::double, e)) < {bins})""")
+
+
+def _aa_cells(size: int) -> str:
+    """Users per distinct value in a sample: hypergeometric draws down a binary tree over the values in order.
+
+    Distribution functions are tabled for each half a node can have and each number of users drawn.
+    """
+    return f"""{_users('2, 3')},
+vals AS (
+  SELECT exp_group, ctr, n, row_number() OVER (PARTITION BY exp_group ORDER BY ctr) - 1 AS number,
+         cast(ceil(log2(count(*) OVER (PARTITION BY exp_group))) AS integer) AS bits
+  FROM (SELECT exp_group, ctr, count(*) AS n FROM users WHERE ctr IS NOT NULL GROUP BY 1, 2)),
+nodes AS (
+  SELECT exp_group, level, number >> (bits - level) AS node, any_value(bits) AS bits, cast(sum(n) AS bigint) AS size
+  FROM vals, range(0, 12) AS r(level) WHERE level <= bits GROUP BY 1, 2, 3),
+halves AS (
+  SELECT p.exp_group, p.level, p.node, p.size, coalesce(l.size, 0) AS l,
+         {_hash(f"concat_ws(':', p.exp_group, p.level, p.node, {SEED})", 15)} AS seed
+  FROM nodes p LEFT JOIN nodes l ON l.exp_group = p.exp_group AND l.level = p.level + 1 AND l.node = 2 * p.node
+  WHERE p.level < p.bits),
+cdf AS (
+  SELECT exp_group, level, node, k, seed, greatest(0, k - (any_value(size) - any_value(l))) AS low, list(c ORDER BY x) AS steps
+  FROM (
+    SELECT *, sum(exp(lgamma(l + 1) - lgamma(x + 1) - lgamma(l - x + 1) + lgamma(size - l + 1) - lgamma(k - x + 1)
+                      - lgamma(size - l - k + x + 1) - lgamma(size + 1) + lgamma(k + 1) + lgamma(size - k + 1)))
+              OVER (PARTITION BY exp_group, level, node, k ORDER BY x) AS c
+    FROM halves, range(1, {size} + 1) AS r(k), range(0, {size} + 1) AS s(x)
+    WHERE k <= size AND x <= l AND x <= k AND x >= k - (size - l))
+  GROUP BY 1, 2, 3, 4, 5),
+drawn AS (
+  SELECT DISTINCT cast(i AS integer) AS replicate, exp_group, 0 AS level, 0::bigint AS node, {size}::bigint AS k
+  FROM vals, range(0, {N_EXP}) AS r(i)
+  UNION ALL
+  SELECT replicate, exp_group, level + 1, 2 * node + side, CASE side WHEN 0 THEN x ELSE k - x END
+  FROM (
+    SELECT replicate, exp_group, level, node, k,
+           low + len(list_filter(steps[1 : len(steps) - 1], lambda c: c <= (xor(z, z >> 31) >> 12) / 4503599627370496.0::double)) AS x
+    FROM (
+      SELECT * REPLACE ({_scrambled('z', 27, 10723151780598845931)} AS z) FROM (
+        SELECT * REPLACE ({_scrambled('z', 30, 13787848793156543929)} AS z) FROM (
+          SELECT d.*, low, steps,
+                 cast((cast(seed AS uhugeint) + cast(replicate AS uhugeint) * 11400714819323198485) % 18446744073709551616 AS ubigint) AS z
+          FROM drawn d JOIN cdf USING (exp_group, level, node, k))))), range(0, 2) AS s(side)
+  WHERE CASE side WHEN 0 THEN x ELSE k - x END > 0),
+samples AS (
+  SELECT replicate, exp_group, metric
+  FROM (SELECT replicate, d.exp_group, ctr AS metric, unnest(range(0, k))
+        FROM drawn d JOIN vals v ON d.exp_group = v.exp_group AND d.level = v.bits AND d.node = v.number))"""
+
+
+AA_CELL_TESTS = _aa_cells(SAMPLE) + "," + _t_test("aa", "samples", "metric", (2, 3), welch=False, by="replicate")
+
+
+def _moment_rows(size: int) -> str:
+    rounded = ", ".join(f"n{i}, round(mean{i}, 6) AS mean{i}, round(var{i}, 6) AS var{i}" for i in (1, 2))
+    return _sql(f"SELECT replicate, {rounded} FROM ({_moments('samples', 'metric', (2, 3), 'replicate')})", _aa_cells(size))
+
+
 SQL: dict[str, str] = {
     "read_events": (
         "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, "
@@ -570,6 +693,16 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     "run_daily_demographics": _sql(ALL_ROLLUPS, OWN_CUBE),
     "load_daily": "SELECT * FROM (" + _sql(ALL_ROLLUPS, _activity_cube(False)) + ")\nUNION ALL SELECT * FROM ("
     + _day_before(_sql(ALL_ROLLUPS, _activity_cube(False))) + ")",
+    "load_changed": LOADED_LATE,
+    "message_cube_in_time": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM in_time", _feed_cube(False), IN_TIME),
+    "run_daily_in_time": _sql(ALL_ROLLUPS, _feed_cube(False), IN_TIME),
+    "feed_metrics_of_days": _sql(f"SELECT * REPLACE ({_text('day')} AS day) FROM daily", FEED_DAILY),
+    "feed_metrics_of_windows": _sql(FEED_WINDOWS),
+    "service_usage_of_windows": _sql(USAGE_WINDOWS),
+    "service_usage_of": "\nUNION ALL ".join(
+        f"SELECT *, '{day}' AS as_of FROM (" + _as_of(_sql("SELECT * FROM usage", USAGE), day) + ")"
+        for day in ("2024-01-31", "2024-01-20", "2024-01-08")),
+    "active_days": _sql(ACTIVE_DAYS),
     "user_ctr": _sql("SELECT user_id, exp_group, round(ctr, 6) AS ctr, likes, views FROM users", USERS),
     "group_ctr": _sql("SELECT exp_group, round(global_ctr, 6) AS global_ctr FROM grp", SMOOTHED),
     "smoothed_ctr": _sql(
@@ -594,6 +727,8 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
     "histogram_bootstrap_diff": _histogram_query(
         BOOTSTRAP + ", diffs AS (SELECT ctr2 - ctr1 AS diff FROM boot)", "diffs", "diff"
     ),
+    "histogram_one_scan": _dyadic(USERS, "users", "ctr", "exp_group", BINS),
+    "histogram_one_scan_values": _dyadic("", "events", "value", "event_type", 50),
     "welch_ttest": _sql(f"SELECT {T_TEST_COLUMNS} FROM welch", WELCH),
     "welch_ttest_constant": _sql(
         f"SELECT {T_TEST_COLUMNS} FROM welch_c", CONSTANT, _t_test("welch_c", "constant", "share", (1, 2))),
@@ -620,8 +755,19 @@ UNION ALL SELECT '2024-01-31', 'messages_sent', (SELECT mess_sent FROM messages
         "count_if(p_value < 0.05) / count(*) <= 0.05 AS split_ok FROM aa",
         AA_TESTS,
     ),
+    "aa_moments": _moment_rows(SAMPLE),
+    "aa_moments_whole_group": _moment_rows(WHOLE_GROUP),
+    "aa_pvalues_of": _sql(
+        "SELECT replicate, round(t, 6) AS t, round(df, 6) AS df, round(p_value, 6) AS p_value FROM aa", AA_CELL_TESTS),
+    "aa_fpr_of": _sql(
+        "SELECT count(*) AS n_exp, round(count_if(p_value < 0.05) / count(*), 6) AS fpr, "
+        "count_if(p_value < 0.05) / count(*) <= 0.05 AS split_ok FROM aa",
+        AA_CELL_TESTS,
+    ),
     "aa_pvalue_histogram": _histogram_query(AA_TESTS, "aa", "p_value", bounds=(0.0, 1.0)),
 }
 
 SQL["user_lifespan_merged"] = SQL["user_lifespan"]
 SQL["app_report_metrics_incremental"] = SQL["app_report_metrics"]
+SQL["user_lifespan_kept"] = SQL["user_lifespan"]
+SQL["new_posts_kept"] = SQL["new_posts"]

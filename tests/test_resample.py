@@ -226,3 +226,18 @@ def test_aa_check_equals_its_parts(spark):
     users = op.user_ctr(feed, *WINDOW, (2, 3))
     parts = op.aa_fpr(op.aa_pvalues(op.aa_samples(users, sample_size=10, n_exp=50))).first()
     assert whole == parts
+
+
+def test_many_packs_at_once_are_dealt_like_one():
+    from feedmetrics.operators.resample import dealt
+
+    rng = np.random.default_rng(0)
+    for size, draws in ((1, 1), (10, 10), (12, 5), (29, 29), (600, 50), (10**9, 500)):
+        places = np.arange(draws) + (rng.random((60, draws)) * (size - np.arange(draws))).astype(np.int64)
+        for row, numbers in zip(places.tolist(), dealt(places).tolist()):
+            pack = {}
+            want = []
+            for i, p in enumerate(row):
+                pack[i], pack[p] = pack.get(p, p), pack.get(i, i)
+                want.append(pack[i])
+            assert numbers == want and len(set(numbers)) == draws
