@@ -8,14 +8,19 @@ so (pigeonhole) some of the first few parts in any fixed order. Parts that are r
 come first in that order; those that many documents share come last. Pairs that share a part are
 compared by a 512-bit parity sketch, and those it cannot rule out by their full sets.
 
-Exactly equal sets are one node. Parts that many rows share pair each row with the first only;
-their other pairs are looked at where the rows are not in one component by then. So a large group of
-near copies costs about one check per member.
+Exactly equal sets are one node. Parts that many rows share pair each row with the first only. So a
+large group of near copies costs about one check per member, and its parts lie in one component then.
+
+A large part whose rows are still in several components is a common passage. Its pairs are not looked
+at: the rows that hold it take part in another round, in which such parts come last in the order, behind
+all parts that were not seen to be common. Any order finds all links, so the rounds lose none. Only rows
+that hardly hold anything but common passages keep some of them; they are compared in blocks at the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -38,6 +43,10 @@ PARTS_PER_TASK = 400_000
 HOT = 200_000                   # a part shared by more documents is spread over several tasks
 FEW = 16                        # rows that share a part and are paired at once
 BLOCK = 4096                    # members of a part compared with one another by one key
+MARK_BITS = 20, 28              # bits, as powers of two, that mark common parts: at least and at most (32 MB)
+MARKS_PER_ROW = 17              # of them, as a power of two, in one row
+MEETINGS_PER_WORD = 30          # pairs in blocks that cost as much as another round does for each word
+EARLIER = 16                    # lesser parts by which a pair knows that it is met elsewhere
 
 
 def most_apart(a, b, percent: int = PERCENT):
@@ -181,9 +190,45 @@ def _rarity(summary: DataFrame) -> np.ndarray:
 PREFIXES = "task int, hot boolean, parts binary, rows binary"
 
 
-def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: int, size: int, percent: int):
+def _marked(parts: np.ndarray, marks: np.ndarray | None) -> np.ndarray:
+    """Whether parts have the bit of a common one; some others have it by chance, which costs time only."""
+    if marks is None:
+        return np.zeros(len(parts), bool)
+    bits = 3 + (len(marks) - 1).bit_length()
+    slot = parts >> np.uint64(64 - bits)
+    return (marks[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _marks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The bits of common parts, by ranges of ``2 ** MARKS_PER_ROW`` of them."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        slot = batch.column(1).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+        within = (slot & np.uint64((1 << MARKS_PER_ROW) - 1)).astype(np.int64)
+        for r in np.unique(batch.column(0).to_numpy()).tolist():
+            own = within[batch.column(0).to_numpy() == r]
+            np.bitwise_or.at(held.setdefault(r, np.zeros(1 << MARKS_PER_ROW - 3, np.uint8)), own >> 3, (1 << (own & 7)).astype(np.uint8))
+    yield _arrow("range int, counts binary", {"range": [*held], "counts": [h.tobytes() for h in held.values()]})
+
+
+def _with_marks(marks: np.ndarray | None, parts: DataFrame) -> np.ndarray:
+    """``marks`` with the bits of ``parts`` set; at first 16 bits or more for each, as far as ``MARK_BITS`` go."""
+    if marks is None:
+        low, high = MARK_BITS
+        marks = np.zeros(1 << min(high, max(low, (16 * parts.count()).bit_length())) - 3, np.uint8)
+    bits = 3 + (len(marks) - 1).bit_length()
+    ranges = 1 << bits - MARKS_PER_ROW
+    rows = parts.select(F.shiftrightunsigned("part", 64 - bits + MARKS_PER_ROW).cast("int").alias("range"), "part")
+    for r in rows.repartition(min(ranges, 64), "range").mapInArrow(lambda it: _marks(it, bits), "range int, counts binary").collect():
+        start = r["range"] << MARKS_PER_ROW - 3
+        marks[start: start + len(r["counts"])] |= np.frombuffer(r["counts"], np.uint8)
+    return marks
+
+
+def _prefixes(batches, counters, marked, weak: frozenset[int], tasks: int, hot_above: int, size: int, percent: int):
     """The first parts of each set in the common order, packed by the task that gathers them."""
     rarity, words, held, amount = counters.value, WordHashes(), [], 0
+    marks = marked.value if marked else None
 
     def packed():
         parts, rows = (np.concatenate(x) for x in zip(*held))
@@ -204,7 +249,7 @@ def _prefixes(batches, counters, weak: frozenset[int], tasks: int, hot_above: in
         for a, b in chunks(texts):
             values, ends = shingle_sets(texts[a:b], words, size)
             for _, who, parts, bound in Parts(values, ends, weak, percent):
-                order = np.lexsort((parts, rarity[_slot(parts)], who))
+                order = np.lexsort((parts, rarity[_slot(parts)], _marked(parts, marks), who))
                 who, parts = who[order], parts[order]
                 rank = np.arange(len(who)) - np.searchsorted(who, who)
                 first = rank <= bound[who]
@@ -355,28 +400,82 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(lambda it: released(_close(it, percent)), "a bigint, b bigint, apart double")
 
 
-def _remaining_pairs(members: DataFrame, nodes: DataFrame, links: _Links, percent: int, block: int) -> DataFrame:
-    """All possible pairs that share one of these parts and are in different components.
+def _mixed(members: DataFrame, links: _Links, block: int) -> tuple[DataFrame, DataFrame]:
+    """The parts whose rows are in several components, and ``part, __row, label, main, blocks`` of their rows, landed.
 
-    Per part, members outside its most frequent component meet all members, in blocks so that no key
-    holds more than ``block`` of them. Most parts lie in one component and drop out before.
+    ``main`` is the most frequent component of the part, ``blocks`` how many blocks its rows are compared
+    in, ``meetings`` how many pairs that would be.
     """
     known = links.labelled(members, ROW, "label")
     by_label = known.groupBy("part", "label").agg(F.count("*").alias("c"))
-    mixed = by_label.groupBy("part").agg(
-        F.count("*").alias("labels"), F.sum("c").alias("size"), F.max_by("label", F.struct("c", "label")).alias("main")
-    ).filter("labels > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    known = known.join(mixed.select("part", "main", "blocks"), "part").join(nodes.drop("detail"), ROW)
-    x = known.filter("label <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("x")
-    y = known.withColumn("block", F.pmod(F.xxhash64(ROW), "blocks").cast("int")).alias("y")
+    size = F.col("size").cast("double")
+    mixed = land(by_label.groupBy("part").agg(
+        F.count("*").alias("labels"), F.sum("c").alias("size"), F.max("c").alias("most"),
+        F.max_by("label", F.struct("c", "label")).alias("main")
+    ).filter("labels > 1").select(
+        "part", "main", F.ceil(size / block).cast("int").alias("blocks"), ((size - F.col("most")) * size).alias("meetings")), "mixed-parts")
+    here = mixed.drop("meetings")
+    return mixed, land(known.join(F.broadcast(here) if small_enough(here) else here, "part"), "mixed-members")
+
+
+def _remaining_pairs(known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All possible pairs that share one of these parts and are in different components.
+
+    Per part, members outside its most frequent component meet all members. Both sides are cut into blocks,
+    so no key holds more than a block of either. A pair that shares many parts is written for the least of
+    them: a member carries the first of its lesser parts, and a pair with one of them in common is left
+    to that one. (Beyond ``EARLIER`` of them a pair may be written more than once, but never not at all.)
+    """
+    first = known.groupBy(ROW).agg(F.slice(F.array_sort(F.collect_list("part")), 1, EARLIER).alias("first"))
+    lesser = F.filter("first", lambda q: q < F.col("part"))
+    known = known.join(first, ROW).join(nodes.drop("detail", "digest"), ROW).withColumn("lesser", lesser).drop("first").withColumn(
+        "own", F.pmod(F.xxhash64(ROW), "blocks").cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    x = known.filter("label <> main").select("*", F.col("own").alias("left"), F.explode(every).alias("right")).alias("x")
+    y = known.select("*", F.col("own").alias("right"), F.explode(every).alias("left")).alias("y")
     meet = (
-        (F.col("x.part") == F.col("y.part")) & (F.col("x.block") == F.col("y.block"))
-        & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", percent))
+        (F.col("x.part") == F.col("y.part")) & (F.col("x.left") == F.col("y.left")) & (F.col("x.right") == F.col("y.right"))
+        & (F.col("x.label") != F.col("y.label")) & _possible("x", "y", percent) & ~F.arrays_overlap("x.lesser", "y.lesser"))
     pairs = x.join(y, meet).select(
         F.greatest(f"x.{ROW}", f"y.{ROW}").alias("a"), F.least(f"x.{ROW}", f"y.{ROW}").alias("b")).distinct()
     return _likely(pairs, nodes, percent)
 
 
+@dataclass
+class _Sizes:
+    """What the rounds have in common."""
+
+    counters: object            # broadcast: how often parts occur
+    marked: object              # broadcast: bits of common parts, or none
+    weak: frozenset[int]
+    tasks: int
+    hot_above: int
+    size: int
+    percent: int
+    few: int
+
+
+def _round(texts: DataFrame, nodes: DataFrame, links: _Links, how: _Sizes) -> DataFrame:
+    """Join ``texts`` by their first parts, take in the links found, and return ``part, __row`` of large parts.
+
+    All pairs of parts that few rows share, and for the other parts each row with the first one, are
+    compared: each row with its nearest other first, then whatever is still in different components.
+    """
+    packed = texts.mapInArrow(
+        lambda it: released(_prefixes(it, how.counters, how.marked, how.weak, how.tasks, how.hot_above, how.size, how.percent)), PREFIXES)
+    shared = land(packed.repartition(how.tasks, "task").mapInArrow(lambda it: released(_shared_parts(it, how.few)), SHARED), "shared-parts")
+    members = shared.filter("part IS NOT NULL").select("part", F.col("a").alias(ROW))
+    first = land(members.groupBy("part").agg(F.min(ROW).alias("b")), "first-rows")
+    stars = members.select("part", F.col(ROW).alias("a")).join(
+        F.broadcast(first) if small_enough(first) else first, "part").filter("a <> b").select("a", "b")
+    pairs = shared.filter("part IS NULL").select("a", "b").union(stars).distinct()
+    likely = land(_likely(pairs, nodes, how.percent), "likely-pairs")
+    sets = links.sets(likely)
+    links.check(likely.groupBy("a").agg(F.min_by("b", "apart").alias("b")), sets)
+    links.check(likely, sets)
+    return members
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -387,6 +486,7 @@ def near_duplicates(
     hot_above: int = HOT,
     few: int = FEW,
     block: int = BLOCK,
+    meetings_per_word: float = MEETINGS_PER_WORD,
 ) -> DataFrame:
     """Groups of documents linked by ``100 * intersection >= percent * union`` of their shingle sets.
 
@@ -399,7 +499,8 @@ def near_duplicates(
     their texts. An empty table gives an empty result. Other columns are not read.
 
     ``percent`` is from 51 to 100. Shingles are 64-bit hashes of words. Nothing limits the number of
-    partners or the size of a group; ``hot_above``, ``few`` and ``block`` spread the work and change no result.
+    partners or the size of a group; ``hot_above``, ``few``, ``block`` and ``meetings_per_word`` spread the
+    work and change no result. Very long texts are sets like any other: a task holds one of them at a time.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -420,23 +521,27 @@ def near_duplicates(
     copies = land(nodes_of.filter(f"node <> {ROW} OR n = 0").select(ROW), "copies")
     nodes = own.select(ROW, "n", "sketch", "detail")
 
-    packed = drop_rows(texts, copies, ROW).select(ROW, "text").mapInArrow(
-        lambda it: released(_prefixes(it, counters, weak, tasks, hot_above, size, percent)), PREFIXES)
-    shared = land(packed.repartition(tasks, "task").mapInArrow(lambda it: released(_shared_parts(it, few)), SHARED), "shared-parts")
-    members = shared.filter("part IS NOT NULL").select("part", F.col("a").alias(ROW))
-
-    # Pairs of parts that few rows share, and for the other parts each row with the first one.
-    first = members.groupBy("part").agg(F.min(ROW).alias("b"))
-    stars = members.select("part", F.col(ROW).alias("a")).join(first, "part").filter("a <> b").select("a", "b")
-    pairs = shared.filter("part IS NULL").select("a", "b").union(stars).distinct()
-    likely = land(_likely(pairs, nodes, percent), "likely-pairs")
     links = _Links(texts, size, percent)
-    sets = links.sets(likely)
-    # Each row with its nearest other first; then whatever is still in different components; then
-    # the pairs that the large parts hold beside their stars.
-    links.check(likely.groupBy("a").agg(F.min_by("b", "apart").alias("b")), sets)
-    links.check(likely, sets)
-    links.check(_remaining_pairs(members, nodes, links, percent, block))
+    open_ = marks = marked = None
+    rows_before = float("inf")
+    while True:
+        mine = texts.select(ROW, "text")
+        if open_ is None:
+            mine = drop_rows(mine, copies, ROW)
+        else:
+            mine = mine.join(F.broadcast(open_) if small_enough(open_) else open_, ROW, "left_semi")
+        members = _round(mine, nodes, links, _Sizes(counters, marked, weak, tasks, hot_above, size, percent, few))
+        mixed, known = _mixed(members, links, block)
+        open_ = land(known.select(ROW).distinct(), "open")
+        left = open_.join(nodes, ROW).agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
+        meetings = mixed.agg(F.coalesce(F.sum("meetings"), F.lit(0.0)).alias("n")).first()["n"]
+        # Another round costs some work for each word, the blocks some for each pair; results are the same.
+        if meetings <= meetings_per_word * left["words"] or 2 * left["rows"] > rows_before:
+            break
+        marks = _with_marks(marks, mixed.select("part"))
+        marked = spark.sparkContext.broadcast(marks)
+        rows_before, tasks = left["rows"], int(left["words"] // PARTS_PER_TASK) + 1
+    links.check(_remaining_pairs(known, nodes, percent))
 
     placed = land(links.labelled(nodes_of, "node", "label").join(rows.select(ROW, "id"), ROW).select(ROW, "id", "n", "label"), "placed")
     best = placed.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", ROW)).alias("best"))

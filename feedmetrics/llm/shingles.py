@@ -10,12 +10,14 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SHINGLE = 5
 LOWER_AZ = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 CHUNK_BYTES = 1 << 19           # texts worked on at once
 WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_MASK = (1 << 64) - 1
+LONG_WORD = 256
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -67,26 +69,14 @@ def chunks(texts: Sequence[str | None], limit: int = CHUNK_BYTES) -> Iterator[tu
 class WordHashes:
     """64-bit hashes of the words of many texts at once.
 
-    A word is a polynomial in its bytes modulo 2**64: differences of running sums over the text, moved
-    back to the word's start by the inverse power. Equal words have equal hashes; different ones differ
-    but for a chance of about 2**-60 a pair, which is taken as never.
+    A word is taken eight bytes at a time, each eight scrambled into the hash of those before. Words of up
+    to eight bytes of one length never share a hash; any others do by chance only, about 2**-64 a pair.
+    Words of more than ``LONG_WORD`` bytes are hashed one by one with XXH3.
     """
 
     def __init__(self, lower: bool = True):
         """``lower`` takes A-Z as a-z; else words keep their case."""
         self.signs = LOWER_AZ if lower else bytes(range(256))
-        rng = np.random.default_rng(5)
-        self.byte = rng.integers(1, 2**64, 256, np.uint64, endpoint=False)
-        self.base = int(rng.integers(2**62, 2**63)) * 4 + 3 & _MASK
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _reach(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, 2 * len(self.powers))
-            for name, base in (("powers", self.base), ("inverses", pow(self.base, -1, 1 << 64))):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
 
     def __call__(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The hashes of the words of all texts in order, and how many words each text has."""
@@ -95,18 +85,31 @@ class WordHashes:
 
     def read(self, texts: Sequence[str | None]) -> "Words":
         encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-        line = b" ".join(encoded).translate(self.signs) + b" "
+        line = b" ".join(encoded).translate(self.signs) + b" " * 9
         signs = np.frombuffer(line, np.uint8)
-        self._reach(len(signs) + 1)
         gap = WHITE[signs]
         starts = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
         stops = np.flatnonzero(gap & np.concatenate([[False], ~gap[:-1]]))
-        sums = np.zeros(len(signs) + 1, np.uint64)
-        np.cumsum(self.byte[signs] * self.powers[: len(signs)], out=sums[1:])
-        hashes = mix((sums[stops] - sums[starts]) * self.inverses[starts] + (stops - starts).astype(np.uint64))
         ends = np.cumsum([len(e) + 1 for e in encoded])
         counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
-        return Words(line, starts, stops, hashes, counts)
+        return Words(line, starts, stops, self._hashes(line, starts, stops - starts), counts)
+
+    @staticmethod
+    def _hashes(line: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        eights = np.ndarray(len(line) - 7, "<u8", line, strides=(1,))      # the eight bytes from every place on
+        out = mix(lengths.astype(np.uint64) + _ODD)
+        rows, at, left = np.arange(len(starts)), starts, lengths
+        long = np.flatnonzero(lengths > LONG_WORD)
+        if len(long):
+            out[long] = [xxhash.xxh3_64_intdigest(line[a: a + n]) for a, n in zip(starts[long].tolist(), lengths[long].tolist())]
+            rows = np.flatnonzero(lengths <= LONG_WORD)
+            at, left = starts[rows], lengths[rows]
+        while len(rows):
+            own = eights[at] & _FIRST_BYTES[np.minimum(left, 8)]
+            out[rows] = mix(out[rows] * _ODD + own)
+            more = left > 8
+            rows, at, left = rows[more], at[more] + 8, left[more] - 8
+        return out
 
 
 @dataclass

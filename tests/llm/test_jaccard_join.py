@@ -151,3 +151,74 @@ def test_drop_near_duplicates(spark):
 
 def test_empty_table(spark):
     assert op.near_duplicates(frame(spark, [])).collect() == []
+
+
+def passages(docs, seed=9):
+    """Different documents made of the same common passages, some of more than 1,000 shingles, some near copies."""
+    rng = random.Random(seed)
+    common = [[f"p{k}w{i}" for i in range(140)] for k in range(7)]
+    rows = []
+    for d in range(docs):
+        own = [f"d{d}w{i}" for i in range(rng.choice([0, 40, 300, 1200]))]
+        words = [w for p in rng.sample(common, rng.randint(2, 6)) for w in p] + own
+        rows.append((2 * d, " ".join(words)))
+        if rng.random() < 0.4:
+            at = rng.randrange(len(words) - 20)
+            rows.append((2 * d + 1, " ".join(words[:at] + ["changed"] * rng.choice([1, 12]) + words[at + rng.choice([0, 15]):])))
+    return rows
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"few": 2}, {"few": 2, "meetings_per_word": 0}, {"few": 4, "meetings_per_word": 0, "block": 8}, {"few": 2, "block": 3}])
+def test_common_passages(spark, options):
+    rows = passages(45)
+    assert got(op.near_duplicates(frame(spark, rows), **options)) == expected(rows)
+
+
+@pytest.mark.parametrize("options", [{"few": 2, "meetings_per_word": 0}, {"few": 2, "block": 2}])
+def test_chains_over_rounds(spark, options):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[4 * i: 4 * i + 60])) for i in range(60)]
+    assert got(op.near_duplicates(frame(spark, rows), **options)) == expected(rows)
+
+
+def test_rows_with_rare_parts_leave_after_a_round(spark, monkeypatch):
+    """What is compared in blocks does not hold documents that only share passages."""
+    seen = []
+    monkeypatch.setattr(op, "_remaining_pairs", lambda known, nodes, percent: seen.append(known.count()) or known.selectExpr(
+        "part as a", "part as b", "0D as apart").limit(0))
+    rows = [(d, " ".join([f"p{i}" for i in range(150)] + [f"d{d}w{i}" for i in range(600)])) for d in range(60)]
+    op.near_duplicates(frame(spark, rows), few=2, meetings_per_word=0).collect()
+    assert seen[-1] == 0
+
+
+def test_pairs_are_written_once(spark):
+    """Many shared parts, one row for a pair: the join that looks at pairs in blocks does not repeat them."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for d in range(40):         # about 0.6 to 0.7 alike: candidates, but not linked
+        words = list(base)
+        for i in rng.sample(range(200), 7):
+            words[i] = f"d{d}x{i}"
+        rows.append((d, " ".join(words)))
+    assert got(op.near_duplicates(frame(spark, rows), few=2)) == expected(rows)
+
+
+def test_words_that_polynomials_confuse():
+    """The Thue-Morse word and its complement: equal under polynomials modulo a power of two, whatever the base."""
+    words = shingles.WordHashes()
+    for length in (256, 512, 1024, 2048, 4096):
+        word = "a"
+        while len(word) < length:
+            word += word.translate(str.maketrans("ab", "ba"))
+        both, _ = words([f"{word} {word.translate(str.maketrans('ab', 'ba'))}"])
+        assert both[0] != both[1]
+
+
+def test_long_words_and_every_length():
+    words = shingles.WordHashes()
+    own = [b"x" * n + c for n in range(0, 600) for c in (b"a", b"b")] + [b"y" * 3_000_000 + c for c in (b"", b"z")]
+    hashes, counts = words([b" ".join(own).decode()])
+    assert counts.tolist() == [len(own)] and len(set(hashes.tolist())) == len(own)
+    assert words([own[900].decode(), " " + own[901].decode() + "\n"])[0].tolist() == hashes[900:902].tolist()
