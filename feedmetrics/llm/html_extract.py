@@ -17,15 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, block_vectors, blocks
+from .html_blocks import INPUT, TAG_BITS, WORD_BITS, Block, Buckets, Node, Vectors, block_vectors, blocks
 from .labelled import distinct_texts, hashed_sample
 from .recurrent import BiLstm
 from .shingles import chunks, released, slices
-from .store import small_batches
+from .store import opened, send, small_batches
 
 SAMPLE_PAGES = 240          # pages the network learns from, at most
 LAYOUTS = 4                 # layouts of each of them
-TRAIN_BLOCKS = 96           # blocks of a page that training uses; extraction uses all
+TRAIN_BLOCKS = 96           # blocks of a layout that training reads, from a place drawn at random; extraction reads all
 
 # Names of page parts that are not main text, and of those that hold it.
 ASIDE_TAGS = frozenset("nav header footer aside form menu button select fieldset dialog figcaption label".split())
@@ -39,12 +39,38 @@ MAIN_NAMES = frozenset("article main content post entry story body text page".sp
 
 def rule(page: list[Block]) -> list[bool]:
     """Which blocks are main text by the names around them; inside an article or main part if there is one."""
-    inside = {"article", "main"}
-    framed = any(inside.intersection(b.path) for b in page)
-    return [
-        not any(n in ASIDE_TAGS or n[0] == "." and n[1:] in ASIDE_NAMES for n in b.path)
-        and (not framed or bool(inside.intersection(b.path)))
-        for b in page]
+    def mark(node: Node, outer: tuple[bool, bool]) -> tuple[bool, bool]:
+        aside = any(n in ASIDE_TAGS or n[0] == "." and n[1:] in ASIDE_NAMES for n in node.names)
+        return outer[0] or aside, outer[1] or "article" in node.names or "main" in node.names
+
+    known: dict[Node, tuple[bool, bool]] = {}
+    marks = [b.node.inherit(known, mark, (False, False)) for b in page]
+    framed = any(inside for _, inside in marks)
+    return [not aside and (not framed or inside) for aside, inside in marks]
+
+
+class _Replaced(dict):
+    """node -> the same node with the outermost article as another container, made once per node."""
+
+    def __init__(self, container: tuple[str, ...]):
+        super().__init__()
+        self.container = container
+
+    def of(self, node: Node) -> tuple[Node, bool]:
+        """The node's likeness, and whether the container is in it."""
+        chain = []
+        while node is not None and node not in self:
+            chain.append(node)
+            node = node.around
+        made, done = self[node] if node is not None else (None, False)
+        for node in reversed(chain):
+            names = node.names
+            if not done and "article" in names:
+                at = names.index("article")
+                names, done = names[:at] + self.container + names[at + 1:], True
+            made = Node(made, names)
+            self[node] = made, done
+        return made, done
 
 
 def _relayout(page: list[Block], main: list[bool], rng: np.random.Generator, words: list[str]) -> tuple[list[Block], list[bool]]:
@@ -54,24 +80,20 @@ def _relayout(page: list[Block], main: list[bool], rng: np.random.Generator, wor
 
     container = [("article",), ("main",), ("div", "." + str(rng.choice(sorted(MAIN_NAMES)))), ("div",), ("section",), ()][
         int(rng.integers(6))]
-    out, label = [], []
+    out, label = [], list(main)
+    replaced, plain = _Replaced(container), _Replaced(("article",))
     for block, is_main in zip(page, main):
-        path = block.path
-        if is_main and "article" in path:
-            at = path.index("article")
-            path = path[:at] + container + path[at + 1:]
-        out.append(Block(block.text, path, block.linked))
-        label.append(is_main)
+        out.append(Block(block.text, (replaced if is_main else plain).of(block.node)[0], block.linked))
     names, tags = sorted(ASIDE_NAMES), sorted(ASIDE_TAGS)
     for _ in range(int(rng.integers(0, 6))):
         at = int(rng.integers(0, len(out) + 1))
-        outer = out[min(at, len(out) - 1)].path if out and rng.random() < 0.5 else ("html", "body")
+        outer = out[min(at, len(out) - 1)].node if out and rng.random() < 0.5 else Node(None, ("html", "body"))
         part = (str(rng.choice(tags)),) if rng.random() < 0.4 else (
             str(rng.choice(["div", "section", "ul", "p"])), "." + str(rng.choice(names)))
         inner = (str(rng.choice(["p", "li", "div", "span"])),)
         for _ in range(int(rng.integers(1, 4))):
             text = some_words(1, 40)
-            out.insert(at, Block(text, outer + part + inner, len(text) if rng.random() < 0.3 else 0))
+            out.insert(at, Block(text, Node(outer, part + inner), len(text) if rng.random() < 0.3 else 0))
             label.insert(at, False)
     return out, label
 
@@ -84,35 +106,34 @@ def _lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = blocks(html)
             main = rule(page)
             rng = np.random.default_rng(xxhash.xxh3_64_intdigest(html or ""))
-            vocabulary = sorted({w for b in page for w in b.text.split()})[:500]
+            vocabulary = sorted({w for b in page for w in b.text.split()})
             for k in range(LAYOUTS):
                 shown, label = (page, main) if k == 0 else _relayout(page, main, rng, vocabulary)
-                at = max(0, len(shown) - TRAIN_BLOCKS) * k // max(1, LAYOUTS - 1)
-                x = block_vectors(shown, tags, words)[at: at + TRAIN_BLOCKS]
+                at = int(rng.integers(0, max(1, len(shown) - TRAIN_BLOCKS + 1)))
+                x = block_vectors(shown, tags, words, at, at + TRAIN_BLOCKS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()]), pa.array([np.array(label[at: at + TRAIN_BLOCKS], bool).tobytes()])], names=["x", "y"])
+                    [pa.array([x.to_bytes()]), pa.array([np.array(label[at: at + TRAIN_BLOCKS], bool).tobytes()])], names=["x", "y"])
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> BiLstm:
     """A labeller learned from at most ``sample_pages`` distinct texts of ``html``, taken by their hash."""
     own = pages.select("html").filter("html IS NOT NULL")
     sample = hashed_sample(own, "html", sample_pages, distinct_texts(own, "html"))
-    lessons = sample.mapInArrow(_lessons, "x binary, y binary").collect()
-    lessons.sort(key=lambda r: (len(r["x"]), bytes(r["x"])))
+    lessons = sorted(
+        ([bytes(x) for x in r["x"]], bytes(r["y"])) for r in sample.mapInArrow(_lessons, "x array<binary>, y binary").collect())
     model = BiLstm(INPUT)
-    model.train(
-        [np.frombuffer(r["x"], np.float32).reshape(-1, INPUT) for r in lessons], [np.frombuffer(r["y"], bool) for r in lessons])
+    model.train([Vectors.from_bytes(x) for x, _ in lessons], [np.frombuffer(y, bool) for _, y in lessons])
     return model
 
 
 def _extract(batches: Iterator[pa.RecordBatch], sent, html_at: int) -> Iterator[pa.RecordBatch]:
-    tags, words = Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2)
+    tags, words, model = Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2), opened(sent)
     for batch in slices(batches):
         htmls = batch.column(html_at).to_pylist()
         kept = [i for i in range(batch.num_columns) if i != html_at]
         for a, b in chunks(htmls, 1 << 21):
             pages = [blocks(h) for h in htmls[a:b]]
-            keep = sent.value.label([block_vectors(p, tags, words) for p in pages])
+            keep = model.label([block_vectors(p, tags, words) for p in pages])
             texts = [" ".join(block.text for block, k in zip(p, ks) if k) for p, ks in zip(pages, keep)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).slice(a, b - a) for i in kept]
@@ -130,7 +151,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_c
     """
     small_batches(pages.sparkSession)
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias("html"))
-    sent = pages.sparkSession.sparkContext.broadcast(train(rows))
+    sent = send(pages.sparkSession, train(rows))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "html")
     at = len(keep)
     return rows.mapInArrow(lambda it: released(_extract(it, sent, at)), f"{out}, text string, n_chars bigint, n_blocks int")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 from .shingles import chunks, released, slices, WordHashes, WordRows
-from .store import small_batches
+from .store import opened, send, small_batches
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.5
@@ -223,11 +223,11 @@ def fit(x: np.ndarray, y: np.ndarray, part: np.ndarray, vectors: np.ndarray) ->
 
 
 def _pooled_rows(batches: Iterator[pa.RecordBatch], vectors) -> Iterator[pa.RecordBatch]:
-    ids = TermIds()
+    ids, vectors = TermIds(), opened(vectors)
     for batch in slices(batches):
         texts, label, part = (batch.column(i).to_pylist() for i in range(3))
         for a, b in chunks(texts):
-            x = pooled(texts[a:b], vectors.value, ids)
+            x = pooled(texts[a:b], vectors, ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(label[a:b], pa.int32()), pa.array(part[a:b], pa.int32()), pa.array([r.tobytes() for r in x])],
                 names=["label", "part", "x"])
@@ -236,7 +236,7 @@ def _pooled_rows(batches: Iterator[pa.RecordBatch], vectors) -> Iterator[pa.Reco
 def train(texts: DataFrame, sample: DataFrame) -> QualityModel:
     """Word vectors from all ``texts``, the network from the labelled sample ``text, label, part``."""
     vectors = word_vectors(texts)
-    sent = texts.sparkSession.sparkContext.broadcast(vectors)
+    sent = send(texts.sparkSession, vectors)
     rows = sample.select("text", "label", "part").mapInArrow(
         lambda it: released(_pooled_rows(it, sent)), "label int, part int, x binary").collect()
     rows.sort(key=lambda r: (r["part"], r["label"], bytes(r["x"])))
@@ -245,10 +245,10 @@ def train(texts: DataFrame, sample: DataFrame) -> QualityModel:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    ids = TermIds()
+    ids, model = TermIds(), opened(model)
     for batch in slices(batches):
         texts = batch.column(1).to_pylist()
-        score = [model.value.scores(texts[a:b], ids) for a, b in chunks(texts)]
+        score = [model.scores(texts[a:b], ids) for a, b in chunks(texts)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.concatenate(score) if score else [], pa.float64())], names=["id", "score"])
 
@@ -267,7 +267,7 @@ def quality(
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     sample = labelled_sample(docs, labels, label_col, FOLDS, HELD_OUT, id_col, text_col, sample_rows)
-    sent = docs.sparkSession.sparkContext.broadcast(train(rows, sample))
+    sent = send(docs.sparkSession, train(rows, sample))
     scored = rows.mapInArrow(lambda it: released(_score(it, sent)), f"id {rows.schema['id'].dataType.simpleString()}, score double")
     return scored.select(
         "id", held_out(F.col("id"), FOLDS, HELD_OUT).alias("held_out"), "score",

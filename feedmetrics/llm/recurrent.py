@@ -57,18 +57,28 @@ class BiLstm:
         return out
 
     def margins(self, x: np.ndarray, real: np.ndarray) -> np.ndarray:
-        z = np.tanh(x @ self.p["in"] + self.p["in0"])
+        return self._margins(x @ self.p["in"], real)
+
+    def _margins(self, projected: np.ndarray, real: np.ndarray) -> np.ndarray:
+        z = np.tanh(projected + self.p["in0"])
         h = np.concatenate([self._one_way(w, z, real, None) for w in "fb"], axis=2)
         return (h @ self.p["out"] + self.p["out0"])[..., 0]
 
-    def label(self, sequences: list[np.ndarray], batch: int = 256) -> list[np.ndarray]:
-        """For every sequence, which of its elements belong to the class (empty ones too)."""
+    def label(self, sequences: list, batch: int = 256, steps: int = 60_000) -> list[np.ndarray]:
+        """For every sequence, which of its elements belong to the class (empty ones too).
+
+        A sequence is rows of numbers, or has ``times(weights)`` and a length. Sequences of like length are
+        read together, at most ``steps`` steps with the padding; a longer one is read alone.
+        """
         out = [np.zeros(0, bool)] * len(sequences)
         order = sorted((i for i in range(len(sequences)) if len(sequences[i])), key=lambda i: len(sequences[i]))
-        for start in range(0, len(order), batch):
-            own = order[start: start + batch]
-            x, real = _pad([sequences[i] for i in own])
-            margin = self.margins(x, real)
+        while order:
+            own = [order.pop()]                 # the longest left
+            while order and len(own) < batch and (len(own) + 1) * len(sequences[own[0]]) <= steps:
+                own.append(order.pop())
+            weights = self.p["in"]
+            x, real = _pad([s.times(weights) if hasattr(s, "times") else s @ weights for s in (sequences[i] for i in own)])
+            margin = self._margins(x, real)
             for k, i in enumerate(own):
                 out[i] = margin[: len(sequences[i]), k] > 0
         return out
@@ -106,7 +116,7 @@ class BiLstm:
         flat = dz.reshape(-1, PROJECTED)
         return grads | {"in": x.reshape(-1, x.shape[2]).T @ flat, "in0": flat.sum(0)}
 
-    def train(self, sequences: list[np.ndarray], labels: list[np.ndarray], seed: int = 0) -> None:
+    def train(self, sequences: list, labels: list[np.ndarray], seed: int = 0) -> None:
         """Adam on the mean logistic loss per element; without sequences nothing changes."""
         order = [i for i in range(len(sequences)) if len(sequences[i])]
         rng = np.random.default_rng(seed)
@@ -117,7 +127,7 @@ class BiLstm:
             mixed = sorted(rng.permutation(order), key=lambda i: len(sequences[i]) // 8)
             batches = [mixed[a: a + BATCH] for a in range(0, len(mixed), BATCH)]
             for k in rng.permutation(len(batches)):
-                x, real = _pad([sequences[i] for i in batches[k]])
+                x, real = _pad([s.dense() if hasattr(s, "dense") else s for s in (sequences[i] for i in batches[k])])
                 y, _ = _pad([labels[i].astype(np.float32) for i in batches[k]])
                 step += 1
                 for name, g in self._gradients(x, real, y).items():

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_ROWS_CONF, str(ARROW_ROWS))
 
 
+def send(spark: SparkSession, value: object) -> Broadcast:
+    """``value`` broadcast so that executors can open it without a copy of this package: its classes travel with it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(sent: Broadcast) -> object:
+    """What ``send`` was given; worked out once per task."""
+    return pickle.loads(sent.value)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new place below ``spark.checkpoint.dir``."""
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .boosting import Boosted, boost, calibrated, isotonic
 from .labelled import SAMPLE_ROWS, held_out, labelled_sample
 from .shingles import chunks, released, slices, WordHashes, WordRows
-from .store import small_batches
+from .store import opened, send, small_batches
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
@@ -190,7 +190,7 @@ def train(sample: DataFrame) -> ToxicityModel:
 
     With too few cases for that the curve uses all of them. An empty sample gives a constant of one half.
     """
-    lexicon = learn_lexicon(sample)
+    lexicon = learn_lexicon(sample.filter("part > 0"))      # the curve sees scores of texts that taught nothing
     rows = sample.select("text", "label", "part").mapInArrow(
         lambda it: released(_feature_rows(it, lexicon)), "label int, part int, x array<double>").collect()
     rows.sort(key=lambda r: (r["part"], r["label"], r["x"]))
@@ -205,16 +205,17 @@ def train(sample: DataFrame) -> ToxicityModel:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    words = Lexicon(model.value.lexicon)
+    model = opened(model)
+    words = Lexicon(model.lexicon)
     for batch in slices(batches):
         texts = batch.column(batch.num_columns - 1).to_pylist()
-        score = np.concatenate([model.value.scores(texts[a:b], words) for a, b in chunks(texts)]) if texts else np.zeros(0)
+        score = np.concatenate([model.scores(texts[a:b], words) for a, b in chunks(texts)]) if texts else np.zeros(0)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], names=["id", "score"])
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` per row of ``docs``; null and empty texts are scored as texts without words."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(lambda it: released(_score(it, sent)), f"id {rows.schema['id'].dataType.simpleString()}, score double")
 
@@ -240,15 +241,16 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """``docs`` without those predicted toxic, all columns as they were."""
     small_batches(docs.sparkSession)
     model = train(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, id_col, text_col))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession, model)
     place = docs.columns.index(text_col)
     return docs.mapInArrow(lambda it: released(_clean(it, sent, place)), docs.schema)
 
 
 def _clean(batches: Iterator[pa.RecordBatch], model, place: int) -> Iterator[pa.RecordBatch]:
-    words = Lexicon(model.value.lexicon)
+    model = opened(model)
+    words = Lexicon(model.lexicon)
     for batch in slices(batches):
         texts = batch.column(place).to_pylist()
         for a, b in chunks(texts):
-            keep = model.value.scores(texts[a:b], words) < THRESHOLD
+            keep = model.scores(texts[a:b], words) < THRESHOLD
             yield batch.slice(a, b - a).filter(pa.array(keep))

@@ -1,13 +1,15 @@
 """Blocks of pages, and the extracted text against what the pages were made from."""
 
 import re
+import time
 from html import escape, unescape
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from feedmetrics.llm import html_extract as op
-from feedmetrics.llm.html_blocks import blocks
+from feedmetrics.llm.html_blocks import TAG_BITS, WORD_BITS, Buckets, Vectors, block_vectors, blocks
 from feedmetrics.llm.recurrent import BiLstm, _pad
 
 PAGES = "/root/testdata/sf0.01/pages.parquet"
@@ -56,6 +58,52 @@ def test_quotes_inside_tags():
     assert block.path == ("p", ".it", ".s", ".x", ".y")
 
 
+HOSTILE = {
+    "names": "<a" * 500_000, "one tag": "<" + "a" * 1_000_000, "marks": "<!" * 500_000, "signs": "<" * 1_000_000,
+    "nested": "<div>" * 100_000 + "x" + "</div>" * 100_000, "nested text": "<div>x" * 100_000, "never closed": "<b>" * 100_000 + "<p>x" * 50_000,
+    "hidden ends": "<a " * 300_000 + '="' + ">" + '"', "raw": "<script>" + "</script " * 100_000, "svg": "<svg>" + "</svg " * 100_000,
+    "quotes": '<a b="' * 200_000, "other quotes": "<a b='\">" * 100_000, "equals": "<a =" * 200_000 + ">", "comments": "<!--" * 200_000,
+    "white": ("<p =" + " " * 1000) * 1000, "cells": "<table><tr><td>x" * 30_000, "ends": "<b>" * 50_000 + "</i>" * 100_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_time_and_memory_grow_with_the_length(name):
+    page, started = HOSTILE[name], time.monotonic()
+    found = blocks(page)
+    assert time.monotonic() - started < 15
+    vectors = block_vectors(found, Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2))
+    assert len(vectors) == len(found) and time.monotonic() - started < 40
+    assert len(op.rule(blocks(page))) == len(found)
+
+
+def test_hostile_pages_do_not_stop_a_job(spark):
+    given = spark.read.parquet(PAGES).select("page_id", "url", "html").limit(40)
+    extra = spark.createDataFrame([(10_000 + i, "u", h) for i, h in enumerate(HOSTILE.values())], given.schema)
+    rows = op.extract(given.unionByName(extra)).collect()
+    assert len(rows) == given.count() + len(HOSTILE)
+
+
+def test_quotes_that_hide_every_end_count_no_more():
+    assert texts('<p>one</p><a x="<p>two</p>"') == ["one", 'two"']
+    assert texts('<p title="a>b">one</p>two') == ["one", "two"]
+
+
+def test_vectors_are_what_their_dense_form_says():
+    page = blocks("<div class='a b'><p>one two two</p><ul><li>three<a href=x>four</a></ul></div>five six. <p>" + "w " * 300)
+    vectors = block_vectors(page, Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2))
+    dense = vectors.dense()
+    weights = np.random.default_rng(0).normal(size=(dense.shape[1], 5)).astype(np.float32)
+    for held in (1, 3, 1000):
+        assert np.allclose(vectors.times(weights, held), dense @ weights, atol=1e-4)
+    assert (vectors.part(1, 3).dense() == dense[1:3]).all()
+    assert (block_vectors(page, Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2), 1, 3).dense() == dense[1:3]).all()
+    assert (Vectors.from_bytes(vectors.to_bytes()).dense() == dense).all()
+    for row, block in zip(dense, page):
+        assert set(np.flatnonzero(row[:TAG_BITS])) == {Buckets(TAG_BITS, 1)[n] for n in block.path}
+    assert len(block_vectors([], Buckets(TAG_BITS, 1), Buckets(WORD_BITS, 2))) == 0
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     model = BiLstm(5)
