@@ -12,7 +12,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,6 @@ HIDDEN, EPOCHS, RATE = 32, 40, 3e-3
 _CORE = re.compile(r"[^\W_]+")
 
 
-@lru_cache(maxsize=50_000)
 def _form(case: str, marks: str) -> int:
     return WORD_TERMS + 1 + xxhash.xxh3_64_intdigest(case + marks) % (FORM_TERMS - 1)
 
@@ -48,7 +46,7 @@ def describe(word: str) -> tuple[int, int]:
     core, marks = word, ""
     if not word.isalpha():
         core = "".join(_CORE.findall(word))
-        marks = _CORE.sub("", word)[:8]
+        marks = _CORE.sub("", word)
     lower = core.lower()
     if lower == core:
         case = "l" if core else "-"
