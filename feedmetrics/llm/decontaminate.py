@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import land, numbered, small_enough, without
+from .store import BROADCAST_ROWS, land, numbered, small_enough, without
 
 WINDOW = 10
 WORD_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # fixed by the contract, after lower-casing A-Z
@@ -49,25 +49,37 @@ def _rarity(docs: DataFrame, windows: DataFrame, text_col: str) -> DataFrame:
     return seen.join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
 
 
+def _owned(windows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``owner, window`` per distinct window, and ``owner, items`` per distinct list of items that share windows, landed.
+
+    However many items hold a passage, it is looked for once, and a document that holds it names one owner.
+    A null item id is in no list.
+    """
+    lists = land(windows.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")), "window-items")
+    owners = land(lists.select("items").distinct().withColumn("owner", F.monotonically_increasing_id()), "window-owners")
+    return land(lists.join(owners, "items").select("owner", "window"), "owned-windows"), owners
+
+
 def prefix_table(windows: DataFrame, rarity: DataFrame) -> DataFrame:
-    """``prefix, lead, item, window``: the rarest word of each window and its place there.
+    """``prefix, lead, owner, window``: the rarest word of each window and its place there.
 
     Words that occur nowhere are rarest; ties go to the first in the window.
     """
-    places = windows.select("item", "window", F.posexplode("window").alias("lead", "word"))
-    ranked = places.join(rarity, "word", "left").groupBy("item", "window").agg(
+    rarity = F.broadcast(rarity) if small_enough(rarity) else rarity
+    places = windows.select("owner", "window", F.posexplode("window").alias("lead", "word"))
+    ranked = places.join(rarity, "word", "left").groupBy("owner", "window").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "lead", "word")).alias("rarest"))
-    return ranked.select(F.col("rarest.word").alias("prefix"), F.col("rarest.lead").alias("lead"), "item", "window")
+    return ranked.select(F.col("rarest.word").alias("prefix"), F.col("rarest.lead").alias("lead"), "owner", "window")
 
 
 def _matches(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """``__row, id, n_words, start, stop, item`` per window found, and one row without item per document.
+    """``__row, id, n_words, span, owner`` per window found, and one row without owner per document.
 
     The documents' own rows come through the same join, by a closing empty word that the prefix
     table holds too: texts are read and split once.
     """
     closing = prefixes.sparkSession.range(1).select(
-        F.lit("").alias("prefix"), F.lit(0).alias("lead"), F.lit(None).cast(prefixes.schema["item"].dataType).alias("item"),
+        F.lit("").alias("prefix"), F.lit(0).alias("lead"), F.lit(None).cast("bigint").alias("owner"),
         F.lit(None).cast("array<string>").alias("window"))
     table = F.broadcast(prefixes.unionByName(closing))
     places = rows.select(ROW, "id", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("place", "word"))
@@ -80,7 +92,7 @@ def _matches(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
     return places.join(table, (F.col("word") == F.col("prefix")) & there).select(
         ROW, "id", F.size("w").alias("n_words"),
         F.when(F.col("window").isNotNull(), F.struct(start.alias("start"), (start + F.size("window")).alias("stop"))).alias("span"),
-        "item")
+        "owner")
 
 
 def find_items(
@@ -101,10 +113,11 @@ def find_items(
     nothing; items that repeat text all count. A null item id is found like any other, but not listed.
     Rows that repeat an id stay apart (``__row``). Other columns are not read.
 
-    Windows are broadcast in blocks of at most ``windows_per_block``, however long the benchmark.
+    Windows are broadcast in blocks of at most ``windows_per_block``, however long the benchmark. Long texts
+    are searched whole, with a row for each place that a window is found at.
     """
-    windows = land(item_windows(benchmark, item_col, item_text_col, window), "item-windows")
-    prefixes = land(prefix_table(windows, _rarity(docs, windows, text_col)), "item-prefixes")
+    windows, owners = _owned(item_windows(benchmark, item_col, item_text_col, window))
+    prefixes = land(prefix_table(windows, land(_rarity(docs, windows, text_col), "item-rarity")), "item-prefixes")
     number = F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()
     rows = docs.select(number.alias(ROW), F.col(f"`{id_col}`").alias("id"), words(F.col(f"`{text_col}`")).alias("w"))
     blocks = max(1, -(-prefixes.count() // windows_per_block))
@@ -113,9 +126,15 @@ def find_items(
     block = F.pmod(F.xxhash64("window"), F.lit(blocks))
     found = reduce(DataFrame.unionByName, [
         _matches(rows, prefixes.filter(block == b) if blocks > 1 else prefixes) for b in range(blocks)])
-    return found.groupBy(ROW).agg(
+    per_row = found.groupBy(ROW).agg(
         F.first("id").alias("id"), F.max("n_words").alias("n_words"),
-        F.sort_array(F.collect_set("span")).alias("spans"), F.collect_set("item").alias("items"))
+        F.sort_array(F.collect_set("span")).alias("spans"), F.collect_set("owner").alias("owners"))
+    named = owners.agg(F.coalesce(F.sum(F.size("items")), F.lit(0)).alias("n")).first()["n"]
+    owners = F.broadcast(owners) if named <= BROADCAST_ROWS else owners
+    listed = per_row.select(ROW, "id", "n_words", "spans", F.explode_outer("owners").alias("owner")).join(owners, "owner", "left")
+    return listed.groupBy(ROW).agg(
+        F.first("id").alias("id"), F.max("n_words").alias("n_words"), F.first("spans").alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
 def covered(spans: Column) -> Column:
@@ -141,7 +160,11 @@ def report(found: DataFrame) -> DataFrame:
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
 ) -> DataFrame:
-    """``docs`` without the documents that hold a window of an item, all columns as they were."""
+    """``docs`` without the documents that hold a window of an item, all columns as they were.
+
+    Null and empty texts hold none and stay; repeated rows and rows that repeat an id are judged one by one.
+    An empty benchmark removes nothing, an empty table gives an empty result.
+    """
     rows, row = numbered(docs, "decontamination-docs")
     found = find_items(rows, benchmark, id_col, text_col, window=window, row_col=row)
     gone = land(found.filter(F.size("spans") > 0).select(ROW), "contaminated")

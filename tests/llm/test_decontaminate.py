@@ -77,3 +77,19 @@ def test_drop_contaminated(spark):
     assert out.dtypes == table.dtypes
     clean = sorted((d for d, _, _, _, _, bad in expected(docs, items) if not bad), key=str)
     assert sorted((r["doc_id"] for r in out.collect()), key=str) == clean
+
+
+def test_items_that_share_a_passage_make_one_row_for_each_place(spark):
+    """500 items of one template, and a document that repeats it: places, not places times items."""
+    template = " ".join(f"t{i}" for i in range(30))
+    items = [(i, template) for i in range(500)] + [(1000, template + " and its own end of ten words beside it here")]
+    docs = [(1, " ".join([template] * 40)), (2, "clean"), (3, template + " and its own end of ten words beside it here")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    windows, owners = op._owned(op.item_windows(frame))
+    assert windows.count() == 21 + 10 and owners.count() == 2
+    rows = op._matches(
+        spark.createDataFrame(docs, "id long, text string").select(F.col("id").alias(op.ROW), "id", op.words(F.col("text")).alias("w")),
+        op.prefix_table(windows, op._rarity(spark.createDataFrame(docs, "id long, text string"), windows, "text")))
+    assert rows.filter("id = 1 AND owner IS NOT NULL").count() == 40 * 21
+    got = sorted((tuple(r) for r in op.report(op.find_items(spark.createDataFrame(docs, "doc_id long, text string"), frame)).collect()), key=str)
+    assert got == expected(docs, items)
