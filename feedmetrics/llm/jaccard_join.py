@@ -45,7 +45,7 @@ FEW = 16                        # rows that share a part and are paired at once
 BLOCK = 4096                    # members of a part compared with one another by one key
 MARK_BITS = 20, 28              # bits, as powers of two, that mark common parts: at least and at most (32 MB)
 MARKS_PER_ROW = 17              # of them, as a power of two, in one row
-MEETINGS_PER_WORD = 30          # pairs in blocks that cost as much as another round does for each word
+MEETINGS_PER_WORD = 300         # pairs in blocks that cost as much as another round does for each word
 EARLIER = 16                    # lesser parts by which a pair knows that it is met elsewhere
 
 
