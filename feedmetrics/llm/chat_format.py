@@ -118,12 +118,19 @@ def events_of_turns(conversations: DataFrame) -> DataFrame:
 
 
 def format_chats(events: DataFrame) -> DataFrame:
-    """Event log to ``conv_id, formatted, turns``; empty logs give an empty table."""
+    """Event log to ``conv_id, formatted, turns``: folded, rendered and read back.
+
+    Nulls, ties and repeated events are treated as in ``fold``. Long texts stay whole: a conversation is one
+    row. An empty log gives an empty table; other columns are not read.
+    """
     return read_back(render(fold(events)))
 
 
 def digests(chats: DataFrame) -> DataFrame:
-    """What the turns read back say, and the text under the loss mask (assistant texts in order)."""
+    """What the turns read back say, and the text under the loss mask (assistant texts in order).
+
+    A row per conversation, a null id too; one without assistant turns has the digest of the empty text.
+    """
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     answers = F.filter("turns", lambda t: t["role"] == ASSISTANT)
     loss = F.array_join(F.transform(answers, lambda t: t["text"]), "")

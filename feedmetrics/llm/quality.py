@@ -259,8 +259,9 @@ def quality(
 
     Returns ``id, held_out, score, predicted`` per row, repeated rows too. Null and empty texts are
     texts without words and get the network's score for those. A null id is scored, not held out and
-    never learned from. Without labels of both classes the score is a constant of their share. Other
-    columns are not read.
+    never learned from. Without labels of both classes the score is a constant of their share. Long texts
+    are read whole, one at a time. Equal texts get equal scores. An empty table gives an empty result.
+    Other columns are not read.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))

@@ -228,7 +228,8 @@ def toxicity(
 
     Returns ``id, held_out, score, predicted`` per row, repeated rows too. A null id is scored, not
     held out and never learned from. Without labels of both classes the score is a constant of their
-    share. Other columns are not read.
+    share. Null and empty texts are texts without words. Long texts are read whole, one at a time; equal
+    texts get equal scores. An empty table gives an empty result. Other columns are not read.
     """
     small_batches(docs.sparkSession)
     model = train(labelled_sample(docs, labels, label_col, FOLDS, HELD_OUT, id_col, text_col, sample_rows))
@@ -238,7 +239,11 @@ def toxicity(
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those predicted toxic, all columns as they were."""
+    """``docs`` without those predicted toxic, all columns as they were.
+
+    Rows are judged by their texts alone, repeated rows and null ids too; null and empty texts are texts
+    without words. An empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
     model = train(labelled_sample(docs, labels, "toxic", FOLDS, HELD_OUT, id_col, text_col))
     sent = send(docs.sparkSession, model)

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from test_decontaminate import expected as hits
 from test_exact_dedup import clean
@@ -50,3 +52,39 @@ def test_run(spark):
         used[r["sequence_id"]] += r["length"]
     assert rows and max(used.values()) <= 2048
     assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
+
+
+EDGE = [
+    (1, None), (2, ""), (3, " \n "), (3, " \n "), (None, "no id here at all but some words"), (4, "no id here at all but some words"),
+    (5, "a b"), (5, "a b"), (6, "word " * 30_000), (7, "Ünïcode \U0001d11e words <|endoftext|> and more of them"), (8, "x"),
+]
+
+
+def edge_table(spark, rows):
+    """Rows with nulls, repeats and a long text, in a table whose other columns have names that stages use inside."""
+    names = ("__row", "id", "label", "kept", "keep_id", "score", "part", "n", "digest", "spans", "length")
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in names}).withColumn("source", F.lit(None).cast("string"))
+
+
+def test_stages_on_edge_rows(spark):
+    docs = edge_table(spark, EDGE)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.land(stage(spark, docs, SF), "edge-stage")
+        assert out.dtypes == docs.dtypes, name
+        rows = out.collect()
+        assert all(r[c] == c for r in rows for c in ("__row", "label", "kept", "score")), name
+        texts = sorted((r["text"] or "") for r in rows)
+        if name == "exact dedup":
+            assert len(texts) == len({clean(t) for _, t in EDGE})
+        elif name == "n-gram Jaccard join":
+            assert len(texts) == 4 + len({t for _, t in EDGE if (t or "").split()})
+        else:
+            assert texts == sorted((t or "") for _, t in EDGE), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sum(r["piece"] == 0 for r in packed) == len(EDGE)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = edge_table(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).collect() == [], name
