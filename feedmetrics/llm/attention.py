@@ -49,11 +49,6 @@ def windows(ids: np.ndarray, sizes: np.ndarray, end: int, pad: int) -> tuple[np.
     return read, predict, used
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(-1, keepdims=True))
-    return z / z.sum(-1, keepdims=True)
-
-
 def _causal() -> np.ndarray:
     """Distance from each scored place to the places it may read, or WINDOW where it may not."""
     query, key = np.arange(CONTEXT, WINDOW)[:, None], np.arange(WINDOW)[None, :]
@@ -79,18 +74,6 @@ def initial(vocabulary: int, classes: np.ndarray, seed: int = 0) -> Attention:
     return Attention({k: v.astype(np.float32) for k, v in p.items()}, classes, np.zeros(vocabulary + 1, np.float32), vocabulary)
 
 
-def _forward(model: Attention, read: np.ndarray) -> dict[str, np.ndarray]:
-    p = model.p
-    x = p["e"][read]
-    q, k, v = x[:, CONTEXT:] @ p["q"], x @ p["k"], x @ p["v"]
-    far = _causal()
-    bias = np.where(far < WINDOW, p["near"][np.minimum(far, WINDOW - 1)], -1e9)
-    scores = q @ k.transpose(0, 2, 1) / KEY**0.5 + bias + np.where(read == model.pad, -1e9, 0)[:, None, :]
-    a = _softmax(scores)
-    h = np.concatenate([a @ v, x[:, CONTEXT:]], axis=2)
-    return {"x": x, "q": q, "k": k, "v": v, "a": a, "h": h, "out": h @ p["o"] + p["b"]}
-
-
 class Training:
     """Adam on the loss of the next id's class, changing a model's parameters in place."""
 
@@ -100,39 +83,68 @@ class Training:
         self.uses = np.zeros(len(model.p["e"]), np.int64)
 
     def step(self, ids: np.ndarray, aim: np.ndarray, rate: float) -> None:
-        model, p = self.model, self.model.p
-        f = _forward(model, ids)
-        real = aim != model.pad
-        d = _softmax(f["out"])
-        np.put_along_axis(
-            d, model.classes[aim][..., None], np.take_along_axis(d, model.classes[aim][..., None], 2) - 1, 2)
-        d *= (real / max(real.sum(), 1))[..., None]
-        flat = d.reshape(-1, CLASSES)
-        grads = {"o": f["h"].reshape(-1, 2 * WIDTH).T @ flat, "b": flat.sum(0)}
+        model, p, n = self.model, self.model.p, len(ids)
+        line = ids.ravel()
+        x = p["e"].take(line, axis=0)
+        own = x.reshape(n, WINDOW, WIDTH)[:, CONTEXT:].reshape(-1, WIDTH)
+        asks = p["q"] / np.float32(KEY**0.5)
+        q = (own @ asks).reshape(n, SCORED, KEY)
+        k, v = (x @ p["k"]).reshape(n, WINDOW, KEY), (x @ p["v"]).reshape(n, WINDOW, WIDTH)
+        a = q @ k.transpose(0, 2, 1)
+        a += np.where(self.far < WINDOW, p["near"][np.minimum(self.far, WINDOW - 1)], np.float32(-1e4))
+        if model.pad in line:
+            a += np.where(ids == model.pad, np.float32(-1e4), np.float32(0))[:, None, :]
+        a = _exp(a)
+        a /= a.sum(-1, keepdims=True)
+        h = np.empty((len(own), 2 * WIDTH), np.float32)
+        h[:, :WIDTH] = (a @ v).reshape(-1, WIDTH)
+        h[:, WIDTH:] = own
+        d = h @ p["o"]
+        d += p["b"]
+        d = _exp(d)
+
+        aims = aim.ravel()
+        weight = (aims != model.pad).astype(np.float32)
+        predicted = int(weight.sum())
+        weight /= max(predicted, 1)
+        d *= (weight / np.maximum(d @ np.ones(CLASSES, np.float32), np.float32(1e-30)))[:, None]
+        d[np.arange(len(d)), model.classes[aims]] -= weight
+        grads = {"o": (d.T @ h).T, "b": np.ones(len(d), np.float32) @ d}
         dh = d @ p["o"].T
-        da_v = dh[..., :WIDTH]
-        dv = f["a"].transpose(0, 2, 1) @ da_v
-        da = da_v @ f["v"].transpose(0, 2, 1)
-        ds = f["a"] * (da - (da * f["a"]).sum(-1, keepdims=True))
+        da_v = np.ascontiguousarray(dh[:, :WIDTH])
+        ds = da_v.reshape(n, SCORED, WIDTH) @ v.transpose(0, 2, 1)
+        ds -= np.einsum("ij,ij->i", da_v, h[:, :WIDTH]).reshape(n, SCORED, 1)
+        ds *= a
+        dv = (a.transpose(0, 2, 1) @ da_v.reshape(n, SCORED, WIDTH)).reshape(-1, WIDTH)
+        dk = (ds.transpose(0, 2, 1) @ q).reshape(-1, KEY)
+        dq = (ds @ k).reshape(-1, KEY)
         grads["near"] = np.bincount(self.far.ravel(), ds.sum(0).ravel(), WINDOW + 1)[:WINDOW]
-        dq, dk = ds @ f["k"] / KEY**0.5, ds.transpose(0, 2, 1) @ f["q"] / KEY**0.5
-        x = f["x"].reshape(-1, WIDTH)
-        grads["q"] = f["x"][:, CONTEXT:].reshape(-1, WIDTH).T @ dq.reshape(-1, KEY)
-        grads["k"], grads["v"] = x.T @ dk.reshape(-1, KEY), x.T @ dv.reshape(-1, WIDTH)
-        dx = dk @ p["k"].T + dv @ p["v"].T
-        dx[:, CONTEXT:] += dq @ p["q"].T + dh[..., WIDTH:]
-        order = np.argsort(ids, axis=None, kind="stable")
-        used, first, n = np.unique(ids.ravel()[order], return_index=True, return_counts=True)
-        de = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+        grads["q"] = own.T @ dq / np.float32(KEY**0.5)
+        grads["k"], grads["v"] = x.T @ dk, x.T @ dv
+        dx = dk @ p["k"].T
+        dx += dv @ p["v"].T
+        dx.reshape(n, WINDOW, WIDTH)[:, CONTEXT:] += (dq @ asks.T + dh[:, WIDTH:]).reshape(n, SCORED, WIDTH)
+        # Numbers of two bytes are sorted by radix.
+        order = np.argsort(line.astype(np.uint16) if model.pad < 1 << 16 else line, kind="stable")
+        sorted_ids = line[order]
+        first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
+        used, de = sorted_ids[first], np.add.reduceat(dx.take(order, axis=0), first, axis=0)
         self.steps += 1
-        self.predicted += int(real.sum())
-        self.uses[used] += n
+        self.predicted += predicted
+        self.uses[used] += np.diff(first, append=len(line))
         rate = rate * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
         for name, g in grads.items():
             _adam(p[name], g.astype(np.float32), self.first[name], self.second[name], rate)
-        e, m, v = p["e"][used], self.first["e"][used], self.second["e"][used]
-        _adam(e, de, m, v, rate)
-        p["e"][used], self.first["e"][used], self.second["e"][used] = e, m, v
+        e, m, s = (t.take(used, axis=0) for t in (p["e"], self.first["e"], self.second["e"]))
+        _adam(e, de, m, s, rate)
+        p["e"][used], self.first["e"][used], self.second["e"][used] = e, m, s
+
+
+def _exp(z: np.ndarray) -> np.ndarray:
+    """e to the power of ``z``, in place; a bound keeps sums finite."""
+    if z.size and z.max() > 60:
+        np.minimum(z, 60, out=z)
+    return np.exp(z, out=z)
 
 
 def batches(read: np.ndarray, predict: np.ndarray, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -186,11 +198,12 @@ class Scorer:
         one = np.ones((len(e), 1), np.float32)
         blocked = np.zeros((len(e), 1), np.float32)
         blocked[self.pad] = -1e4
-        self.query = np.concatenate([e @ p["q"] / np.float32(KEY**0.5), one, e], axis=1).astype(np.float32)
-        self.read = np.concatenate([e @ p["k"], blocked, e @ p["v"], one], axis=1).astype(np.float32)
+        self.query = np.concatenate([e @ p["q"] / np.float32(KEY**0.5), one], axis=1).astype(np.float32)
+        self.key = np.concatenate([e @ p["k"], blocked], axis=1).astype(np.float32)
+        self.value = np.concatenate([e @ p["v"], one], axis=1).astype(np.float32)
         far = _causal()
         self.bias = np.where(far < WINDOW, p["near"][np.minimum(far, WINDOW - 1)], -1e4).astype(np.float32)
-        self.out, self.b = p["o"], p["b"]
+        self.out = np.concatenate([p["o"], p["b"][None, :]])      # what is read has a 1 at its end
         self.sums = np.zeros((CLASSES, 2), np.float32)
         self.sums[:, 0] = 1
         self.sums[: 1 + WORD_CLASSES, 1] = 1
@@ -198,26 +211,27 @@ class Scorer:
     def __call__(self, read: np.ndarray, predict: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the chance of each predicted id, and of the chance that no word goes on there."""
         own, total = np.empty(predict.size, np.float32), np.empty((predict.size, 2), np.float32)
+        e, classes = self.model.p["e"], self.model.classes
+        h = np.ones((BATCH * SCORED, 2 * WIDTH + 1), np.float32)
         for start in range(0, len(read), BATCH):
             ids, aim = read[start: start + BATCH], predict[start: start + BATCH].ravel()
-            q, kv = self.query[ids[:, CONTEXT:]], self.read[ids]
-            scores = q[:, :, : KEY + 1] @ kv[:, :, : KEY + 1].transpose(0, 2, 1)
+            asked = ids[:, CONTEXT:].ravel()
+            n, part = len(ids), h[: len(asked)]
+            query = self.query.take(asked, axis=0).reshape(n, SCORED, -1)
+            line = ids.ravel()
+            scores = query @ self.key.take(line, axis=0).reshape(n, WINDOW, -1).transpose(0, 2, 1)
             scores += self.bias
-            np.minimum(scores, 60, out=scores)
-            np.exp(scores, out=scores)
-            h = scores @ kv[:, :, KEY + 1:]
-            h[:, :, :WIDTH] /= h[:, :, WIDTH:]
-            z = h[:, :, :WIDTH].reshape(-1, WIDTH) @ self.out[:WIDTH]
-            z += q[:, :, KEY + 1:].reshape(-1, WIDTH) @ self.out[WIDTH:]
-            z += self.b
-            np.minimum(z, 60, out=z)
-            np.exp(z, out=z)
+            heard = (_exp(scores) @ self.value.take(line, axis=0).reshape(n, WINDOW, -1)).reshape(len(asked), -1)
+            np.divide(heard[:, :WIDTH], heard[:, WIDTH:], out=part[:, :WIDTH])
+            part[:, WIDTH: 2 * WIDTH] = e.take(asked, axis=0)
+            z = _exp(part @ self.out)
             rows = slice(start * SCORED, start * SCORED + len(aim))
-            own[rows] = z[np.arange(len(z)), self.model.classes[aim]]
+            own[rows] = z[np.arange(len(z)), classes[aim]]
             total[rows] = z @ self.sums
         with np.errstate(divide="ignore"):
-            chance = np.log10(own / total[:, 0]) + self.model.inside[predict.ravel()]
-            border = np.log10(total[:, 1] / total[:, 0])
+            whole = np.log10(total[:, 0])
+            chance = np.log10(own) - whole + self.model.inside[predict.ravel()]
+            border = np.log10(total[:, 1]) - whole
         return np.maximum(chance, -300).reshape(predict.shape), np.maximum(border, -30).reshape(predict.shape)
 
 

@@ -2,26 +2,28 @@
 
 Words, subwords and the subwords beside them are counted over all training documents. A causal
 self-attention model over subword ids gives every word its chance in context. It is trained in numpy on
-a fixed share of the training documents, each whole: shards of them take steps from common parameters,
-whose changes are averaged. The score mixes the chance with the word's share of the corpus, by weights
-fitted on documents of that share that the model was not trained on. A word that no training document
-holds has the chance of its spelling, and beside it the base score's: one count of the corpus.
+all training documents, in rounds: workers take steps from common parameters, whose changes are averaged.
+The score mixes the chance with the word's share of the corpus, by weights fitted on the tokens of all
+training documents, each less its own count. A word that no training document holds has the chance of its
+spelling, and beside it the base score's: one count of the corpus.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import attention
-from .labelled import distinct_texts, fold
-from .shingles import CHUNK_BYTES, chunks, released, slices, WordHashes, Words
+from .labelled import fold
+from .shingles import chunks, released, slices, WordHashes, Words
 from .store import land, opened, send, small_batches
 from .tokens import WordTokens
 
@@ -30,10 +32,8 @@ END = b"\n"                     # stands for the end of a text among the words;
 COMMON_WORDS = 300_000          # words whose counts every worker holds, at most
 COUNTED_WORDS = 400_000         # words a task counts before it passes them on
 CELL_BYTES = 6                  # an end and a cell's number
-TRAINED_SHARE = 64              # one of so many training documents trains the model
-SAMPLE_DOCS = 800               # or so many of them, where that is more
-SHARD_DOCS = 800                # documents that take steps from common parameters one after another, about
-CHECKED = 5                     # one of so many of those documents is kept for the mixture weights
+SAMPLE_DOCS = 800               # texts a round of training takes at least, or all there are
+SHARD_DOCS = 800                # texts that take steps from common parameters one after another, at least
 BINS, BIN = 2001, 0.01          # of log10 ratios of chance and share
 ROW = "__row"
 
@@ -113,62 +113,52 @@ def word_counts(texts: DataFrame, tokenizer: Callable[[], str], size: int) -> tu
     return both.filter(~cell), both.filter(cell).select(F.conv(F.hex(F.substring("word", 2, CELL_BYTES)), 16, 10).cast("bigint").alias("cell"), "n")
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str]]]:
-    """Texts of one shard, as they come, in lists of about ``CHUNK_BYTES`` characters."""
-    shard, texts, held = None, [], 0
-    for batch in slices(batches):
-        for own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if texts and (own != shard or held + len(text) > CHUNK_BYTES):
-                yield shard, texts
-                texts, held = [], 0
-            shard = own
-            texts.append(text)
-            held += len(text)
-    if texts:
-        yield shard, texts
-
-
 TRAINED = "row bigint, weight double, " + ", ".join(f"x{i} double" for i in range(attention.WIDTH))
 
 
 def _steps(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], epoch: int, expected: float) -> Iterator[pa.RecordBatch]:
-    """Per shard the changes of the parameters by one pass over it, times the weight they have."""
+    """The changes of the parameters by one pass over a task's texts, times the weight they have."""
     common: attention.Attention = opened(sent)
     tokens, end = WordTokens(path(), " ", True), common.pad - 1
-    before, current, run = attention.to_rows(common.p), None, None
-
-    def changes() -> pa.RecordBatch:
+    run = attention.Training(replace(common, p={k: v.copy() for k, v in common.p.items()}))
+    done, rng = 0, np.random.default_rng([epoch, TaskContext.get().partitionId()])
+    for batch in slices(batches):
+        texts = batch.column(0).to_pylist()
+        for a, b in chunks(texts):
+            read, predict, _ = attention.windows(*_text_ids(tokens, tokens.read(texts[a:b])), end, common.pad)
+            part = -(-len(read) // attention.BATCH)
+            for i, (ids, aim) in enumerate(attention.batches(read, predict, rng)):
+                passed = min(1.0, (done + (b - a) * i / part) / expected)
+                run.step(ids, aim, attention.RATE * max(0.01, 1 - (epoch + passed) / attention.EPOCHS))
+            done += b - a
+    if done:
+        before = attention.to_rows(common.p)
         weight = np.full(len(before), run.predicted, np.float64)
         weight[: len(run.uses)] = run.uses
         rows = np.flatnonzero(weight)
         moved = (attention.to_rows(run.model.p)[rows] - before[rows]) * weight[rows, None]
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array(rows), pa.array(weight[rows]), *(pa.array(moved[:, i]) for i in range(attention.WIDTH))],
             names=[c.split()[0] for c in TRAINED.split(", ")])
 
-    for shard, texts in _by_shard(batches):
-        if shard != current:
-            if run:
-                yield changes()
-            current, done, rng = shard, 0, np.random.default_rng([epoch, shard])
-            run = attention.Training(replace(common, p={k: v.copy() for k, v in common.p.items()}))
-        read, predict, _ = attention.windows(*_text_ids(tokens, tokens.read(texts)), end, common.pad)
-        part = -(-len(read) // attention.BATCH)
-        for i, (ids, aim) in enumerate(attention.batches(read, predict, rng)):
-            passed = min(1.0, (done + len(texts) * i / part) / expected)
-            run.step(ids, aim, attention.RATE * max(0.01, 1 - (epoch + passed) / attention.EPOCHS))
-        done += len(texts)
-    if run:
-        yield changes()
-
-
-def _train_attention(model: attention.Attention, learn: DataFrame, tokenizer: Callable[[], str], shards: int, expected: float) -> None:
-    """All epochs over ``learn``; after each, rows of parameters move by the weighted mean of their changes."""
-    for epoch in range(attention.EPOCHS):
-        sent = send(learn.sparkSession, model)
-        dealt = learn.select("shard", "text", "place").repartition(shards, "shard").sortWithinPartitions("shard", "place", "text")
-        moved = dealt.select("shard", "text").mapInArrow(
-            lambda it: released(_steps(it, sent, tokenizer, epoch, expected)), TRAINED).groupBy("row").agg(
+
+def _train_attention(model: attention.Attention, texts: DataFrame, n_texts: int, tokenizer: Callable[[], str], least: int) -> None:
+    """Rounds over all ``texts``; after each, rows of parameters move by the weighted mean of their changes.
+
+    Rounds share the texts out by their hash, and where a share would be fewer than ``least`` texts, they
+    overlap, so that every text is in one round or more.
+    """
+    rounds, steps = attention.EPOCHS, 1 << 40
+    share = min(1.0, max(1 / rounds, least / max(n_texts, 1)))
+    dealt = texts.select(F.coalesce("text", F.lit("")).alias("text"))
+    place = F.pmod(F.xxhash64("text"), F.lit(steps))
+    parts = texts.select(F.spark_partition_id().alias("part")).distinct().count()
+    workers = max(1, min(parts, round(share * n_texts / SHARD_DOCS)))
+    for epoch in range(rounds):
+        sent = send(texts.sparkSession, model)
+        own = F.pmod(place - epoch * steps // rounds, F.lit(steps)) < math.ceil(share * steps)
+        moved = dealt.filter(own).coalesce(workers).mapInArrow(
+            lambda it: released(_steps(it, sent, tokenizer, epoch, max(1.0, share * n_texts / workers))), TRAINED).groupBy("row").agg(
             F.sum("weight"), *[F.sum(f"x{i}") for i in range(attention.WIDTH)]).toArrow()
         rows = attention.to_rows(model.p).astype(np.float64)
         at, weight = moved.column(0).to_numpy(), moved.column(1).to_numpy()
@@ -188,7 +178,6 @@ class Model:
     texts: int                  # training texts, so the count of ends
     tokens: int                 # N
     types: int                  # V
-    weights: tuple[float, float, float]     # of the share in the corpus, the attention model, and unknown words
 
     def counts(self, words: Words) -> np.ndarray:
         """The counts of common words, 0 for others."""
@@ -201,12 +190,6 @@ class Model:
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 1) / (self.tokens + self.types + 1))
 
-    def mixed(self, n: np.ndarray, chance: np.ndarray) -> np.ndarray:
-        share, attention_, unknown = self.weights
-        spelled = 10.0 ** np.maximum(chance, -300)
-        known = share * n / max(self.tokens, 1) + attention_ * spelled
-        return np.log10(np.where(n > 0, known, (attention_ + unknown) * spelled + self.uncounted))
-
     @property
     def uncounted(self) -> float:
         """The base score's chance of a word that no training document holds."""
@@ -239,39 +222,74 @@ def in_context(words: Words, tokens: WordTokens, scorer: attention.Scorer, end:
     return sums - border[starts] + after
 
 
-PARTIAL = f"{ROW} bigint, word binary, chance double, base double, score double, n_tokens bigint, n_known bigint"
+SCORED = f"{ROW} bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, shares double, ratios binary, word binary, chance float, bin bigint, tokens bigint"
+SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
+
+
+def _rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
+    """``n`` rows of ``SCORED`` and their ids, null where nothing is given."""
+    kinds = {"boolean": pa.bool_(), "bigint": pa.int64(), "double": pa.float64(), "float": pa.float32(), "binary": pa.binary()}
+    nulls = {c.split()[0]: kinds[c.split()[1]] for c in SCORED.split(", ")}
+    names = [*SCORED_NAMES, "id"]
+    return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(n, nulls[k]) for k in names], names=names)
 
 
 def _score(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str]) -> Iterator[pa.RecordBatch]:
-    """Per text the sums over its common words; its other words follow one by one."""
+    """Per text what its common words add, but for the weights of the mixture; its other words follow one by one.
+
+    ``shares`` sums the log10 of the words' shares, ``ratios`` holds log10 of chance by share of each, as
+    float32. At the end of a task ``bin, tokens`` count the ratios in training texts, where a word's share
+    is less by its own occurrence.
+    """
     model: Model = opened(sent)
-    tokens = WordTokens(path(), " ", True)
+    tokens, tally, kind = WordTokens(path(), " ", True), np.zeros(UNKNOWN + 1 + BINS // 2, np.int64), pa.null()
     for batch in slices(batches):
-        rows, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        rows, texts, kind = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).type
+        out = batch.column(3).to_numpy(zero_copy_only=False)
         for a, b in chunks(texts):
             words = tokens.read(texts[a:b])
-            chance = in_context(words, tokens, model.scorer, model.end)
+            chance = np.maximum(in_context(words, tokens, model.scorer, model.end), -300)
             word_at, end_at = with_ends(words.counts)
             n = np.full(len(chance), model.texts, np.int64)
             n[word_at] = model.counts(words)
             owner = np.repeat(np.arange(b - a), words.counts + 1)
+            learned = ~out[a:b][owner]
+            tally += np.bincount(_ratio_bin(chance, n - 1, model.tokens)[learned & (n > 0)] + BINS // 2, minlength=len(tally))
             known = n > 0
-            base = np.bincount(owner, np.where(known, model.base(n), 0), b - a)
-            score = np.bincount(owner, np.where(known, model.mixed(n, chance), 0), b - a)
+            share = np.log10(n[known] / max(model.tokens, 1))
+            ratios = (chance[known] - share).astype("<f4")
+            n_known = np.bincount(owner[known], minlength=b - a)
+            ends = np.concatenate([[0], np.cumsum(n_known * ratios.itemsize)]).astype(np.int32)
+            yield _rows(
+                b - a, **{ROW: pa.array(rows[a:b])}, id=batch.column(2).slice(a, b - a), held_out=batch.column(3).slice(a, b - a),
+                n_tokens=pa.array(words.counts + 1), n_known=pa.array(n_known), base=pa.array(np.bincount(owner[known], model.base(n[known]), b - a)),
+                shares=pa.array(np.bincount(owner[known], share, b - a)),
+                ratios=pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(ratios)]))
             alone = np.flatnonzero(~known[word_at])
             rest = word_at[alone]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows[a:b]), pa.array([b" %d" % r for r in rows[a:b]], pa.binary()), pa.nulls(b - a, pa.float64()),
-                pa.array(base), pa.array(score), pa.array(words.counts + 1), pa.array(np.bincount(owner[known], minlength=b - a)),
-                batch.column(2).slice(a, b - a), batch.column(3).slice(a, b - a)], names=PARTIAL_NAMES)
-            m = len(rest)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(rows[a:b][owner[rest]]), pa.array(words.some(alone), pa.binary()), pa.array(chance[rest]),
-                pa.nulls(m, pa.float64()), pa.nulls(m, pa.float64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
-                pa.nulls(m, batch.column(2).type), pa.nulls(m, pa.bool_())], names=PARTIAL_NAMES)
+            yield _rows(
+                len(rest), **{ROW: pa.array(rows[a:b][owner[rest]])}, id=pa.nulls(len(rest), kind), held_out=pa.array(~learned[rest]),
+                word=pa.array(words.some(alone), pa.binary()), chance=pa.array(chance[rest].astype(np.float32)))
+    bins = np.flatnonzero(tally)
+    if len(bins):
+        yield _rows(len(bins), id=pa.nulls(len(bins), kind), bin=pa.array(bins - BINS // 2), tokens=pa.array(tally[bins]))
 
 
-PARTIAL_NAMES = [*(c.split()[0] for c in PARTIAL.split(", ")), "id", "held_out"]
+MIXED = f"{ROW} bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double"
+
+
+def _mix(batches: Iterator[pa.RecordBatch], weights: tuple[float, float, float]) -> Iterator[pa.RecordBatch]:
+    """The texts' scores over their common words."""
+    share, attention_, _ = weights
+    for batch in slices(batches):
+        names = batch.schema.names
+        ratios = batch.column(names.index("ratios")).to_pylist()
+        flat = np.frombuffer(b"".join(ratios), "<f4").astype(np.float64)
+        owner = np.repeat(np.arange(len(ratios)), [len(r) // 4 for r in ratios])
+        score = np.bincount(owner, np.log10(share + attention_ * 10.0**flat), len(ratios)) + batch.column(names.index("shares")).to_numpy()
+        kept = [*(c.split()[0] for c in MIXED.split(", ")[:-1]), "id"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(names.index(k)) for k in kept[:-1]), pa.array(score), batch.column(names.index("id"))],
+                                         names=[*kept[:-1], "score", "id"])
 
 
 def _common_words(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -294,34 +312,10 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return WordHashes()([w.decode("utf-8", "surrogatepass") for w in words])[0]
 
 
-def _ratio_bin(chance: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """The bin of the log10 ratio of chance (a log10) and share (not 0)."""
-    return np.clip(np.rint((chance - np.log10(share)) / BIN), -(BINS // 2), BINS // 2).astype(np.int64)
-
-
-def _check(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str]) -> Iterator[pa.RecordBatch]:
-    """``bin, tokens`` of common words and ends; other words with their chance, one by one."""
-    model: Model = opened(sent)
-    tokens = WordTokens(path(), " ", True)
-    for batch in slices(batches):
-        texts = batch.column(0).to_pylist()
-        for a, b in chunks(texts):
-            words = tokens.read(texts[a:b])
-            chance = in_context(words, tokens, model.scorer, model.end)
-            word_at, _ = with_ends(words.counts)
-            n = np.full(len(chance), model.texts, np.int64)
-            n[word_at] = model.counts(words)
-            common = n > 1
-            bins, tally = np.unique(_ratio_bin(chance[common], (n[common] - 1) / model.tokens), return_counts=True)
-            alone = np.flatnonzero(~common[word_at])
-            ends = len(chance) - len(word_at) - common.sum() + common[word_at].sum()      # ends seen but here
-            m = len(alone)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.append(bins, UNKNOWN)), pa.array(np.append(tally, ends)), pa.nulls(len(bins) + 1, pa.binary()),
-                pa.nulls(len(bins) + 1, pa.float64())], names=["bin", "tokens", "word", "chance"])
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(m, pa.int64()), pa.array(np.ones(m, np.int64)), pa.array(words.some(alone), pa.binary()),
-                pa.array(chance[word_at[alone]])], names=["bin", "tokens", "word", "chance"])
+def _ratio_bin(chance: np.ndarray, n: np.ndarray, tokens: int) -> np.ndarray:
+    """The bin of the log10 ratio of chance (a log10) and share of the tokens; ``UNKNOWN`` for a count of 0 or less."""
+    ratio = chance - np.log10(np.maximum(n, 1) / max(tokens, 1))
+    return np.where(n > 0, np.clip(np.rint(ratio / BIN), -(BINS // 2), BINS // 2), UNKNOWN).astype(np.int64)
 
 
 UNKNOWN = BINS                  # the bin of words that training lacks but for their own occurrence
@@ -348,9 +342,8 @@ def _fit_weights(tally: dict[int, int]) -> tuple[float, float, float]:
 def train(texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_docs: int = SAMPLE_DOCS) -> tuple[Model, DataFrame]:
     """The model and the counts of all words of ``texts``.
 
-    Counts of words, of subwords and of their neighbours, and so the classes, cover every row. The
-    attention model's weights and the mixture weights come from one of ``TRAINED_SHARE`` distinct texts,
-    taken by their hash, or from about ``sample_docs`` where that is more.
+    Counts of words, of subwords and of their neighbours, and so the classes, cover every row, and so do the
+    attention model's weights. A round of its training takes ``sample_docs`` texts at least, or all there are.
     """
     path = tokenizer()
     with open(path, encoding="utf-8") as file:
@@ -374,34 +367,11 @@ def train(texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_do
     classes = attention.grouped(cells, n, starts_word, end)
 
     model = attention.initial(size, classes)
-    # Where a share of the rows would be too few, copies are not counted.
-    n_distinct = distinct_texts(texts, "text") if n_texts < sample_docs * TRAINED_SHARE else n_texts
-    share = min(1.0, max(1 / TRAINED_SHARE, sample_docs / max(n_distinct, 1)))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
-    shards = max(1, round(share * n_distinct / SHARD_DOCS))
-    sampled = land(texts.select("text").filter(F.col("text").isNotNull() & (place < int(share * (1 << 40)))).distinct().select(
-        "text", place.alias("place"), F.pmod(F.xxhash64("text", F.lit(1)), F.lit(shards)).alias("shard"),
-        (F.pmod(F.xxhash64("text", F.lit(2)), F.lit(CHECKED)) == 0).alias("check")), "trained-texts")
-    expected = max(1.0, share * n_distinct / shards * (1 - 1 / CHECKED))
-    _train_attention(model, sampled.filter("NOT check"), tokenizer, shards, expected)
+    _train_attention(model, texts, n_texts, tokenizer, sample_docs)
     per_class = np.bincount(classes, id_counts + 1, attention.CLASSES)
     model.inside = np.log10((id_counts + 1) / per_class[classes]).astype(np.float32)
     model.inside[end] = 0
-    out = Model(attention.Scorer(model), end, common, common_n, least, n_texts, total["n"], total["v"], _fit_weights({}))
-
-    sent = send(texts.sparkSession, out)
-    checked = sampled.filter("check").select("text").mapInArrow(
-        lambda it: released(_check(it, sent, tokenizer)), "bin bigint, tokens bigint, word binary, chance double")
-    others = F.coalesce("n", F.lit(1)) - 1          # less the word's own occurrence
-    ratio = F.rint((F.col("chance") - F.log10(others / F.lit(float(max(out.tokens, 1))))) / BIN)
-    last = F.lit(float(BINS // 2))
-    place = F.when(F.col("word").isNull(), F.col("bin")).when(others <= 0, F.lit(UNKNOWN)).otherwise(
-        F.greatest(-last, F.least(last, ratio)).cast("bigint"))
-    # A word counted once in all is common to workers where all words are; it has no other occurrence either.
-    rare = counts.filter(F.col("n") < least)
-    tally = checked.join(rare, "word", "left").groupBy(place.alias("bin")).agg(F.sum("tokens").alias("tokens")).collect()
-    out.weights = _fit_weights({r["bin"]: r["tokens"] for r in tally})
-    return out, counts
+    return Model(attention.Scorer(model), end, common, common_n, least, n_texts, total["n"], total["v"]), counts
 
 
 def lm_score(
@@ -428,21 +398,31 @@ def lm_score(
     model, counts = train(rows.filter("NOT held_out").select("text"), tokenizer, sample_docs)
     sent = send(spark, model)
     kind = rows.schema["id"].dataType.simpleString()
-    partial = rows.mapInArrow(lambda it: released(_score(it, sent, tokenizer)), f"{PARTIAL}, id {kind}, held_out boolean")
-
-    # Words that not every worker knows meet their counts here; a text's own row has a word of its own.
-    rare = counts.filter(F.col("n") < model.least_common)
-    n = F.coalesce("n", F.lit(0))
-    alone = F.col("chance").isNotNull()
-    share, attention_, unknown = model.weights
-    spelled = F.pow(F.lit(10.0), F.greatest("chance", F.lit(-300.0)))
+    partial = land(rows.mapInArrow(lambda it: released(_score(it, sent, tokenizer)), f"{SCORED}, id {kind}"), "scored-texts")
+
+    # Words that not every worker knows meet their counts here.
+    rare = land(partial.filter("word IS NOT NULL").select(ROW, "held_out", "word", "chance").join(
+        counts.filter(F.col("n") < model.least_common), "word", "left").select(ROW, "held_out", "chance", F.coalesce("n", F.lit(0)).alias("n")),
+        "scored-words")
+    n, spelled = F.col("n"), F.pow(F.lit(10.0), F.col("chance").cast("double"))
+    others = n - 1          # less the word's own occurrence
+    last = F.lit(float(BINS // 2))
+    ratio = F.rint((F.col("chance") - F.log10(others / F.lit(float(max(model.tokens, 1))))) / BIN)
+    place = F.when(others <= 0, F.lit(UNKNOWN)).otherwise(F.greatest(-last, F.least(last, ratio)).cast("bigint"))
+    tally = partial.filter("bin IS NOT NULL").select("bin", "tokens").unionByName(
+        rare.filter("NOT held_out").select(place.alias("bin"), F.lit(1).cast("bigint").alias("tokens"))).groupBy("bin").agg(
+        F.sum("tokens").alias("tokens")).collect()
+    weights = share, attention_, unknown = _fit_weights({r["bin"]: r["tokens"] for r in tally})
+
     mixed = F.when(n > 0, share * n / max(model.tokens, 1) + attention_ * spelled).otherwise(
         (attention_ + unknown) * spelled + model.uncounted)
-    scored = partial.join(rare, "word", "left").select(
-        ROW, "id", "held_out", "n_tokens",
-        F.when(alone, F.log10((n + 1) / F.lit(float(model.tokens + model.types + 1)))).otherwise(F.col("base")).alias("base"),
-        F.when(alone, F.log10(mixed)).otherwise(F.col("score")).alias("score"),
-        F.when(alone, (n > 0).cast("bigint")).otherwise(F.col("n_known")).alias("n_known"))
+    no_id = F.lit(None).cast(kind)
+    scored = partial.filter("ratios IS NOT NULL").select(
+        *[c for c in SCORED_NAMES if c not in ("word", "chance", "bin", "tokens")], "id").mapInArrow(
+        lambda it: released(_mix(it, weights)), f"{MIXED}, id {kind}").unionByName(rare.select(
+            ROW, F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("bigint").alias("n_tokens"),
+            (n > 0).cast("bigint").alias("n_known"), F.log10((n + 1) / F.lit(float(model.tokens + model.types + 1))).alias("base"),
+            F.log10(mixed).alias("score"), no_id.alias("id")))
     sums = scored.groupBy(ROW).agg(
         F.first("id", ignorenulls=True).alias("id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))

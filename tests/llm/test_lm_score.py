@@ -166,6 +166,45 @@ def test_copies_leave_room_for_other_texts(spark):
     assert len(moved(trained_model(spark, texts, sample_docs=60)) & {i for _, i in words}) > 30
 
 
+def test_every_training_text_is_learned(spark, monkeypatch):
+    words = single_words(400)
+    texts = [" ".join([w] * 3) for w, _ in words]
+    for parts in (1, 3):
+        assert {i for _, i in words} <= moved(trained_model(spark, texts, parts, sample_docs=5))
+    # and every text's tokens count for the weights of the mixture
+    tallies, fit = [], lm_score._fit_weights
+    monkeypatch.setattr(lm_score, "_fit_weights", lambda tally: tallies.append(tally) or fit(tally))
+    monkeypatch.setattr(lm_score, "COMMON_WORDS", 40)
+    rows = [(i, f"{t} {texts[i % 7]}") for i, t in enumerate(texts)] + [(None, None), (900, "")]
+    result = lm_score.lm_score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    learned = [(d, t) for d, t in rows if not held_out(d)]
+    once = sum(n == 1 for n in Counter(w for _, t in learned for w in lowered_words(t)).values())
+    assert sum(tallies[-1].values()) == result[0]["train_tokens"] == sum(len(lowered_words(t)) + 1 for _, t in learned)
+    assert tallies[-1].get(lm_score.UNKNOWN, 0) == once
+
+
+def test_steps_follow_the_gradient():
+    """A step's first move, which Adam makes by the gradient's sign, against differences of the loss."""
+    rng = np.random.default_rng(5)
+    model = attention.initial(40, np.concatenate([rng.integers(1, attention.CLASSES, 39), [0, 0]]))
+    read, predict, used = attention.windows(rng.integers(0, 39, 60), np.array([7, 0, 53]), 39, 40)
+
+    def loss(p):
+        m = attention.Attention(p, model.classes, model.inside, model.pad)
+        return -attention.Scorer(m)(read, predict)[0].ravel()[used].astype(float).mean() * math.log(10)
+
+    before = {k: v.copy() for k, v in model.p.items()}
+    attention.Training(model).step(read, predict, 1e-3)
+    for name, v in before.items():
+        move = model.p[name] - v
+        for at in rng.permutation(np.argwhere(move != 0))[:12].tolist():
+            up, down = ({k: x.copy() for k, x in before.items()} for _ in range(2))
+            up[name][tuple(at)] += 0.02
+            down[name][tuple(at)] -= 0.02
+            slope = (loss(up) - loss(down)) / 0.04
+            assert abs(slope) < 2e-4 or np.sign(slope) == -np.sign(move[tuple(at)]), (name, at)
+
+
 def test_neighbours_are_counted_inside_texts():
     rng = np.random.default_rng(1)
     sizes = np.array([0, 1, 2, 9, 0, 30])
