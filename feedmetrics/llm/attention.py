@@ -208,6 +208,9 @@ class Scorer:
         self.sums[:, 0] = 1
         self.sums[: 1 + WORD_CLASSES, 1] = 1
 
+    def __reduce__(self):
+        return Scorer, (self.model,)        # what is worked out from it need not travel
+
     def __call__(self, read: np.ndarray, predict: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of the chance of each predicted id, and of the chance that no word goes on there."""
         own, total = np.empty(predict.size, np.float32), np.empty((predict.size, 2), np.float32)

@@ -40,6 +40,11 @@ def released(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A worker process serves many tasks and would keep the largest size any of them had.
     """
     yield from rows
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that was freed goes back to the machine."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it

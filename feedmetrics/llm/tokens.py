@@ -8,7 +8,7 @@ from itertools import chain, repeat
 
 import numpy as np
 
-from .shingles import WordHashes, Words
+from .shingles import give_back, WordHashes, Words
 
 CACHED_WORDS = 400_000
 
@@ -43,6 +43,7 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_text
         self.model = self.tokenizer.model
+        give_back()         # reading the file takes more than the tokenizer it makes
         self.prefix, self.lower, self.plain_text = prefix, self.tokenizer.normalizer is not None, plain_text
         self.read = WordHashes().read
         self.keys = np.zeros(0, np.uint64)      # hashes of the remembered words, sorted

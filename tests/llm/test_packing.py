@@ -1,6 +1,9 @@
 """Packing: token ids, places, and the number of sequences."""
 
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -103,3 +106,27 @@ def test_places(spark, capacity):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_a_tokenizer_keeps_only_its_own_memory():
+    """What reading the vocabulary took beyond the tokenizer goes back to the machine."""
+    held = """
+import re, sys
+sys.path.insert(0, sys.argv[1])
+from feedmetrics.llm import packing
+from feedmetrics.llm.shingles import released
+from feedmetrics.llm.tokens import WordTokens
+def mb():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+list(released(iter([])))
+before = mb()
+tokens = WordTokens(packing.vocabulary())
+after = mb()
+list(released(iter([])))
+print(after - before, after - mb())
+"""
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("no figures of memory here")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", held, root], capture_output=True, text=True, check=True).stdout.split()
+    assert float(out[1]) < 10, out
