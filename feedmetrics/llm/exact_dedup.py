@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .store import fresh_path, land, numbered, small_enough, without
+from .store import fresh_path, land, no_rows, numbered, small_enough, without
 
 WHITE_SPACE = (" ", "\t", "\n", "\x0b", "\f", "\r")     # fixed by the contract: [\x20\x09-\x0D]
 DIGEST_BYTES = 32
@@ -65,7 +65,7 @@ def digest_state(log: DataFrame, log_path: str, files_per_trigger: int | None =
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     state = reader.parquet(log_path).groupBy("digest").agg(
         F.min(_order("place")).alias("best"), F.count("*").alias("n"))
-    spark.createDataFrame([], state.schema).write.parquet(f"{out}/batch=-1")     # so that the folder exists
+    no_rows(spark, state.schema).write.parquet(f"{out}/batch=-1")     # so that the folder exists
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")

@@ -28,10 +28,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .shingles import chunks, mix, released, SHINGLE, shingle_sets, slices, WordHashes
-from .store import drop_rows, land, numbered, small_batches, small_enough, without
+from .store import drop_rows, land, no_rows, numbered, small_batches, small_enough, without
 
 PERCENT = 75                    # links: 100 * intersection >= 75 * union
 ROW = "__row"
@@ -349,7 +350,7 @@ class _Links:
         self.texts, self.size, self.percent = texts, size, percent
         self.found: list[DataFrame] = []
         self.checked: list[DataFrame] = []
-        self.labels = texts.sparkSession.createDataFrame([], "row bigint, label bigint")
+        self.labels = no_rows(texts.sparkSession, T.StructType().add("row", T.LongType()).add("label", T.LongType()))
 
     def labelled(self, df: DataFrame, row: str, name: str) -> DataFrame:
         labels = self.labels.select(F.col("row").alias(row), F.col("label").alias(name))

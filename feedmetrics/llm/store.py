@@ -9,6 +9,7 @@ from pyspark import cloudpickle
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.checkpoint import shared_dir
 
@@ -36,6 +37,15 @@ def opened(sent: Broadcast) -> object:
     return pickle.loads(sent.value)
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table, without Python on the executors.
+
+    ``createDataFrame`` of a list, even an empty one, is read by Python workers, which have a daemon of
+    their own beside that of ``mapInArrow`` and keep their memory after it.
+    """
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new place below ``spark.checkpoint.dir``."""
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

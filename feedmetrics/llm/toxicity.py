@@ -37,7 +37,7 @@ STEMS = (4, 5, 6)
 LEXICON_SIZE = 2_000
 STRONG = 2.0                # log odds from which a lexicon entry counts as a hit
 NEAR = 3                    # words between a hit and a word of second person
-COUNTED_TERMS = 200_000     # terms a task counts before it passes them on
+COUNTED_TERMS = 50_000     # terms a task counts before it passes them on
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W_]+")

@@ -2,9 +2,13 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 import corpus_pipeline
+from feedmetrics.llm.store import land, no_rows
 from test_decontaminate import expected as hits
 from test_exact_dedup import clean
 from test_jaccard_join import expected as groups
@@ -88,3 +92,23 @@ def test_stages_on_an_empty_table(spark):
     docs = edge_table(spark, [])
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).collect() == [], name
+
+
+@pytest.mark.parametrize("stage, kept", [(corpus_pipeline.one_of_each_text, [1, 2, 4]), (corpus_pipeline.one_of_each_group, [1, 4])])
+def test_no_table_is_made_of_python_rows(spark, monkeypatch, stage, kept):
+    """Frames of Python lists take workers with a daemon of their own on every executor."""
+    words = " ".join(f"w{i}" for i in range(40))
+    docs = land(spark.createDataFrame([(1, words), (2, words + " x"), (3, words), (4, "other")], "doc_id long, text string"), "few")
+
+    def refused(*_, **__):
+        raise AssertionError("createDataFrame")
+
+    monkeypatch.setattr(SparkSession, "createDataFrame", refused)
+    assert sorted(r["doc_id"] for r in stage(spark, docs, None).collect()) == kept
+
+
+def test_a_table_without_rows(spark):
+    schema = T.StructType().add("a", T.LongType()).add("b", T.StructType().add("c", T.StringType()).add("d", T.BinaryType()))
+    empty = no_rows(spark, schema)
+    assert [(f.name, f.dataType) for f in empty.schema] == [(f.name, f.dataType) for f in schema] and empty.collect() == []
+    assert "ExistingRDD" not in empty._jdf.queryExecution().toString()
