@@ -75,12 +75,23 @@ def initial(vocabulary: int, classes: np.ndarray, seed: int = 0) -> Attention:
 
 
 class Training:
-    """Adam on the loss of the next id's class, changing a model's parameters in place."""
+    """Adam on the loss of the next id's class, changing a model's parameters in place.
+
+    All parameters but those of ids are views of one row of numbers, which a step changes at once.
+    """
 
     def __init__(self, model: Attention):
         self.model, self.far, self.steps, self.predicted = model, _causal(), 0, 0
-        self.first, self.second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
-        self.uses = np.zeros(len(model.p["e"]), np.int64)
+        self.names, ends = [k for k in model.p if k != "e"], [0]
+        for k in self.names:
+            ends.append(ends[-1] + model.p[k].size)
+        self.own = {k: slice(a, b) for k, a, b in zip(self.names, ends, ends[1:])}
+        self.others = np.empty(ends[-1], np.float32)
+        for k, at in self.own.items():
+            shape, self.others[at] = model.p[k].shape, model.p[k].ravel()
+            model.p[k] = self.others[at].reshape(shape)
+        self.first, self.second = np.zeros_like(self.others), np.zeros_like(self.others)
+        self.first_e, self.second_e = np.zeros_like(model.p["e"]), np.zeros_like(model.p["e"])
 
     def step(self, ids: np.ndarray, aim: np.ndarray, rate: float) -> None:
         model, p, n = self.model, self.model.p, len(ids)
@@ -92,52 +103,55 @@ class Training:
         k, v = (x @ p["k"]).reshape(n, WINDOW, KEY), (x @ p["v"]).reshape(n, WINDOW, WIDTH)
         a = q @ k.transpose(0, 2, 1)
         a += np.where(self.far < WINDOW, p["near"][np.minimum(self.far, WINDOW - 1)], np.float32(-1e4))
-        if model.pad in line:
-            a += np.where(ids == model.pad, np.float32(-1e4), np.float32(0))[:, None, :]
+        padding = ids == model.pad
+        padded = np.flatnonzero(padding.any(1))
+        if len(padded):
+            a[padded] += np.where(padding[padded], np.float32(-1e4), np.float32(0))[:, None, :]
         a = _exp(a)
-        a /= a.sum(-1, keepdims=True)
-        h = np.empty((len(own), 2 * WIDTH), np.float32)
-        h[:, :WIDTH] = (a @ v).reshape(-1, WIDTH)
-        h[:, WIDTH:] = own
+        a *= (1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32))).reshape(n, SCORED, 1)
+        heard = (a @ v).reshape(-1, WIDTH)
+        h = np.concatenate([heard, own], axis=1)
         d = h @ p["o"]
         d += p["b"]
         d = _exp(d)
 
         aims = aim.ravel()
         weight = (aims != model.pad).astype(np.float32)
-        predicted = int(weight.sum())
+        predicted = int(np.count_nonzero(weight))
         weight /= max(predicted, 1)
         d *= (weight / np.maximum(d @ np.ones(CLASSES, np.float32), np.float32(1e-30)))[:, None]
-        d[np.arange(len(d)), model.classes[aims]] -= weight
-        grads = {"o": (d.T @ h).T, "b": np.ones(len(d), np.float32) @ d}
-        dh = d @ p["o"].T
+        d.ravel()[np.arange(0, d.size, CLASSES) + model.classes.take(aims)] -= weight
+        dh = d @ np.ascontiguousarray(p["o"].T)
         da_v = np.ascontiguousarray(dh[:, :WIDTH])
         ds = da_v.reshape(n, SCORED, WIDTH) @ v.transpose(0, 2, 1)
-        ds -= np.einsum("ij,ij->i", da_v, h[:, :WIDTH]).reshape(n, SCORED, 1)
+        heard *= da_v
+        ds -= (heard @ np.ones(WIDTH, np.float32)).reshape(n, SCORED, 1)
         ds *= a
         dv = (a.transpose(0, 2, 1) @ da_v.reshape(n, SCORED, WIDTH)).reshape(-1, WIDTH)
         dk = (ds.transpose(0, 2, 1) @ q).reshape(-1, KEY)
         dq = (ds @ k).reshape(-1, KEY)
-        grads["near"] = np.bincount(self.far.ravel(), ds.sum(0).ravel(), WINDOW + 1)[:WINDOW]
-        grads["q"] = own.T @ dq / np.float32(KEY**0.5)
-        grads["k"], grads["v"] = x.T @ dk, x.T @ dv
+        grads = {
+            "o": (d.T @ h).T, "b": np.ones(len(d), np.float32) @ d, "q": own.T @ dq / np.float32(KEY**0.5), "k": x.T @ dk, "v": x.T @ dv,
+            "near": np.bincount(self.far.ravel(), np.ones(n, np.float32) @ ds.reshape(n, -1), WINDOW + 1)[:WINDOW]}
         dx = dk @ p["k"].T
         dx += dv @ p["v"].T
-        dx.reshape(n, WINDOW, WIDTH)[:, CONTEXT:] += (dq @ asks.T + dh[:, WIDTH:]).reshape(n, SCORED, WIDTH)
+        up = dq @ asks.T
+        up += dh[:, WIDTH:]
+        dx.reshape(n, WINDOW, WIDTH)[:, CONTEXT:] += up.reshape(n, SCORED, WIDTH)
         # Numbers of two bytes are sorted by radix.
-        order = np.argsort(line.astype(np.uint16) if model.pad < 1 << 16 else line, kind="stable")
+        line = line.astype(np.uint16) if model.pad < 1 << 16 else line
+        order = np.argsort(line, kind="stable")
         sorted_ids = line[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-        used, de = sorted_ids[first], np.add.reduceat(dx.take(order, axis=0), first, axis=0)
+        # Two numbers are summed at a time.
+        used, de = sorted_ids[first], np.add.reduceat(dx.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
         self.steps += 1
         self.predicted += predicted
-        self.uses[used] += np.diff(first, append=len(line))
         rate = rate * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
-        for name, g in grads.items():
-            _adam(p[name], g.astype(np.float32), self.first[name], self.second[name], rate)
-        e, m, s = (t.take(used, axis=0) for t in (p["e"], self.first["e"], self.second["e"]))
+        _adam(self.others, np.concatenate([grads[k].ravel() for k in self.names]).astype(np.float32), self.first, self.second, rate)
+        e, m, s = (t.take(used, axis=0) for t in (p["e"], self.first_e, self.second_e))
         _adam(e, de, m, s, rate)
-        p["e"][used], self.first["e"][used], self.second["e"][used] = e, m, s
+        p["e"][used], self.first_e[used], self.second_e[used] = e, m, s
 
 
 def _exp(z: np.ndarray) -> np.ndarray:

@@ -18,14 +18,15 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import attention
 from .labelled import fold
 from .shingles import chunks, released, slices, WordHashes, Words
 from .store import land, opened, send, small_batches
-from .tokens import WordTokens
+from .tokens import ByteMerges, WordTokens
 
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"                     # stands for the end of a text among the words; no word is white space
@@ -45,6 +46,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def sent_merges(spark: SparkSession, tokenizer: Callable[[], str]) -> Broadcast:
+    """The tokenizer's merges, worked out once for all tasks."""
+    return send(spark, ByteMerges.of(tokenizer()))
+
+
 class WordCounts:
     """Counts of words by their hash, with the words themselves."""
 
@@ -68,10 +74,10 @@ class WordCounts:
             [pa.array([*self.words, END], pa.binary()), pa.array(np.append(self.n, texts), pa.int64())], names=["word", "n"])
 
 
-def _count(batches: Iterator[pa.RecordBatch], path: Callable[[], str], size: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], path: Callable[[], str], sent, size: int) -> Iterator[pa.RecordBatch]:
     """Counts of words and of cells of neighbours; the latter's number stands after an end."""
     counts, n_texts = WordCounts(), 0
-    tokens, near = WordTokens(path(), " ", True), attention.Neighbours(size, size - 1)
+    tokens, near = WordTokens(path(), " ", True, opened(sent)), attention.Neighbours(size, size - 1)
     for batch in slices(batches):
         texts = batch.column(0).to_pylist()
         for a, b in chunks(texts):
@@ -101,13 +107,13 @@ def _text_ids(tokens: WordTokens, words: Words) -> tuple[np.ndarray, np.ndarray]
     return ids.astype(np.int64), np.diff(ends, prepend=0)
 
 
-def word_counts(texts: DataFrame, tokenizer: Callable[[], str], size: int) -> tuple[DataFrame, DataFrame]:
+def word_counts(texts: DataFrame, tokenizer: Callable[[], str], merges: Broadcast, size: int) -> tuple[DataFrame, DataFrame]:
     """``word, n`` over all rows of ``texts``, and ``cell, n`` of the neighbours of their subwords.
 
     The end of a text is counted as a word of its own.
     """
     both = land(
-        texts.select("text").mapInArrow(lambda it: released(_count(it, tokenizer, size)), "word binary, n bigint")
+        texts.select("text").mapInArrow(lambda it: released(_count(it, tokenizer, merges, size)), "word binary, n bigint")
         .groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     cell = F.col("word").startswith(F.lit(END)) & (F.length("word") > 1)
     return both.filter(~cell), both.filter(cell).select(F.conv(F.hex(F.substring("word", 2, CELL_BYTES)), 16, 10).cast("bigint").alias("cell"), "n")
@@ -116,11 +122,12 @@ def word_counts(texts: DataFrame, tokenizer: Callable[[], str], size: int) -> tu
 TRAINED = "row bigint, weight double, " + ", ".join(f"x{i} double" for i in range(attention.WIDTH))
 
 
-def _steps(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], epoch: int, expected: float) -> Iterator[pa.RecordBatch]:
+def _steps(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], merges, epoch: int, expected: float) -> Iterator[pa.RecordBatch]:
     """The changes of the parameters by one pass over a task's texts, times the weight they have."""
     common: attention.Attention = opened(sent)
-    tokens, end = WordTokens(path(), " ", True), common.pad - 1
+    tokens, end = WordTokens(path(), " ", True, opened(merges)), common.pad - 1
     run = attention.Training(replace(common, p={k: v.copy() for k, v in common.p.items()}))
+    uses = np.zeros(len(common.p["e"]), np.int64)
     done, rng = 0, np.random.default_rng([epoch, TaskContext.get().partitionId()])
     for batch in slices(batches):
         texts = batch.column(0).to_pylist()
@@ -130,11 +137,12 @@ def _steps(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], epo
             for i, (ids, aim) in enumerate(attention.batches(read, predict, rng)):
                 passed = min(1.0, (done + (b - a) * i / part) / expected)
                 run.step(ids, aim, attention.RATE * max(0.01, 1 - (epoch + passed) / attention.EPOCHS))
+            uses += np.bincount(read.ravel(), minlength=len(uses))
             done += b - a
     if done:
         before = attention.to_rows(common.p)
         weight = np.full(len(before), run.predicted, np.float64)
-        weight[: len(run.uses)] = run.uses
+        weight[: len(uses)] = uses
         rows = np.flatnonzero(weight)
         moved = (attention.to_rows(run.model.p)[rows] - before[rows]) * weight[rows, None]
         yield pa.RecordBatch.from_arrays(
@@ -142,7 +150,7 @@ def _steps(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], epo
             names=[c.split()[0] for c in TRAINED.split(", ")])
 
 
-def _train_attention(model: attention.Attention, texts: DataFrame, n_texts: int, tokenizer: Callable[[], str], least: int) -> None:
+def _train_attention(model: attention.Attention, texts: DataFrame, n_texts: int, tokenizer: Callable[[], str], merges: Broadcast, least: int) -> None:
     """Rounds over all ``texts``; after each, rows of parameters move by the weighted mean of their changes.
 
     Rounds share the texts out by their hash, and where a share would be fewer than ``least`` texts, they
@@ -158,7 +166,7 @@ def _train_attention(model: attention.Attention, texts: DataFrame, n_texts: int,
         sent = send(texts.sparkSession, model)
         own = F.pmod(place - epoch * steps // rounds, F.lit(steps)) < math.ceil(share * steps)
         moved = dealt.filter(own).coalesce(workers).mapInArrow(
-            lambda it: released(_steps(it, sent, tokenizer, epoch, max(1.0, share * n_texts / workers))), TRAINED).groupBy("row").agg(
+            lambda it: released(_steps(it, sent, tokenizer, merges, epoch, max(1.0, share * n_texts / workers))), TRAINED).groupBy("row").agg(
             F.sum("weight"), *[F.sum(f"x{i}") for i in range(attention.WIDTH)]).toArrow()
         rows = attention.to_rows(model.p).astype(np.float64)
         at, weight = moved.column(0).to_numpy(), moved.column(1).to_numpy()
@@ -234,7 +242,7 @@ def _rows(n: int, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(n, nulls[k]) for k in names], names=names)
 
 
-def _score(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str], merges) -> Iterator[pa.RecordBatch]:
     """Per text what its common words add, but for the weights of the mixture; its other words follow one by one.
 
     ``shares`` sums the log10 of the words' shares, ``ratios`` holds log10 of chance by share of each, as
@@ -242,7 +250,7 @@ def _score(batches: Iterator[pa.RecordBatch], sent, path: Callable[[], str]) ->
     is less by its own occurrence.
     """
     model: Model = opened(sent)
-    tokens, tally, kind = WordTokens(path(), " ", True), np.zeros(UNKNOWN + 1 + BINS // 2, np.int64), pa.null()
+    tokens, tally, kind = WordTokens(path(), " ", True, opened(merges)), np.zeros(UNKNOWN + 1 + BINS // 2, np.int64), pa.null()
     for batch in slices(batches):
         rows, texts, kind = batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).type
         out = batch.column(3).to_numpy(zero_copy_only=False)
@@ -339,13 +347,16 @@ def _fit_weights(tally: dict[int, int]) -> tuple[float, float, float]:
     return tuple(weights.tolist())
 
 
-def train(texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_docs: int = SAMPLE_DOCS) -> tuple[Model, DataFrame]:
+def train(
+    texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_docs: int = SAMPLE_DOCS, merges: Broadcast | None = None,
+) -> tuple[Model, DataFrame]:
     """The model and the counts of all words of ``texts``.
 
     Counts of words, of subwords and of their neighbours, and so the classes, cover every row, and so do the
     attention model's weights. A round of its training takes ``sample_docs`` texts at least, or all there are.
+    ``merges`` are the tokenizer's, as ``sent_merges`` gives them.
     """
-    path = tokenizer()
+    path, merges = tokenizer(), merges or sent_merges(texts.sparkSession, tokenizer)
     with open(path, encoding="utf-8") as file:
         names = json.load(file)["model"]["vocab"]
     size = max(names.values()) + 2
@@ -353,7 +364,7 @@ def train(texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_do
     starts_word = np.zeros(size, bool)
     starts_word[[i for name, i in names.items() if name.startswith("Ġ")]] = True
 
-    counts, beside = word_counts(texts, tokenizer, size)
+    counts, beside = word_counts(texts, tokenizer, merges, size)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     common, common_n, least = _common_words(counts, COMMON_WORDS)
     n_texts = counts.filter(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
@@ -367,7 +378,7 @@ def train(texts: DataFrame, tokenizer: Callable[[], str] = vocabulary, sample_do
     classes = attention.grouped(cells, n, starts_word, end)
 
     model = attention.initial(size, classes)
-    _train_attention(model, texts, n_texts, tokenizer, sample_docs)
+    _train_attention(model, texts, n_texts, tokenizer, merges, sample_docs)
     per_class = np.bincount(classes, id_counts + 1, attention.CLASSES)
     model.inside = np.log10((id_counts + 1) / per_class[classes]).astype(np.float32)
     model.inside[end] = 0
@@ -395,10 +406,11 @@ def lm_score(
     rows = docs.select(
         F.monotonically_increasing_id().alias(ROW), F.col(f"`{text_col}`").cast("string").alias("text"), key.alias("id"),
         out.alias("held_out"))
-    model, counts = train(rows.filter("NOT held_out").select("text"), tokenizer, sample_docs)
+    merges = sent_merges(spark, tokenizer)
+    model, counts = train(rows.filter("NOT held_out").select("text"), tokenizer, sample_docs, merges)
     sent = send(spark, model)
     kind = rows.schema["id"].dataType.simpleString()
-    partial = land(rows.mapInArrow(lambda it: released(_score(it, sent, tokenizer)), f"{SCORED}, id {kind}"), "scored-texts")
+    partial = land(rows.mapInArrow(lambda it: released(_score(it, sent, tokenizer, merges)), f"{SCORED}, id {kind}"), "scored-texts")
 
     # Words that not every worker knows meet their counts here.
     rare = land(partial.filter("word IS NOT NULL").select(ROW, "held_out", "word", "chance").join(

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from feedmetrics.llm import attention, lm_score
+from feedmetrics.llm import attention, lm_score, tokens
 from feedmetrics.llm.shingles import lowered_words
 from feedmetrics.llm.tokens import WordTokens
 
@@ -123,6 +123,28 @@ def test_a_texts_score_does_not_depend_on_its_neighbours():
     assert np.allclose(together, alone, atol=1e-4)
 
 
+def test_plain_words_are_merged_without_the_tokenizer():
+    """Latin words, numbers and marks get the tokenizer's ids by merges of all of them at once; others are left to it."""
+    path = lm_score.vocabulary()
+    fast, slow = (WordTokens(path, " ", True, m) for m in (tokens.ByteMerges.of(path), None))
+    rng = np.random.default_rng(2)
+    signs = ["a", "e", "the", "ing", "tion", "Q", "é", "ß", "ı", "ɏ", "zz", "aaa", "0", "17", "2024", "!", "...", "&%", "_", "-", " ", "\n"]
+    plain = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 30, 600)]
+    for texts in (plain, ["x"], ["é ß"], ["", None]):
+        ids, sizes = fast.encode_words(fast.read(texts))
+        assert "tokenizer" not in vars(fast)
+        want, amounts = slow.encode_words(slow.read(texts))
+        assert ids.tolist() == want.tolist() and sizes.tolist() == amounts.tolist()
+    odd = [*signs, "'", "'s", "×", "÷", "İ", "ɐ", "日本", "😀", "\u0301", "\u00a0", "\u2003", "\x00", "\x1c", "²", "<|endoftext|>", "a" * 70]
+    for texts in [["".join(rng.choice(odd, n)) for n in rng.integers(0, 30, 300)], ["'"], ["日"], ["b" * 3000]]:
+        ids, sizes = fast.encode_words(fast.read(texts))
+        want = [slow.tokenizer.encode(" " + w.decode(), add_special_tokens=False).ids for t in texts for w in lowered_words(t)]
+        assert ids.tolist() == [i for own in want for i in own] and sizes.tolist() == [len(own) for own in want]
+    import public_tokenizers
+
+    assert tokens.ByteMerges.of(public_tokenizers.path("word_bpe_49k.json")) is None
+
+
 def single_words(amount):
     """Words that are one id each, with their ids."""
     names = WordTokens(lm_score.vocabulary(), " ", True).tokenizer.get_vocab()
