@@ -108,9 +108,8 @@ class Training:
         if len(padded):
             a[padded] += np.where(padding[padded], np.float32(-1e4), np.float32(0))[:, None, :]
         a = _exp(a)
-        a *= (1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32))).reshape(n, SCORED, 1)
-        heard = (a @ v).reshape(-1, WIDTH)
-        h = np.concatenate([heard, own], axis=1)
+        a /= a.sum(-1, keepdims=True)
+        h = np.concatenate([(a @ v).reshape(-1, WIDTH), own], axis=1)
         d = h @ p["o"]
         d += p["b"]
         d = _exp(d)
@@ -121,30 +120,26 @@ class Training:
         weight /= max(predicted, 1)
         d *= (weight / np.maximum(d @ np.ones(CLASSES, np.float32), np.float32(1e-30)))[:, None]
         d.ravel()[np.arange(0, d.size, CLASSES) + model.classes.take(aims)] -= weight
-        dh = d @ np.ascontiguousarray(p["o"].T)
+        dh = d @ p["o"].T
         da_v = np.ascontiguousarray(dh[:, :WIDTH])
         ds = da_v.reshape(n, SCORED, WIDTH) @ v.transpose(0, 2, 1)
-        heard *= da_v
-        ds -= (heard @ np.ones(WIDTH, np.float32)).reshape(n, SCORED, 1)
+        ds -= np.einsum("ij,ij->i", da_v, h[:, :WIDTH]).reshape(n, SCORED, 1)
         ds *= a
         dv = (a.transpose(0, 2, 1) @ da_v.reshape(n, SCORED, WIDTH)).reshape(-1, WIDTH)
         dk = (ds.transpose(0, 2, 1) @ q).reshape(-1, KEY)
         dq = (ds @ k).reshape(-1, KEY)
         grads = {
             "o": (d.T @ h).T, "b": np.ones(len(d), np.float32) @ d, "q": own.T @ dq / np.float32(KEY**0.5), "k": x.T @ dk, "v": x.T @ dv,
-            "near": np.bincount(self.far.ravel(), np.ones(n, np.float32) @ ds.reshape(n, -1), WINDOW + 1)[:WINDOW]}
+            "near": np.bincount(self.far.ravel(), ds.sum(0).ravel(), WINDOW + 1)[:WINDOW]}
         dx = dk @ p["k"].T
         dx += dv @ p["v"].T
-        up = dq @ asks.T
-        up += dh[:, WIDTH:]
-        dx.reshape(n, WINDOW, WIDTH)[:, CONTEXT:] += up.reshape(n, SCORED, WIDTH)
+        dx.reshape(n, WINDOW, WIDTH)[:, CONTEXT:] += (dq @ asks.T + dh[:, WIDTH:]).reshape(n, SCORED, WIDTH)
         # Numbers of two bytes are sorted by radix.
         line = line.astype(np.uint16) if model.pad < 1 << 16 else line
         order = np.argsort(line, kind="stable")
         sorted_ids = line[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-        # Two numbers are summed at a time.
-        used, de = sorted_ids[first], np.add.reduceat(dx.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
+        used, de = sorted_ids[first], np.add.reduceat(dx.take(order, axis=0), first, axis=0)
         self.steps += 1
         self.predicted += predicted
         rate = rate * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
